@@ -57,7 +57,11 @@ def trip_key_parts(df: DataFrame) -> list[Column]:
     return parts
 
 
-def sample_fraction(df: DataFrame, fraction: float, seed: int, batch_col: str | None = None,
+def _cols(c) -> list[str]:
+    return [c] if isinstance(c, str) else list(c)
+
+
+def sample_fraction(df: DataFrame, fraction: float, seed: int, batch_col=None,
                     min_batch_rows: int | None = S.SAMPLE_MIN_BATCH_ROWS) -> DataFrame:
     """L1 + L3: keep a row when its draw < fraction * 10000; with a batch
     column and ``min_batch_rows``, batches of at most that many rows are kept
@@ -65,16 +69,16 @@ def sample_fraction(df: DataFrame, fraction: float, seed: int, batch_col: str |
     keep = row_unit(trip_key_parts(df), seed) < F.lit(int(round(fraction * UNIT_SCALE)))
     if batch_col is None or min_batch_rows is None:
         return df.filter(keep)
-    n = F.count(F.lit(1)).over(Window.partitionBy(batch_col))
+    n = F.count(F.lit(1)).over(Window.partitionBy(*_cols(batch_col)))
     return df.withColumn("_bn", n).filter((F.col("_bn") <= min_batch_rows) | keep).drop("_bn")
 
 
-def sample_exact(df: DataFrame, fraction: float, seed: int, batch_col: str,
+def sample_exact(df: DataFrame, fraction: float, seed: int, batch_col,
                  tie_cols: list[str]) -> DataFrame:
     """L2: exactly round-half-even(fraction * n) rows of each batch: the rows
     with the lowest draws (ties broken by ``tie_cols``).  Each window holds
     one batch, so its size is bounded by the batch size."""
-    w = Window.partitionBy(batch_col)
+    w = Window.partitionBy(*_cols(batch_col))
     ranked = (df.withColumn("_u", mix(trip_key_parts(df), seed))
                 .withColumn("_n", F.count(F.lit(1)).over(w))
                 .withColumn("_rk", F.row_number().over(w.orderBy("_u", *tie_cols))))

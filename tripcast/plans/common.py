@@ -22,10 +22,11 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips_raw(spark, sf_dir)
 
 
-def clean_rows(df: DataFrame, remove_outliers: bool = True) -> DataFrame:
+def clean_rows(df: DataFrame, remove_outliers: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
     """Cleaned trips with their timestamps and duration (P2, P3, P5, P7, P8,
-    P9, P10 in the contractual order, features not yet made)."""
-    df = C.keep_columns(df, C.columns_to_keep(False))
+    P9, P10 in the contractual order, features not yet made).  ``carry``
+    columns (batch ids) ride along untouched."""
+    df = C.keep_columns(df, C.columns_to_keep(False) + list(carry))
     df = C.parse_timestamps(df)
     df = C.drop_invalid(df)
     df = C.add_trip_duration(df)

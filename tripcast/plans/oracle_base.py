@@ -94,6 +94,39 @@ TRIPS_FEATURES = """
         {feats} FROM trips_clean)""".format(feats=feature_select())
 
 
+TRIPS_FEATP = """
+ trips_featp AS (SELECT *, {feats} FROM trips_clean)""".format(feats=feature_select())
+
+# --- fixed values: the congruential mix (same as the Spark sampler) --------
+_MOD, _MUL, _INC = 2147483648, 1103515245, 12345
+
+
+def _step(x: str) -> str:
+    return f"(({x}) * {_MUL} + {_INC}) % {_MOD}"
+
+
+def _pmod(x: str) -> str:
+    return f"(((({x}) % {_MOD}) + {_MOD}) % {_MOD})"
+
+
+TRIP_KEY_PARTS = [
+    "COALESCE(date_diff('second', TIMESTAMP '1970-01-01 00:00:00', tpep_pickup_datetime), 0)",
+    "COALESCE(PULocationID, 0)", "COALESCE(DOLocationID, 0)", "COALESCE(VendorID, 0)",
+    "COALESCE(CAST(floor(trip_distance * 100) AS BIGINT), 0)",
+]
+
+
+def mix(seed: int, parts: list[str] = TRIP_KEY_PARTS) -> str:
+    h = _step(_pmod(str(seed)))
+    for p in parts:
+        h = _step(_pmod(f"{h} + {p}"))
+    return h
+
+
+def unit(seed: int, parts: list[str] = TRIP_KEY_PARTS) -> str:
+    return f"CAST(floor(({mix(seed, parts)}) * 10000 / {float(_MOD)}) AS BIGINT)"
+
+
 def with_ctes(*blocks: str) -> str:
     return "WITH " + ",".join(b.strip("\n") for b in blocks) + "\n"
 
