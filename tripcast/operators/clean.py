@@ -21,7 +21,9 @@ from pyspark.sql import types as T
 from tripcast import schema as S
 from tripcast.functions import calendar as cal
 
-_EPOCH_NTZ = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+
+def epoch_ntz() -> Column:
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 
 
 # ---------------------------------------------------------------------------
@@ -64,7 +66,7 @@ def columns_to_keep(predicting: bool, columns: list[str] | None = None) -> list[
 
 def micros_to_timestamp(c: Column) -> Column:
     """Microseconds since epoch -> TIMESTAMP_NTZ (naive, no zone shift)."""
-    return F.timestamp_add("MICROSECOND", c, _EPOCH_NTZ)
+    return F.timestamp_add("MICROSECOND", c, epoch_ntz())
 
 
 def parse_timestamp_column(df: DataFrame, name: str) -> Column:

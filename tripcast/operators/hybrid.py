@@ -113,7 +113,7 @@ def runs_frame(spark: SparkSession, run_id: str, results: list[dict]) -> DataFra
     """One row per run with its params (a map) and metrics; a handful of
     rows made on the driver from values it already holds."""
     rows = []
-    now = _dt.datetime.utcnow().replace(microsecond=0)
+    now = _dt.datetime.now(_dt.timezone.utc).replace(microsecond=0, tzinfo=None)
     for r in results:
         params = {k: str(v) for k, v in r.items() if k not in ("run_no", "rmse", "mae", "r2", "n")}
         rows.append((run_id, int(r["run_no"]), now, params, r.get("rmse"), r.get("mae"), r.get("r2")))

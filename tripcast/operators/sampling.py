@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripcast import schema as S
+from tripcast.operators.clean import epoch_ntz
 
 # --- fixed values: the congruential mix --------------------------------------
 _MOD = 2147483648          # 2^31
@@ -44,13 +45,12 @@ def row_unit(parts: list[Column], seed: int = 0) -> Column:
     return F.floor(mix(parts, seed) * F.lit(UNIT_SCALE) / F.lit(float(_MOD))).cast("long")
 
 
-_EPOCH = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 
 
 def trip_key_parts(df: DataFrame) -> list[Column]:
     """Row identity of a trip for hashing: pickup second, zones, vendor and
     distance in 1/100 mile."""
-    parts = [F.coalesce(F.timestamp_diff("SECOND", _EPOCH, F.col(S.PICKUP)), F.lit(0))]
+    parts = [F.coalesce(F.timestamp_diff("SECOND", epoch_ntz(), F.col(S.PICKUP)), F.lit(0))]
     for c in (S.PU_ZONE, S.DO_ZONE, S.VENDOR):
         parts.append(F.coalesce(F.col(c).cast("long"), F.lit(0)))
     parts.append(F.coalesce(F.floor(F.col(S.DISTANCE) * 100).cast("long"), F.lit(0)))

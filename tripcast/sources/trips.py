@@ -10,7 +10,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -51,14 +51,13 @@ def with_batch_ids(df: DataFrame, batch_size: int = S.BATCH_SIZE_DEFAULT) -> Dat
     A batch is ``batch_size`` consecutive rows of one file, so it is a pure
     function of (file, row index) and needs no iteration, no global order and
     no shuffle: ``batch_in_file = floor(row_index / batch_size)``.  The file
-    ordinal (files sorted by name) is looked up in a broadcast table whose
-    size is the file count.
+    ordinal (files sorted by name) comes from the distinct file paths -- one
+    row per file, so broadcasting it back is bounded by the file count.
     """
-    spark = df.sparkSession
-    files = sorted(df.inputFiles())
-    ordinals = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "file_path string, file_no int")
     meta = df.select("*", F.col("_metadata.file_path").alias("file_path"),
                      F.col("_metadata.row_index").alias("row_index"))
+    files = meta.select("file_path").distinct()
+    ordinals = files.select("file_path", (F.row_number().over(Window.orderBy("file_path")) - 1).alias("file_no"))
     out = meta.join(F.broadcast(ordinals), "file_path", "left")
     return out.withColumn("batch_in_file", F.floor(F.col("row_index") / F.lit(batch_size)).cast("long"))
 
