@@ -5,21 +5,25 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripcast import schema as S
 from tripcast.operators import aggregates as A
 from tripcast.operators import clean as C
 from tripcast.plans import common as Q
 from tripcast.plans.queries_windows import ALERT_THRESHOLD, CHUNK_ROWS, EVENT_TARGET, RELOAD_TYPE
-from tripcast.sources.trips import read_table, trips_from_lineitem
+from tripcast.sources.trips import TRIPS_RAW_SCHEMA, read_table, trips_raw_path
 from tripcast.streaming import streams as ST
 
 EVENT_FILES = 4
+TRIP_FILES_PER_TRIGGER = 4
 
 
-def _lineitem_stream(spark: SparkSession, sf_dir: str):
-    schema = read_table(spark, sf_dir, "lineitem").schema
-    return ST.file_stream(spark, sf_dir, schema, glob="lineitem.parquet")
+def _trip_stream(spark: SparkSession, sf_dir: str):
+    """Trip files (the Spark-derived trip table's part files) arriving
+    TRIP_FILES_PER_TRIGGER files per micro-batch."""
+    return ST.file_stream(spark, trips_raw_path(spark, sf_dir), T.StructType.fromDDL(TRIPS_RAW_SCHEMA),
+                          glob="*.parquet", files_per_trigger=TRIP_FILES_PER_TRIGGER)
 
 
 def q_stream_ingest(spark, sf_dir):
@@ -30,7 +34,7 @@ def q_stream_ingest(spark, sf_dir):
 
 def q_stream_preprocess(spark, sf_dir):
     """The cleaning transformer on a stream of trip files."""
-    trips = trips_from_lineitem(_lineitem_stream(spark, sf_dir))
+    trips = _trip_stream(spark, sf_dir)
     out, _ = C.preprocess(trips, create_features=True)
     return A.round_doubles(ST.run_available_now(out, "preprocess"))
 
@@ -47,7 +51,7 @@ def q_stream_score(spark, sf_dir):
     coefs = trend_coefs(train).checkpoint(eager=True)
     corr = (H.training_matrix(train, coefs).groupBy("pickup_hour")
               .agg(F.avg("label").alias("log_correction"))).checkpoint(eager=True)
-    stream = Q.featured_with_pickup(trips_from_lineitem(_lineitem_stream(spark, sf_dir)))
+    stream = Q.featured_with_pickup(_trip_stream(spark, sf_dir))
     test = stream.filter(F.col("pickup_year") == Q.TEST_YEAR)
     scored = TR.trend_predict(test, coefs).join(F.broadcast(corr), "pickup_hour", "left")
     pred = F.col("baseline") * F.exp(F.col("log_correction"))
@@ -70,7 +74,7 @@ def q_stream_drift(spark, sf_dir):
 
 def q_stream_daily_stats(spark, sf_dir):
     """T5: daily duration statistics kept up to date as trip files arrive."""
-    trips = trips_from_lineitem(_lineitem_stream(spark, sf_dir))
+    trips = _trip_stream(spark, sf_dir)
     feat, _ = C.preprocess(trips, create_features=True)
     return A.round_doubles(ST.daily_stats_stream(feat), 4)
 
