@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripcast.functions.calendar import holiday_calendar
+from tripcast.session import ensure_checkpoint_dir
 
 BROADCAST_MAX_ROWS = 1_000_000
 
@@ -14,9 +15,15 @@ BROADCAST_MAX_ROWS = 1_000_000
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Join ``small`` to ``big``, broadcasting ``small`` only when it has at
-    most ``max_rows`` rows (it is counted first: a cheap job over an already
-    aggregated table); above that, a plain join (sort-merge / shuffled hash,
-    with AQE skew handling) is left to the planner."""
+    most ``max_rows`` rows; above that, a plain join (sort-merge / shuffled
+    hash, with AQE skew handling) is left to the planner.
+
+    ``small`` is usually an aggregate of the big table, so it is first
+    written to the shared checkpoint folder: it is computed once, the size
+    check reads the written rows, and the join reads them again instead of
+    recomputing the aggregate."""
+    ensure_checkpoint_dir(small.sparkSession)
+    small = small.checkpoint(eager=True)
     if small.limit(max_rows + 1).count() <= max_rows:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)

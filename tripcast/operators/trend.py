@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripcast import schema as S
+from tripcast.session import ensure_checkpoint_dir
 
 X = S.TREND_COLUMNS  # date_int, sin_time, cos_time
 COEFS = ["w_date", "w_sin", "w_cos", "intercept"]
@@ -31,8 +32,13 @@ def _det3(a11, a12, a13, a21, a22, a23, a31, a32, a33) -> Column:
 
 
 def fit_ridge(daily: DataFrame, y_col: str = "avg_duration", alpha: float = S.RIDGE_ALPHA) -> DataFrame:
-    """M1: one row (w_date, w_sin, w_cos, intercept, n_days)."""
-    d = daily.select(*[F.col(c).cast("double").alias(c) for c in X], F.log1p(F.col(y_col)).alias("_y"))
+    """M1: one row (w_date, w_sin, w_cos, intercept, n_days).
+
+    The per-day input (one row per day) is checkpointed first: both passes
+    read it, and neither may re-run the trip scan behind it."""
+    ensure_checkpoint_dir(daily.sparkSession)
+    d = daily.select(*[F.col(c).cast("double").alias(c) for c in X],
+                     F.log1p(F.col(y_col)).alias("_y")).checkpoint(eager=True)
     means = d.agg(*[F.avg(c).alias(f"m_{c}") for c in X + ["_y"]], F.count(F.lit(1)).alias("n_days"))
     c = d.crossJoin(F.broadcast(means)).select(
         *[(F.col(v) - F.col(f"m_{v}")).alias(f"c_{v}") for v in X + ["_y"]])
