@@ -93,3 +93,11 @@ def test_runs_append(spark, tmp_dir):
 def test_depth_ladder():
     assert B.depth_for_leaves(255) == 8 and B.depth_for_leaves(127) == 7
     assert B.depth_for_leaves(255, 5) == 5 and B.depth_for_leaves(127, 5) == 4
+
+
+def test_predictions_body_keeps_request_order(spark):
+    import json
+
+    scored = spark.createDataFrame([(2, 7.5), (0, 3.0), (1, 12.25)], "req_pos int, duration_minutes double")
+    body = R.predictions_body(scored, "req_pos").first()["body"]
+    assert json.loads(body) == {"predictions": [3.0, 12.25, 7.5]}

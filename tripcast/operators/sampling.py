@@ -69,8 +69,14 @@ def sample_fraction(df: DataFrame, fraction: float, seed: int, batch_col=None,
     keep = row_unit(trip_key_parts(df), seed) < F.lit(int(round(fraction * UNIT_SCALE)))
     if batch_col is None or min_batch_rows is None:
         return df.filter(keep)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*_cols(batch_col)))
-    return df.withColumn("_bn", n).filter((F.col("_bn") <= min_batch_rows) | keep).drop("_bn")
+    # batches small enough to keep whole: a partial+final count per batch and
+    # a size-checked broadcast semi-join -- the trip rows are not shuffled
+    from tripcast.operators.joins import join_small
+
+    bcols = _cols(batch_col)
+    small = df.groupBy(*bcols).count().filter(F.col("count") <= min_batch_rows).select(*bcols)
+    whole = join_small(df, small.withColumn("_whole", F.lit(True)), bcols, "left")
+    return whole.filter(F.col("_whole").isNotNull() | keep).drop("_whole")
 
 
 def sample_exact(df: DataFrame, fraction: float, seed: int, batch_col,
