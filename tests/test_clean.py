@@ -100,3 +100,14 @@ def test_transformer_round_trip(spark, raw5, tmp_dir):
     t.write().overwrite().save(tmp_dir + "/pre")
     t2 = C.TripPreprocessor.load(tmp_dir + "/pre")
     assert t2.transform(raw5).count() == t.transform(raw5).count() == 3
+
+
+def test_duration_is_wall_clock_in_any_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("SELECT TIMESTAMP_NTZ'2000-04-02 01:30:00' AS a, TIMESTAMP_NTZ'2000-04-02 03:30:00' AS b")
+        assert df.select(C.duration_seconds(F.col("a"), F.col("b"))).first()[0] == 7200.0
+        assert df.select(F.hour("a")).first()[0] == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

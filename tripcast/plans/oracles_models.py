@@ -41,7 +41,6 @@ RIDGE = f"""
 BASE = with_ctes(TRIPS_RAW, CLEAN_BASE, TRIPS_FEATP, RIDGE)
 TREND = "(w_date * date_int + w_sin * sin_time + w_cos * cos_time + intercept)"
 BASELINE = f"greatest(exp({TREND}) - 1, 1.0)"
-FEATS = ", ".join(S.FEATURE_COLUMNS)
 FEATS_R = ", ".join(f"round({c}, 6) AS {c}" if c in ("sin_time", "cos_time") else c for c in S.FEATURE_COLUMNS)
 
 ORACLES = {
@@ -75,4 +74,3 @@ FROM te CROSS JOIN coef""",
 SELECT tpep_pickup_datetime, round(trip_duration, 4) AS trip_duration, round(p, 4) AS predicted_seconds,
        round(p / 60.0, 4) AS duration_minutes FROM sc""",
 }
-del FEATS
