@@ -28,7 +28,10 @@ _LOCAL_BITS = 33
 def dense_sequence(df: DataFrame, order_cols: list[str], seq_col: str = "seq",
                    num_partitions: int | None = None) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
-    parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # as many range partitions as the input has splits (so partition size
+    # follows spark.sql.files.maxPartitionBytes at any scale), at least one
+    # per core
+    parts = num_partitions or max(df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism)
     ordered = (df.repartitionByRange(parts, *order_cols)
                  .sortWithinPartitions(*order_cols)
                  .withColumn("_mid", F.monotonically_increasing_id()))
