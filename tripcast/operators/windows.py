@@ -37,7 +37,8 @@ def _chunk(key: str, chunk_rows: int) -> Column:
 def with_predecessors(df: DataFrame, key: str, part_col: str, k: int) -> DataFrame:
     """Rows of ``df`` plus, in every ``part_col`` group, copies (``_copy`` =
     true) of the ``k`` rows that precede the group in the global ``key``
-    order.  ``part_col`` must be monotone in ``key``."""
+    order.  ``part_col`` must be monotone in ``key``, and its groups are
+    bounded (key chunks, or groups already cut to their last rows)."""
     if k <= 0:
         return df.withColumn("_copy", F.lit(False))
     w_tail = Window.partitionBy(part_col).orderBy(F.col(key).desc())
@@ -109,14 +110,27 @@ def drift_alerts(errors: DataFrame, key: str, is_reload: Column, threshold: floa
     return first.select("epoch", F.col("b")[key].alias(key), F.col("b")["rmse"].alias("rmse"))
 
 
+def last_k_per_group(df: DataFrame, key: str, group_col: str, k: int,
+                     chunk_rows: int = CHUNK_ROWS_DEFAULT) -> DataFrame:
+    """The ``k`` rows with the largest ``key`` of every group, without a
+    window over a whole group (one group may hold a third of all rows): first
+    the top k of every (group, key chunk) -- windows of at most ``chunk_rows``
+    rows for a unique integer key -- then the top k of those per group, a
+    window over at most k rows per chunk."""
+    w1 = Window.partitionBy(group_col, "_c").orderBy(F.col(key).desc())
+    pre = (df.withColumn("_c", _chunk(key, chunk_rows))
+             .withColumn("_rk", F.row_number().over(w1)).filter(F.col("_rk") <= k).drop("_rk", "_c"))
+    w2 = Window.partitionBy(group_col).orderBy(F.col(key).desc())
+    return pre.withColumn("_rk", F.row_number().over(w2)).filter(F.col("_rk") <= k).drop("_rk")
+
+
 def call_window_rmse(errors: DataFrame, key: str, call_col: str, sq_err: str = "sq_err",
-                     k: int = S.DRIFT_WINDOW) -> DataFrame:
+                     k: int = S.DRIFT_WINDOW, chunk_rows: int = CHUNK_ROWS_DEFAULT) -> DataFrame:
     """State after each validate call (``call_col`` groups, monotone in
     ``key``): RMSE over the last ``k`` errors of all calls so far.  Needs only
     the last k rows per call plus the carry-over from earlier calls."""
     valid = errors.filter(F.col(sq_err).isNotNull())
-    w_tail = Window.partitionBy(call_col).orderBy(F.col(key).desc())
-    tails = valid.withColumn("_rk", F.row_number().over(w_tail)).filter(F.col("_rk") <= k).drop("_rk")
+    tails = last_k_per_group(valid, key, call_col, k, chunk_rows)
     ext = with_predecessors(tails, key, call_col, k)
     w_last = Window.partitionBy(call_col).orderBy(F.col(key).desc())
     last_k = ext.withColumn("_rk", F.row_number().over(w_last)).filter(F.col("_rk") <= k)

@@ -130,7 +130,7 @@ ORDER BY rmse, run_no LIMIT 1""",
          FROM vd LEFT JOIN hourly ON hourly.pickup_hour = CAST(hour(vd.{PICK}) AS INTEGER)),
   win AS (SELECT sq_err FROM se WHERE sq_err IS NOT NULL ORDER BY seq DESC LIMIT {S.DRIFT_WINDOW}),
   st AS (SELECT sqrt(avg(sq_err)) AS current_rmse, count(sq_err) AS window_size FROM win)
-SELECT DATE '{Y:04d}-{M:02d}-{D:02d}' AS validation_date, '{Y:04d}-{M:02d}' AS validation_month,
+SELECT '{Y:04d}-{M:02d}-{D:02d}' AS validation_date, '{Y:04d}-{M:02d}' AS validation_month,
        (SELECT count(*) FROM vd) AS samples_validated, round(current_rmse, 4) AS current_rmse,
        CAST(window_size AS BIGINT) AS window_size, CAST({S.DRIFT_THRESHOLD_MIN} AS DOUBLE) AS threshold,
        window_size = {S.DRIFT_WINDOW} AND current_rmse > {S.DRIFT_THRESHOLD_MIN} AS retraining_triggered FROM st""",

@@ -29,12 +29,12 @@ UNION ALL
 SELECT * FROM (SELECT * FROM trips_raw WHERE year({PICK}) = {Y} AND month({PICK}) = {M}
                ORDER BY {RAW_ORDER} LIMIT 1000) WHERE NOT EXISTS (SELECT 1 FROM day_rows)""",
     "json_requests": RAW + f"""
-SELECT CASE WHEN passenger_count IS NULL THEN NULL ELSE VendorID END AS VendorID,
+SELECT CAST(CASE WHEN passenger_count IS NULL THEN NULL ELSE VendorID END AS DOUBLE) AS VendorID,
        CASE WHEN passenger_count IS NULL THEN NULL ELSE {PICK} END AS {PICK},
        passenger_count,
        CASE WHEN passenger_count IS NULL THEN NULL ELSE trip_distance END AS trip_distance,
-       CASE WHEN passenger_count IS NULL THEN NULL ELSE PULocationID END AS PULocationID,
-       CASE WHEN passenger_count IS NULL THEN NULL ELSE DOLocationID END AS DOLocationID,
+       CAST(CASE WHEN passenger_count IS NULL THEN NULL ELSE PULocationID END AS DOUBLE) AS PULocationID,
+       CAST(CASE WHEN passenger_count IS NULL THEN NULL ELSE DOLocationID END AS DOUBLE) AS DOLocationID,
        passenger_count IS NOT NULL AS is_valid
 FROM trips_raw""",
     "keep_columns": RAW + f"""
@@ -102,7 +102,7 @@ SELECT {PICK}, CAST(hour({PICK}) AS INTEGER) AS pickup_hour,
     "is_holiday": RAW + f"""
 , span AS (SELECT min(CAST({PICK} AS DATE)) AS lo, max(CAST({PICK} AS DATE)) AS hi FROM trips_raw),
   days AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM span)
-SELECT day, {holiday('day')} AS is_holiday FROM days""",
+SELECT strftime(day, '%Y-%m-%d') AS day, {holiday('day')} AS is_holiday FROM days""",
     "date_int": CLEAN + f"""
 SELECT {PICK}, CAST(date_diff('day', DATE '1970-01-01', CAST({PICK} AS DATE)) AS BIGINT) AS date_int
 FROM trips_clean""",

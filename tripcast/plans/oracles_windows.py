@@ -19,7 +19,7 @@ SELECT event_id, round(rmse, 6) AS rmse, window_size, window_size = {K} AS windo
     "validation_rmse": ERR + """
 , last_row AS (SELECT CAST(ts AS DATE) AS call_date, max(event_id) AS event_id FROM w GROUP BY ALL),
   samples AS (SELECT CAST(ts AS DATE) AS call_date, count(*) AS samples FROM e GROUP BY ALL)
-SELECT s.call_date, s.samples, round(w.rmse, 6) AS current_rmse, w.window_size
+SELECT strftime(s.call_date, '%Y-%m-%d') AS call_date, s.samples, round(w.rmse, 6) AS current_rmse, w.window_size
 FROM samples s LEFT JOIN last_row l USING (call_date) LEFT JOIN w ON w.event_id = l.event_id""",
     "drift_alert": ERR + f"""
 SELECT epoch, min(event_id) AS event_id, round(arg_min(rmse, event_id), 6) AS rmse

@@ -179,7 +179,7 @@ def q_validation_report(spark, sf_dir):
                          F.pow(F.col("predicted") / 60.0 - y_min, 2).alias("sq_err"))
     st = W.call_window_rmse(errs, "seq", "call")
     return A.round_doubles(st.select(
-        F.make_date(F.lit(y), F.lit(m), F.lit(d)).alias("validation_date"),
+        F.lit(f"{y:04d}-{m:02d}-{d:02d}").alias("validation_date"),
         F.lit(f"{y:04d}-{m:02d}").alias("validation_month"),
         F.col("samples").alias("samples_validated"),
         "current_rmse", F.col("window_size").cast("long").alias("window_size"),

@@ -55,7 +55,9 @@ def q_json_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every raw trip as a scoring request body, parsed back into rows;
     bodies of trips without passengers are malformed and come out rejected."""
     bodies = R.request_bodies(Q.raw(spark, sf_dir))
-    return R.parse_requests(bodies)
+    out = R.parse_requests(bodies)
+    # ids of rejected requests are NULL: typed double so both engines agree
+    return out.withColumns({c: F.col(c).cast("double") for c in (S.VENDOR, S.PU_ZONE, S.DO_ZONE)})
 
 
 # ---------------------------------------------------------------- cleaning
@@ -192,7 +194,8 @@ def q_is_holiday(spark, sf_dir):
     """the holiday flag of every calendar day from the first to the last
     pickup day (the rule, day by day)."""
     days = Q.raw(spark, sf_dir).select(F.to_date(S.PICKUP).alias("day"))
-    return cal.holiday_calendar(days)
+    out = cal.holiday_calendar(days)
+    return out.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "is_holiday")
 
 
 def q_date_int(spark, sf_dir):

@@ -38,7 +38,8 @@ def q_validation_rmse(spark, sf_dir):
     """Window state after each daily validate call."""
     e = event_errors(spark, sf_dir).withColumn("call_date", F.to_date("ts"))
     st = W.call_window_rmse(e, "event_id", "call_date")
-    return A.round_doubles(st.withColumn("window_size", F.col("window_size").cast("long")))
+    return A.round_doubles(st.withColumn("window_size", F.col("window_size").cast("long"))
+                             .withColumn("call_date", F.date_format("call_date", "yyyy-MM-dd")))
 
 
 def q_drift_alert(spark, sf_dir):
