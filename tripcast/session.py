@@ -56,3 +56,38 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     stream checkpoints and materialised intermediate tables)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tripcast-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 executor_memory_gb: float, target_partition_mb: int = 256) -> dict[str, str]:
+    """Suggested settings for a cluster run over ``input_bytes`` of trip
+    parquet (set them when the session is built; the library never changes a
+    running session).
+
+    * scan splits of ``target_partition_mb`` (``maxPartitionBytes``), so a
+      task's input is a fixed size at any scale;
+    * shuffle partitions sized from the input so one shuffle partition stays
+      near the same size (the largest shuffles here -- the dense sequence
+      sort and per-batch windows -- move about the input width), at least
+      2 x the total core count, and AQE to coalesce what turns out smaller
+      and to split skewed join partitions;
+    * broadcast threshold kept at the default order of magnitude: the
+      library broadcasts only tables whose size it checked or bounded.
+    """
+    cores = executors * cores_per_executor
+    part_bytes = target_partition_mb * 1024 * 1024
+    shuffle = max(2 * cores, -(-input_bytes // part_bytes))
+    mem_per_core_mb = executor_memory_gb * 1024 / max(1, cores_per_executor)
+    if mem_per_core_mb < 2 * target_partition_mb:
+        shuffle = max(shuffle, -(-input_bytes // int(mem_per_core_mb * 1024 * 1024 / 2)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(part_bytes),
+        "spark.sql.shuffle.partitions": str(int(shuffle)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(part_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+    }

@@ -150,10 +150,11 @@ def trips_raw_path(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, src, version)
     path = _MATERIALISED.get(key)
     if path is None:
-        trips = trips_from_lineitem(read_table(spark, sf_dir, "lineitem"))
+        li = read_table(spark, sf_dir, "lineitem")
         cores = spark.sparkContext.defaultParallelism
-        if trips.rdd.getNumPartitions() < cores:
-            trips = trips.repartition(cores)
+        if li.rdd.getNumPartitions() < cores:
+            li = li.repartition(cores)
+        trips = trips_from_lineitem(li)
         path = scratch_path(spark, "trips-raw")
         trips.write.mode("overwrite").parquet(path)
         _MATERIALISED[key] = path
