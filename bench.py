@@ -37,16 +37,24 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(cpus=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")),
                           app="tripcast-bench")
+    from tripcast.sources.trips import trips_raw_path
+
     qs = all_queries()
     names = sys.argv[1:] or HEADLINE
+    # one-off per session: JVM warm-up and writing the derived trip table;
+    # timed on its own (and counted in the total) so query times do not
+    # depend on which query happens to run first
+    t0 = time.time()
+    trips_raw_path(spark, sf_dir)
+    setup = round(time.time() - t0, 3)
     times = {}
     for name in names:
         t0 = time.time()
         qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "headline_total_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": sf, "cpus": cpus}))
+    print(json.dumps({"metric": "headline_total_seconds", "value": round(setup + sum(times.values()), 3),
+                      "unit": "sec", "queries": times, "setup_seconds": setup, "sf": sf, "cpus": cpus}))
 
 
 if __name__ == "__main__":

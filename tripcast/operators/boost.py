@@ -57,7 +57,10 @@ def gbt_estimator(params: dict | None = None, max_iter: int | None = None, depth
                         maxBins=p["max_bin"] + 1, minInstancesPerNode=p["min_data_in_leaf"],
                         featureSubsetStrategy=str(p["feature_fraction"]),
                         subsamplingRate=p["bagging_fraction"], lossType="squared", seed=seed,
-                        cacheNodeIds=True, checkpointInterval=10)
+                        # trees are at most depth 8: node-id caching (and its
+                        # checkpoints) costs more than it saves; a larger
+                        # per-pass node budget means fewer passes per level
+                        cacheNodeIds=False, maxMemoryInMB=512)
 
 
 def best_prefix(model, valid: DataFrame) -> tuple[int, list[float]]:

@@ -99,11 +99,15 @@ def q_hybrid_predict(spark, sf_dir):
 def _matrices(spark, sf_dir):
     """Training / validation matrices, written once to the shared checkpoint
     folder: every boosting round is a pass over them, and the cleaning +
-    trend plan behind them must not be re-run per round."""
+    trend plan behind them must not be re-run per round.  The four ridge
+    numbers (a one-row result) are applied as literals by the pipeline's
+    ``TrendBaseline`` stage."""
     train, test = Q.split_years(_feat(spark, sf_dir))
-    coefs = trend_coefs(train).checkpoint(eager=True)
-    tm = B.assemble(H.training_matrix(train, coefs)).checkpoint(eager=True)
-    vm = B.assemble(H.training_matrix(test, coefs)).checkpoint(eager=True)
+    c = H.coefs_dict(trend_coefs(train))
+    coefs = spark.createDataFrame([tuple(c[k] for k in TR.COEFS)], ", ".join(f"{k} double" for k in TR.COEFS))
+    base = H.TrendBaseline(wDate=c["w_date"], wSin=c["w_sin"], wCos=c["w_cos"], intercept=c["intercept"])
+    tm = B.assemble(TR.log_ratio_target(base.transform(train))).checkpoint(eager=True)
+    vm = B.assemble(TR.log_ratio_target(base.transform(test))).checkpoint(eager=True)
     return coefs, tm, vm
 
 
