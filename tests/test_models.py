@@ -3,7 +3,6 @@ request scoring (the end-to-end serving assertions), run records."""
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from tripcast import schema as S
 from tripcast.operators import aggregates as A

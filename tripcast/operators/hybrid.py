@@ -25,7 +25,6 @@ from pyspark.storagelevel import StorageLevel
 
 from tripcast import schema as S
 from tripcast.operators import aggregates as A
-from tripcast.operators import boost as B
 from tripcast.operators import trend as TR
 from tripcast.operators.clean import TripPreprocessor
 

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from tripcast.plans import common as Q
-from tripcast.plans.oracle_base import (BASE, CLEAN_BASE, RAW_ORDER, TRIPS_FEATURES, TRIPS_RAW, dur,
-                                        feature_select, holiday, r, with_ctes)
+from tripcast.plans.oracle_base import (BASE, CLEAN_BASE, RAW_ORDER, TRIPS_RAW, dur, feature_select, holiday, r,
+                                        with_ctes)
 
 RAW = with_ctes(TRIPS_RAW)
 CLEAN = with_ctes(TRIPS_RAW, CLEAN_BASE)

@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripcast import schema as S
-from tripcast.operators import aggregates as A
 from tripcast.operators import windows as W
 from tripcast.session import scratch_path
 
@@ -147,16 +146,24 @@ def _read_state(spark: SparkSession, path: str, batch_id: int) -> list:
         return []
 
 
-def split_into_files(df: DataFrame, key: str, n_files: int, name: str) -> str:
-    """Write ``df`` as ``n_files`` parquet files in ``key`` order, one write per
-    key range so that file modification order = key order (the file source
-    takes the oldest files first).  Ranges come from approximate quantiles of
-    the key, so no global sort is needed."""
+def split_into_files(df: DataFrame, key: str, n_files: int, name: str,
+                     max_rows_per_file: int = 2_000_000) -> str:
+    """Replay utility: stage a static table as an ordered file stream.
+
+    Writes ``df`` as key-ordered parquet files, one write per key range, so
+    that file modification order = key order (the file source takes the
+    oldest files first).  Ranges come from approximate quantiles of the key
+    (no global sort).  The file count is at least ``n_files`` and large
+    enough that no file holds more than ``max_rows_per_file`` rows, so no
+    single task writes an unbounded share of the table.  Each range is a
+    filtered scan of ``df``; this stages test and replay input, it is not a
+    step of the data path (live streams arrive as files)."""
     spark = df.sparkSession
     base = scratch_path(spark, name)
+    n_files = max(n_files, -(-df.count() // max_rows_per_file))
     qs = df.approxQuantile(key, [i / n_files for i in range(1, n_files)], 0.0) if n_files > 1 else []
-    bounds = [None] + qs + [None]
-    for i in range(n_files):
+    bounds = [None] + sorted(set(qs)) + [None]
+    for i in range(len(bounds) - 1):
         cond = F.lit(True)
         if bounds[i] is not None:
             cond = cond & (F.col(key) > bounds[i])
