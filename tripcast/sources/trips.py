@@ -52,13 +52,15 @@ def with_batch_ids(df: DataFrame, batch_size: int = S.BATCH_SIZE_DEFAULT) -> Dat
     function of (file, row index) and needs no iteration, no global order and
     no shuffle: ``batch_in_file = floor(row_index / batch_size)``.  The file
     ordinal (files sorted by name) comes from the distinct file paths -- one
-    row per file, so broadcasting it back is bounded by the file count.
+    row per file, joined back by a size-checked broadcast.
     """
     meta = df.select("*", F.col("_metadata.file_path").alias("file_path"),
                      F.col("_metadata.row_index").alias("row_index"))
     files = meta.select("file_path").distinct()
     ordinals = files.select("file_path", (F.row_number().over(Window.orderBy("file_path")) - 1).alias("file_no"))
-    out = meta.join(F.broadcast(ordinals), "file_path", "left")
+    from tripcast.operators.joins import join_small
+
+    out = join_small(meta, ordinals, "file_path", "left")
     return out.withColumn("batch_in_file", F.floor(F.col("row_index") / F.lit(batch_size)).cast("long"))
 
 
