@@ -171,20 +171,18 @@ def q_evaluate_model(spark, sf_dir):
 
 
 def q_train_and_evaluate(spark, sf_dir):
-    """Grid search, final fit with the best parameters, evaluation,
-    model saved (S9) and reloaded, runs appended (S10); returns the runs."""
-    results = _grid_results(spark, sf_dir)
-    best = min(results, key=lambda r: (r["rmse"], r["run_no"]))
-    params = {k: best[k] for k in ("stepSize", "num_leaves")}
-    coefs, tm, vm = _matrices(spark, sf_dir)
-    booster = B.gbt_estimator(params, max_iter=best["best_iteration"], depth_cap=QUERY_DEPTH_CAP).fit(tm)
-    pipe = H.scoring_pipeline(H.coefs_dict(coefs), booster)
-    path = scratch_path(spark, "model")
-    H.save_model(pipe, path)
-    test = Q.split_years(_feat(spark, sf_dir))[1]
-    final = H.evaluate(H.load_model(path).transform(test)).first()
-    results.append({"run_no": len(results), **params, "final": True, "rmse": final["rmse"],
-                    "mae": final["mae"], "r2": final["r2"]})
+    """The reference's training run on loader batches of the raw trips:
+    tune (1 %), final fit (10 %), evaluation (exact 7.5 %, <= 500 batches),
+    model saved (S9) and reloaded for scoring, runs appended (S10); returns
+    the runs table."""
+    from tripcast.plans.queries_analytics import BATCH, raw_batches
+    from tripcast.schema import GBT_GRID
+
+    b = raw_batches(spark, sf_dir).checkpoint(eager=True)
+    train_raw = b.filter(F.col("file_year") < Q.TRAIN_BEFORE_YEAR)
+    test_raw = b.filter(F.col("file_year") == Q.TEST_YEAR)
+    results = H.train_and_evaluate(train_raw, test_raw, BATCH, Q.RAW_ORDER, GBT_GRID, QUERY_ROUNDS,
+                                   QUERY_DEPTH_CAP, scratch_path(spark, "model"))
     runs = H.runs_frame(spark, "train", results)
     runs_path = scratch_path(spark, "runs")
     H.append_runs(runs, runs_path)
