@@ -53,11 +53,13 @@ def test_sliding_and_alerts_match_fold(spark, errors, chunk):
     assert list(a["epoch"]) == [x[0] for x in alerts]
 
 
-def test_call_window(spark, errors):
+@pytest.mark.parametrize("chunk", [50, 1 << 20])
+def test_call_window(spark, errors, chunk):
     e = errors.copy()
-    e["call"] = e["key"] // 400
+    # one hot call holding most rows, then small ones
+    e["call"] = np.where(e["key"] < 3500, 0, 1 + (e["key"] - 3500) // 400)
     sdf = spark.createDataFrame(e)
-    got = W.call_window_rmse(sdf, "key", "call").toPandas().set_index("call").sort_index()
+    got = W.call_window_rmse(sdf, "key", "call", chunk_rows=chunk).toPandas().set_index("call").sort_index()
     valid = e.dropna(subset=["sq_err"]).sort_values("key")
     for c, row in got.iterrows():
         upto = valid[valid["call"] <= c]["sq_err"].values[-5:]
