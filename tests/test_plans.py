@@ -30,3 +30,25 @@ def test_flagship_pushdown_and_pruning(spark):
 def test_window_query_has_no_python(spark):
     plan = _plan(E.queries()["sliding_rmse"](spark, SF))
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
+
+
+def test_month_and_day_slices_reach_the_scan(spark):
+    plan = _plan(E.queries()["months_slice"](spark, SF))
+    pushed = [ln for ln in plan.splitlines() if ln.startswith("PushedFilters:")][0]
+    assert "GreaterThanOrEqual(tpep_pickup_datetime,1998-01-01T00:00)" in pushed
+    assert "LessThan(tpep_pickup_datetime,1998-07-01T00:00)" in pushed
+    plan = _plan(E.queries()["validation_day"](spark, SF))
+    pushed = [ln for ln in plan.splitlines() if ln.startswith("PushedFilters:")][0]
+    assert "GreaterThanOrEqual(tpep_pickup_datetime,2000-03-15T00:00)" in pushed
+
+
+def test_months_slice_merges_ranges(spark):
+    import datetime as dt
+
+    from tripcast.sources.trips import months_slice
+
+    days = [(dt.datetime(1997, m, 15),) for m in range(1, 13)] + [(dt.datetime(1998, 1, 2),)]
+    df = spark.createDataFrame(days, "tpep_pickup_datetime timestamp_ntz")
+    got = months_slice(df, [1997, 1998], [12, 1, 2]).orderBy("tpep_pickup_datetime").collect()
+    assert [(r[0].year, r[0].month) for r in got] == [(1997, 1), (1997, 2), (1997, 12), (1998, 1)]
+    assert months_slice(df, [1997]).count() == 12

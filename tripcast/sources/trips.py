@@ -180,14 +180,24 @@ def months_slice(df: DataFrame, years: list[int], months: list[int] | None = Non
     row-group statistics (and a (year, month) partitioning) can prune.
     """
     months = months or list(range(1, 13))
+    # consecutive months merge into one [start, end) range
+    idx = sorted({y * 12 + (m - 1) for y in years for m in months})
+    runs, start = [], None
+    for i, v in enumerate(idx):
+        if start is None:
+            start = v
+        if i + 1 == len(idx) or idx[i + 1] != v + 1:
+            runs.append((start, v + 1))
+            start = None
+
+    def ts(month_index: int) -> Column:
+        return F.make_timestamp_ntz(F.lit(month_index // 12), F.lit(month_index % 12 + 1), F.lit(1),
+                                    F.lit(0), F.lit(0), F.lit(0))
+
     cond = None
-    for y in sorted(set(years)):
-        for m in sorted(set(months)):
-            lo = F.make_timestamp_ntz(F.lit(y), F.lit(m), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
-            hi = F.make_timestamp_ntz(F.lit(y + (m // 12)), F.lit(m % 12 + 1), F.lit(1),
-                                      F.lit(0), F.lit(0), F.lit(0))
-            c = (F.col(ts_col) >= lo) & (F.col(ts_col) < hi)
-            cond = c if cond is None else (cond | c)
+    for lo, hi in runs:
+        c = (F.col(ts_col) >= ts(lo)) & (F.col(ts_col) < ts(hi))
+        cond = c if cond is None else (cond | c)
     return df.filter(cond)
 
 
