@@ -72,3 +72,23 @@ def test_running_count(spark, errors):
     sdf = spark.createDataFrame(errors)
     got = W.running_count(sdf, "key", F.col("reload"), "n", 50).orderBy("key").toPandas()
     assert (got["n"].values == errors.sort_values("key")["reload"].cumsum().values).all()
+
+
+def test_repeated_keys_use_a_dense_sequence(spark):
+    # a third of the rows share one key: the window still runs in bounded chunks
+    keys = np.concatenate([np.full(300, 5, dtype="int64"), np.arange(10, 610, dtype="int64")])
+    pdf = pd.DataFrame({"key": keys, "sq_err": np.full(900, 4.0)})
+    out = W.sliding_rmse(spark.createDataFrame(pdf), "key", "sq_err", 5, chunk_rows=64,
+                         key_is_unique=False).toPandas()
+    assert len(out) == 900
+    assert np.allclose(out["rmse"], 2.0)
+    assert (out["window_size"] == 5).sum() == 896
+
+
+def test_dense_sequence_spreads_copies(spark):
+    from tripcast.operators.sequence import dense_sequence
+
+    pdf = pd.DataFrame({"a": np.concatenate([np.zeros(3000), np.arange(6000)]).astype("int64")})
+    got = dense_sequence(spark.createDataFrame(pdf).repartition(8), ["a"], num_partitions=8).toPandas()
+    assert sorted(got["seq"]) == list(range(9000))
+    assert (got.sort_values("seq")["a"].values == np.sort(pdf["a"].values)).all()

@@ -32,8 +32,15 @@ def dense_sequence(df: DataFrame, order_cols: list[str], seq_col: str = "seq",
     # follows spark.sql.files.maxPartitionBytes at any scale), at least one
     # per core
     parts = num_partitions or max(df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism)
-    ordered = (df.repartitionByRange(parts, *order_cols)
-                 .sortWithinPartitions(*order_cols)
+    # last sort key: the row's position in the input, so that copies of one
+    # row (which may be a third of the table) still spread over many range
+    # partitions; copies are interchangeable, so the result does not depend
+    # on which copy gets which number
+    keys = list(order_cols) + ["_tb"]
+    ordered = (df.withColumn("_tb", F.monotonically_increasing_id())
+                 .repartitionByRange(parts, *keys)
+                 .sortWithinPartitions(*keys)
+                 .drop("_tb")
                  .withColumn("_mid", F.monotonically_increasing_id()))
     ordered = ordered.checkpoint(eager=True)
     pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)

@@ -85,11 +85,21 @@ def running_count(df: DataFrame, key: str, flag: Column, out_col: str,
 
 
 def sliding_rmse(errors: DataFrame, key: str, sq_err: str = "sq_err", k: int = S.DRIFT_WINDOW,
-                 chunk_rows: int = CHUNK_ROWS_DEFAULT) -> DataFrame:
+                 chunk_rows: int = CHUNK_ROWS_DEFAULT, key_is_unique: bool = True) -> DataFrame:
     """RMSE over the last ``k`` squared errors at every row; ``window_full``
     marks rows that have ``k`` errors behind them.  Rows without an error
-    (NULL) do not enter the window."""
+    (NULL) do not enter the window.  With ``key_is_unique=False`` (an arrival
+    order with ties or repeated keys) the rows are first given a dense
+    sequence in key order, which bounds every chunk by ``chunk_rows``."""
     valid = errors.filter(F.col(sq_err).isNotNull())
+    if not key_is_unique:
+        from tripcast.operators.sequence import dense_sequence
+
+        seq = dense_sequence(valid, [key], "_wseq")
+        s = sliding_window_stats(seq, "_wseq", sq_err, k, chunk_rows).drop("_wseq")
+        return (s.withColumn("rmse", F.sqrt("win_mean"))
+                 .withColumn("window_full", F.col("win_n") == k)
+                 .drop("win_mean").withColumnRenamed("win_n", "window_size"))
     s = sliding_window_stats(valid, key, sq_err, k, chunk_rows)
     return (s.withColumn("rmse", F.sqrt("win_mean"))
              .withColumn("window_full", F.col("win_n") == k)
