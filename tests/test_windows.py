@@ -92,3 +92,16 @@ def test_dense_sequence_spreads_copies(spark):
     got = dense_sequence(spark.createDataFrame(pdf).repartition(8), ["a"], num_partitions=8).toPandas()
     assert sorted(got["seq"]) == list(range(9000))
     assert (got.sort_values("seq")["a"].values == np.sort(pdf["a"].values)).all()
+
+
+def test_alerts_with_repeated_keys_match_fold(spark, errors):
+    e = errors.copy()
+    e["key"] = e["key"] // 20  # many repeated keys; ties keep input order in the fold
+    e = e.sort_values("key", kind="stable").reset_index(drop=True)
+    sdf = spark.createDataFrame(e)
+    got = W.drift_alerts(sdf, "key", F.col("reload"), 60.0, chunk_rows=16, key_is_unique=False).toPandas()
+    # ties on the key keep their input order (the sequence's last sort key)
+    _, alerts = brute(e, 5, 60.0)
+    got = got.sort_values("epoch").reset_index(drop=True)
+    assert list(got["epoch"]) == [a[0] for a in alerts]
+    assert list(got["key"]) == [a[1] for a in alerts]

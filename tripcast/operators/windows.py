@@ -108,16 +108,25 @@ def sliding_rmse(errors: DataFrame, key: str, sq_err: str = "sq_err", k: int = S
 
 def drift_alerts(errors: DataFrame, key: str, is_reload: Column, threshold: float,
                  sq_err: str = "sq_err", k: int = S.DRIFT_WINDOW,
-                 chunk_rows: int = CHUNK_ROWS_DEFAULT) -> DataFrame:
+                 chunk_rows: int = CHUNK_ROWS_DEFAULT, key_is_unique: bool = True) -> DataFrame:
     """One alert per reload epoch, at the first row whose full window
     RMSE exceeds ``threshold``.  The epoch is the running count of reloads
     (a reload clears the latch before its own row is checked); the window is
-    not cleared by a reload.  Output: epoch, key, rmse."""
-    with_epoch = running_count(errors, key, is_reload, "epoch", chunk_rows)
-    scored = sliding_rmse(with_epoch, key, sq_err, k, chunk_rows)
+    not cleared by a reload.  Output: epoch, key, rmse.  A non-unique key is
+    replaced by a dense sequence in key order first (bounded chunks)."""
+    order = key
+    if not key_is_unique:
+        from tripcast.operators.sequence import dense_sequence
+
+        errors = dense_sequence(errors.withColumn("_reload", is_reload), [key], "_wseq")
+        is_reload, order = F.col("_reload"), "_wseq"
+    with_epoch = running_count(errors, order, is_reload, "epoch", chunk_rows)
+    scored = sliding_rmse(with_epoch, order, sq_err, k, chunk_rows)
     breaches = scored.filter(F.col("window_full") & (F.col("rmse") > threshold))
-    first = breaches.groupBy("epoch").agg(F.min(F.struct(F.col(key), F.col("rmse"))).alias("b"))
-    return first.select("epoch", F.col("b")[key].alias(key), F.col("b")["rmse"].alias("rmse"))
+    parts = [F.col(order).alias("_o")] + ([F.col(key)] if order != key else []) + [F.col("rmse")]
+    first = breaches.groupBy("epoch").agg(F.min(F.struct(*parts)).alias("b"))
+    key_field = F.col("b")[key] if order != key else F.col("b")["_o"]
+    return first.select("epoch", key_field.alias(key), F.col("b")["rmse"].alias("rmse"))
 
 
 def last_k_per_group(df: DataFrame, key: str, group_col: str, k: int,
