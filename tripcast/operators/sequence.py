@@ -6,8 +6,8 @@
 1. range-partition + sort on the full key tuple (Spark samples the tuple, so a
    hot leading value is split by the following columns);
 2. ``monotonically_increasing_id`` = (partition << 33) + position in partition;
-3. one row per partition with its row count (bounded by the partition count,
-   so broadcasting it is safe), prefix-summed into offsets;
+3. one row per partition with its row count (bounded by the partition count;
+   joined back by a size-checked broadcast), prefix-summed into offsets;
 4. position = offset(partition) + local position.
 
 The sorted frame is checkpointed to the session's shared checkpoint folder
@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripcast.operators.joins import join_small
 from tripcast.session import ensure_checkpoint_dir
 
 _LOCAL_BITS = 33
@@ -50,7 +51,7 @@ def dense_sequence(df: DataFrame, order_cols: list[str], seq_col: str = "seq",
         "_pid",
         (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"))
     offsets = offsets.fillna(0, subset=["_off"])
-    out = ordered.join(F.broadcast(offsets), pid == F.col("_pid"))
+    out = join_small(ordered.withColumn("_pid", pid), offsets, "_pid", "inner")
     return out.withColumn(seq_col, (F.col("_off") + local).cast("long")).drop("_mid", "_pid", "_off")
 
 
@@ -60,10 +61,10 @@ def batch_numbers(df: DataFrame, file_col: str, order_cols: list[str], batch_siz
     in the order of ``order_cols``, as the reference loader cuts them.
 
     ``row_in_file`` = global position - first position of the file; the
-    per-file first positions are one row per file (broadcast)."""
+    per-file first positions are one row per file (size-checked broadcast)."""
     seq = dense_sequence(df, [file_col] + order_cols, "_gseq")
     starts = seq.groupBy(file_col).agg(F.min("_gseq").alias("_start"))
-    out = seq.join(F.broadcast(starts), file_col)
+    out = join_small(seq, starts, file_col, "inner")
     return (out.withColumn("row_in_file", F.col("_gseq") - F.col("_start"))
                .withColumn(batch_col, F.floor(F.col("row_in_file") / F.lit(batch_size)).cast("long"))
                .drop("_gseq", "_start"))

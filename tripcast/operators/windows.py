@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripcast import schema as S
+from tripcast.operators.joins import join_small
 
 CHUNK_ROWS_DEFAULT = 1 << 20
 
@@ -73,14 +74,14 @@ def sliding_window_stats(df: DataFrame, key: str, value: str, k: int = S.DRIFT_W
 def running_count(df: DataFrame, key: str, flag: Column, out_col: str,
                   chunk_rows: int = CHUNK_ROWS_DEFAULT) -> DataFrame:
     """Inclusive running count of ``flag`` in ``key`` order: per-chunk running
-    sum + prefix of chunk totals (one row per chunk, broadcast)."""
+    sum + prefix of chunk totals (one row per chunk, size-checked broadcast)."""
     d = df.withColumn("_chunk", _chunk(key, chunk_rows)).withColumn("_f", flag.cast("long"))
     totals = d.groupBy("_chunk").agg(F.sum("_f").alias("_tot"))
     offs = totals.select("_chunk", F.coalesce(
         F.sum("_tot").over(Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)).alias("_off"))
     w = Window.partitionBy("_chunk").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("_run", F.sum("_f").over(w)).join(F.broadcast(offs), "_chunk")
+    d = join_small(d.withColumn("_run", F.sum("_f").over(w)), offs, "_chunk", "inner")
     return d.withColumn(out_col, (F.col("_off") + F.col("_run")).cast("long")).drop("_chunk", "_f", "_run", "_off")
 
 
