@@ -111,3 +111,16 @@ def test_duration_is_wall_clock_in_any_session_zone(spark):
         assert df.select(F.hour("a")).first()[0] == 1
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_observed_cleaning_matches_audit(spark):
+    from tripcast.plans import common as Q
+
+    raw = Q.raw(spark, "/root/testdata/sf0.001")
+    cleaned, counts = C.observed_cleaning(raw, create_features=True)
+    cleaned.write.format("noop").mode("overwrite").save()
+    got = counts()
+    audit = C.cleaning_audit(raw).first()
+    assert got["rows_in"] == audit["rows_in"]
+    assert got["rows_in"] - got["rows_valid"] == audit["invalid_rows"]
+    assert got["rows_out"] == audit["rows_out"] == C.preprocess(raw, create_features=True)[0].count()

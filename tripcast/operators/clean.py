@@ -298,3 +298,32 @@ def cleaning_audit(raw: DataFrame, target: str = S.TARGET) -> DataFrame:
         F.count_if(valid & ~inlier).alias("outlier_rows"),
         F.count_if(valid & inlier).alias("rows_out"),
     )
+
+
+def observed_cleaning(raw: DataFrame, **preprocess_kwargs):
+    """P13 / P14 without an extra pass: returns ``(cleaned, counts)`` where
+    ``counts()`` gives rows_in / rows_valid / rows_out, collected by
+    ``DataFrame.observe`` while ``cleaned`` is being written by the caller
+    (call it after the first action on ``cleaned``)."""
+    from pyspark.sql import Observation
+
+    obs_in, obs_valid, obs_out = Observation("rows_in"), Observation("rows_valid"), Observation("rows_out")
+    kw = dict(preprocess_kwargs)
+    standardize = kw.pop("standardize_columns", False)
+    src = standardize_columns(raw) if standardize else raw
+    src = src.observe(obs_in, F.count(F.lit(1)).alias("n"))
+    kept = parse_timestamps(keep_columns(src, columns_to_keep(kw.get("predicting", False),
+                                                               kw.get("columns_to_keep"))))
+    valid = kept if kw.get("skip_validation") else drop_invalid(kept)
+    valid = valid.observe(obs_valid, F.count(F.lit(1)).alias("n"))
+    df = add_trip_duration(valid)
+    if kw.get("remove_outliers", True):
+        df = remove_outliers(df)
+    df = fill_categoricals(fill_passengers(coerce_numeric(df)), kw.get("categorical_cols"))
+    df = add_features(df, kw.get("create_features", False))
+    df = df.observe(obs_out, F.count(F.lit(1)).alias("n"))
+
+    def counts() -> dict:
+        return {"rows_in": obs_in.get["n"], "rows_valid": obs_valid.get["n"], "rows_out": obs_out.get["n"]}
+
+    return df, counts
