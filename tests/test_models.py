@@ -100,3 +100,25 @@ def test_predictions_body_keeps_request_order(spark):
     scored = spark.createDataFrame([(2, 7.5), (0, 3.0), (1, 12.25)], "req_pos int, duration_minutes double")
     body = R.predictions_body(scored, "req_pos").first()["body"]
     assert json.loads(body) == {"predictions": [3.0, 12.25, 7.5]}
+
+
+def test_hexbin_matches_numpy(spark):
+    import math
+
+    import pandas as pd
+
+    rng = np.random.default_rng(4)
+    x, y = rng.normal(1000, 300, 2000), rng.normal(900, 250, 2000)
+    got = A.hexbin_density(spark.createDataFrame(pd.DataFrame({"actual": x, "predicted": y}))).toPandas()
+    # the hexagonal binning rule, written with numpy
+    nx, ny = 50, int(50 / math.sqrt(3))
+    pad = 1e-9 * (x.max() - x.min())
+    x0, x1, y0, y1 = x.min() - pad, x.max() + pad, y.min(), y.max()
+    ix, iy = (x - x0) / ((x1 - x0) / nx), (y - y0) / ((y1 - y0) / ny)
+    ix1, iy1, ix2, iy2 = np.round(ix), np.round(iy), np.floor(ix), np.floor(iy)
+    first = (ix - ix1) ** 2 + 3 * (iy - iy1) ** 2 < (ix - ix2 - 0.5) ** 2 + 3 * (iy - iy2 - 0.5) ** 2
+    cells = pd.DataFrame({"lattice": np.where(first, 1, 2), "i": np.where(first, ix1, ix2).astype(int),
+                          "j": np.where(first, iy1, iy2).astype(int)})
+    exp = cells.value_counts().rename("n").reset_index().sort_values(["lattice", "i", "j"]).reset_index(drop=True)
+    got = got.sort_values(["lattice", "i", "j"]).reset_index(drop=True)
+    assert (got[["lattice", "i", "j", "n"]].values == exp[["lattice", "i", "j", "n"]].values).all()

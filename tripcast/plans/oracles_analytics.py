@@ -106,6 +106,22 @@ SELECT batch_no, count(actual - predicted) AS n, round(sqrt(avg((actual - predic
     "density_2d": FEAT_EVAL + """
 SELECT CAST(floor(actual / 60.0) AS BIGINT) AS actual_bin, CAST(floor(predicted / 60.0) AS BIGINT) AS predicted_bin,
        count(*) AS n FROM ev WHERE actual >= 0 AND actual < 3000 AND predicted >= 0 AND predicted < 3000 GROUP BY ALL""",
+    "density_hexbin": FEAT_EVAL + """
+, rng AS (SELECT min(actual) - (max(actual) - min(actual)) * 1e-9 AS x0,
+                 max(actual) + (max(actual) - min(actual)) * 1e-9 AS x1,
+                 min(predicted) AS y0, max(predicted) AS y1 FROM ev),
+  p AS (SELECT x0, y0, (x1 - x0) / 50.0 AS sx, (y1 - y0) / 28.0 AS sy,
+               (actual - x0) / ((x1 - x0) / 50.0) AS ix, (predicted - y0) / ((y1 - y0) / 28.0) AS iy
+        FROM ev CROSS JOIN rng WHERE actual IS NOT NULL AND predicted IS NOT NULL),
+  q AS (SELECT *, (ix - round_even(ix, 0))^2 + 3.0 * (iy - round_even(iy, 0))^2
+                  < (ix - floor(ix) - 0.5)^2 + 3.0 * (iy - floor(iy) - 0.5)^2 AS first FROM p),
+  c AS (SELECT x0, y0, sx, sy, CASE WHEN first THEN 1 ELSE 2 END AS lattice,
+               CAST(CASE WHEN first THEN round_even(ix, 0) ELSE floor(ix) END AS BIGINT) AS i,
+               CAST(CASE WHEN first THEN round_even(iy, 0) ELSE floor(iy) END AS BIGINT) AS j FROM q)
+SELECT lattice, i, j, count(*) AS n,
+       round(min(x0 + sx * (i + CASE WHEN lattice = 1 THEN 0.0 ELSE 0.5 END)), 4) AS centre_x,
+       round(min(y0 + sy * (j + CASE WHEN lattice = 1 THEN 0.0 ELSE 0.5 END)), 4) AS centre_y
+FROM c GROUP BY lattice, i, j""",
     "residual_histogram": FEAT_EVAL + """
 , rng AS (SELECT min(residual) AS lo, max(residual) AS hi FROM ev),
   b AS (SELECT CAST(CASE WHEN (hi - lo) / 100.0 = 0 THEN 0

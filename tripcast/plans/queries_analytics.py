@@ -120,6 +120,11 @@ def q_density_2d(spark, sf_dir):
     return A.density_2d(eval_frame(spark, sf_dir))
 
 
+def q_density_hexbin(spark, sf_dir):
+    """A5 as the plot draws it: 50 hexagons over the actual x predicted range."""
+    return A.round_doubles(A.hexbin_density(eval_frame(spark, sf_dir)), 4)
+
+
 def q_residual_histogram(spark, sf_dir):
     return A.round_doubles(A.residual_histogram(eval_frame(spark, sf_dir)), 4)
 
@@ -224,6 +229,7 @@ QUERIES = {
     "regression_metrics": q_regression_metrics,
     "batch_metrics": q_batch_metrics,
     "density_2d": q_density_2d,
+    "density_hexbin": q_density_hexbin,
     "residual_histogram": q_residual_histogram,
     "residual_profile": q_residual_profile,
     "best_run": q_best_run,
