@@ -18,4 +18,5 @@ def test_drift_stream_equals_batch(spark):
     exp = W.drift_alerts(df, "key", F.col("is_reload"), 60.0, chunk_rows=32).orderBy("key").toPandas()
     assert list(got["key"]) == list(exp["key"])
     assert list(got["epoch"]) == list(exp["epoch"])
-    assert got["batch_id"].nunique() > 1 if "batch_id" in got else True
+    # alerts were raised in more than one micro-batch: state crossed batch boundaries
+    assert got["batch_id"].nunique() > 1

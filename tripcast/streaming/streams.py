@@ -131,10 +131,10 @@ def drift_stream(errors: DataFrame, key: str, reload_col: str, threshold: float,
         scored.unpersist()
 
     run_foreach_batch(errors, name, process)
-    try:
-        return spark.read.parquet(alerts_path).drop("batch_id")
+    try:  # batch_id (the micro-batch that raised the alert) comes from the folder names
+        return spark.read.parquet(alerts_path)
     except Exception:  # no batch wrote anything
-        return spark.createDataFrame([], f"epoch long, {key} long, rmse double")
+        return spark.createDataFrame([], f"epoch long, {key} long, rmse double, batch_id int")
 
 
 def _read_state(spark: SparkSession, path: str, batch_id: int) -> list:
