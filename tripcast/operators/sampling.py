@@ -61,12 +61,30 @@ def _cols(c) -> list[str]:
     return [c] if isinstance(c, str) else list(c)
 
 
+def fraction_keep(df: DataFrame, fraction: float, seed: int) -> Column:
+    """The L1 draw as a condition: the row's draw is below fraction x 10000."""
+    return row_unit(trip_key_parts(df), seed) < F.lit(int(round(fraction * UNIT_SCALE)))
+
+
+def with_exact_rank(df: DataFrame, seed: int, batch_col, tie_cols: list[str]) -> DataFrame:
+    """Adds ``_n`` (rows in the batch) and ``_rk`` (rank of the row's draw in
+    its batch): one window per batch, bounded by the batch size."""
+    w = Window.partitionBy(*_cols(batch_col))
+    return (df.withColumn("_n", F.count(F.lit(1)).over(w))
+              .withColumn("_rk", F.row_number().over(w.orderBy(mix(trip_key_parts(df), seed), *tie_cols))))
+
+
+def exact_keep(fraction: float) -> Column:
+    """The L2 rule over ``with_exact_rank`` columns."""
+    return F.col("_rk") <= F.bround(F.col("_n") * F.lit(fraction), 0)
+
+
 def sample_fraction(df: DataFrame, fraction: float, seed: int, batch_col=None,
                     min_batch_rows: int | None = S.SAMPLE_MIN_BATCH_ROWS) -> DataFrame:
     """L1 + L3: keep a row when its draw < fraction * 10000; with a batch
     column and ``min_batch_rows``, batches of at most that many rows are kept
     whole (training), with ``min_batch_rows=None`` every batch is sampled."""
-    keep = row_unit(trip_key_parts(df), seed) < F.lit(int(round(fraction * UNIT_SCALE)))
+    keep = fraction_keep(df, fraction, seed)
     if batch_col is None or min_batch_rows is None:
         return df.filter(keep)
     # batches small enough to keep whole: a partial+final count per batch and
@@ -84,11 +102,7 @@ def sample_exact(df: DataFrame, fraction: float, seed: int, batch_col,
     """L2: exactly round-half-even(fraction * n) rows of each batch: the rows
     with the lowest draws (ties broken by ``tie_cols``).  Each window holds
     one batch, so its size is bounded by the batch size."""
-    w = Window.partitionBy(*_cols(batch_col))
-    ranked = (df.withColumn("_u", mix(trip_key_parts(df), seed))
-                .withColumn("_n", F.count(F.lit(1)).over(w))
-                .withColumn("_rk", F.row_number().over(w.orderBy("_u", *tie_cols))))
-    return ranked.filter(F.col("_rk") <= F.bround(F.col("_n") * F.lit(fraction), 0)).drop("_u", "_n", "_rk")
+    return with_exact_rank(df, seed, batch_col, tie_cols).filter(exact_keep(fraction)).drop("_n", "_rk")
 
 
 def hard_case_sample(df: DataFrame, actual: str, baseline: str, seed: int,

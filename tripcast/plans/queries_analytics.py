@@ -56,14 +56,14 @@ def q_sample_exact(spark, sf_dir):
 
 def q_sample_small_batches(spark, sf_dir):
     """L3: per batch, rows kept by the training rule (whole when <= 1000
-    rows) and by the evaluation rule (always sampled)."""
+    rows, else the 10 % draw) and by the evaluation rule (always the exact
+    7.5 %) -- both conditions evaluated in one windowed pass, one aggregate."""
     b = raw_batches(spark, sf_dir)
-    n = b.groupBy(*BATCH).agg(F.count(F.lit(1)).alias("n_rows"))
-    tr = L.sample_fraction(b, 0.10, 124961, BATCH).groupBy(*BATCH).agg(F.count(F.lit(1)).alias("n_train_sample"))
-    ev = L.sample_exact(b, 0.075, 42, BATCH, Q.RAW_ORDER).groupBy(*BATCH).agg(
-        F.count(F.lit(1)).alias("n_eval_sample"))
-    return (n.join(tr, BATCH, "left").join(ev, BATCH, "left")
-             .fillna(0, subset=["n_train_sample", "n_eval_sample"]))
+    x = L.with_exact_rank(b, 42, BATCH, Q.RAW_ORDER)
+    train_keep = (F.col("_n") <= S.SAMPLE_MIN_BATCH_ROWS) | L.fraction_keep(b, 0.10, 124961)
+    return x.groupBy(*BATCH).agg(F.count(F.lit(1)).alias("n_rows"),
+                                 F.count_if(train_keep).alias("n_train_sample"),
+                                 F.count_if(L.exact_keep(0.075)).alias("n_eval_sample"))
 
 
 def q_hard_case_sampling(spark, sf_dir):
