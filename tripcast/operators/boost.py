@@ -96,33 +96,44 @@ class TreeEnsemble:
 
 
 def fit_incremental(train: DataFrame, group_col: str, params: dict | None = None, trees_per_group: int = 2,
-                    depth_cap: int | None = None, seed: int = 42, checkpoint_every: int = 2) -> TreeEnsemble:
+                    depth_cap: int | None = None, seed: int = 42) -> TreeEnsemble:
     """M6: boosting continued group by group (the reference adds two trees per
     loader batch).  For group g, each new tree is fit on the residual of the
-    current ensemble over g's rows only; the running prediction of every row
-    is a column updated in place (a native transform, no collect).  The
-    frame is checkpointed to the shared folder every ``checkpoint_every``
-    groups so lineage stays short and a lost executor recomputes little.
+    current ensemble over g's rows only.
+
+    The training matrix is written once, partitioned by group, to the shared
+    checkpoint folder; group g is then read alone (partition pruning), scored
+    by the current ensemble (native tree transforms) and cached while its
+    trees are fit.  Every row is read once, no pass touches other groups, and
+    lineage never grows across groups.
     """
+    from tripcast.session import scratch_path
+
     p = dict(DEFAULT_PARAMS)
     p.update(params or {})
-    groups = [r[0] for r in train.select(group_col).distinct().orderBy(group_col).collect()]
-    first = train.filter(F.col(group_col) == groups[0]).agg(F.avg("label")).first()[0] or 0.0
-    df = train.withColumn("_pred", F.lit(float(first)))
-    trees = []
-    for gi, g in enumerate(groups):
-        for t in range(trees_per_group):
-            part = df.filter(F.col(group_col) == g).withColumn("_resid", F.col("label") - F.col("_pred"))
+    spark = train.sparkSession
+    path = scratch_path(spark, "incremental-train")
+    train.select("features", "label", group_col).write.partitionBy(group_col).parquet(path)
+    stored = spark.read.parquet(path)
+    groups = [r[0] for r in stored.select(group_col).distinct().orderBy(group_col).collect()]
+    first = stored.filter(F.col(group_col) == groups[0]).agg(F.avg("label")).first()[0] or 0.0
+    ens = TreeEnsemble(float(first), [], p["stepSize"])
+    for g in groups:
+        part = ens.transform(stored.filter(F.col(group_col) == g), "_pred").persist(StorageLevel.MEMORY_AND_DISK)
+        cached = [part]
+        for _ in range(trees_per_group):
             dt = DecisionTreeRegressor(featuresCol="features", labelCol="_resid", predictionCol="_tp",
                                        maxDepth=depth_for_leaves(p["num_leaves"], depth_cap),
                                        maxBins=p["max_bin"] + 1, minInstancesPerNode=p["min_data_in_leaf"],
-                                       seed=seed + len(trees))
-            model = dt.fit(part)
-            trees.append(model)
-            df = model.transform(df).withColumn("_pred", F.col("_pred") + F.lit(p["stepSize"]) * F.col("_tp")).drop("_tp")
-        if (gi + 1) % checkpoint_every == 0:
-            df = df.checkpoint(eager=True)
-    return TreeEnsemble(float(first), trees, p["stepSize"])
+                                       seed=seed + len(ens.trees))
+            model = dt.fit(part.withColumn("_resid", F.col("label") - F.col("_pred")))
+            ens.trees.append(model)
+            part = (model.transform(part).withColumn("_pred", F.col("_pred") + F.lit(p["stepSize"]) * F.col("_tp"))
+                         .drop("_tp").persist(StorageLevel.MEMORY_AND_DISK))
+            cached.append(part)
+        for c in cached:
+            c.unpersist()
+    return ens
 
 
 def grid_search(train: DataFrame, valid: DataFrame, grid: list[dict], evaluate, max_iter: int,
