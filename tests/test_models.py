@@ -122,3 +122,17 @@ def test_hexbin_matches_numpy(spark):
     exp = cells.value_counts().rename("n").reset_index().sort_values(["lattice", "i", "j"]).reset_index(drop=True)
     got = got.sort_values(["lattice", "i", "j"]).reset_index(drop=True)
     assert (got[["lattice", "i", "j", "n"]].values == exp[["lattice", "i", "j", "n"]].values).all()
+
+
+def test_incremental_boosting_adds_trees_per_group(spark):
+    from pyspark.sql import functions as F
+
+    train, _ = Q.split_years(Q.featured_with_pickup(Q.raw(spark, SF)))
+    coefs = TR.fit_ridge(A.daily_stats(train))
+    tm = B.assemble(H.training_matrix(train, coefs)).withColumn("grp", F.col("pickup_year"))
+    n_groups = tm.select("grp").distinct().count()
+    ens = B.fit_incremental(tm, "grp", {"min_data_in_leaf": 20}, trees_per_group=2, depth_cap=3)
+    assert len(ens.trees) == 2 * n_groups
+    scored = ens.transform(tm).select(F.avg((F.col("label") - F.col("log_correction")) ** 2).alias("mse"),
+                                      F.var_pop("label").alias("var")).first()
+    assert scored["mse"] < scored["var"]  # better than the mean

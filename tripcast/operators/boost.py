@@ -120,7 +120,7 @@ def fit_incremental(train: DataFrame, group_col: str, params: dict | None = None
     ens = TreeEnsemble(float(first), [], p["stepSize"])
     for g in groups:
         part = ens.transform(stored.filter(F.col(group_col) == g), "_pred").persist(StorageLevel.MEMORY_AND_DISK)
-        cached = [part]
+        cached = part
         for _ in range(trees_per_group):
             dt = DecisionTreeRegressor(featuresCol="features", labelCol="_resid", predictionCol="_tp",
                                        maxDepth=depth_for_leaves(p["num_leaves"], depth_cap),
@@ -128,11 +128,9 @@ def fit_incremental(train: DataFrame, group_col: str, params: dict | None = None
                                        seed=seed + len(ens.trees))
             model = dt.fit(part.withColumn("_resid", F.col("label") - F.col("_pred")))
             ens.trees.append(model)
-            part = (model.transform(part).withColumn("_pred", F.col("_pred") + F.lit(p["stepSize"]) * F.col("_tp"))
-                         .drop("_tp").persist(StorageLevel.MEMORY_AND_DISK))
-            cached.append(part)
-        for c in cached:
-            c.unpersist()
+            part = model.transform(part).withColumn("_pred", F.col("_pred") + F.lit(p["stepSize"]) * F.col("_tp")) \
+                        .drop("_tp")
+        cached.unpersist()
     return ens
 
 
