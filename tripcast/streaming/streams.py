@@ -43,7 +43,9 @@ def run_available_now(df: DataFrame, name: str, mode: str = "append") -> DataFra
     q = (df.writeStream.format("parquet").outputMode(mode).option("path", sink)
            .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(sink)
+    # read with the stream's own schema: an input that produced no rows gives
+    # an empty frame rather than a schema-inference error
+    return spark.read.schema(df.schema).parquet(sink)
 
 
 def run_foreach_batch(df: DataFrame, name: str, fn, mode: str = "append") -> None:
@@ -69,7 +71,11 @@ def daily_stats_stream(featured: DataFrame, name: str = "daily") -> DataFrame:
              .write.mode("overwrite").parquet(out)
 
     run_foreach_batch(agg, name, write, mode="complete")
-    return spark.read.parquet(out)
+    schema = agg.schema.add("avg_duration", T.DoubleType())
+    try:
+        return spark.read.schema(schema).parquet(out)
+    except Exception:  # no micro-batch ran: no trips arrived
+        return spark.createDataFrame([], schema)
 
 
 # ---------------------------------------------------------------- T4 drift
