@@ -124,3 +124,8 @@ def test_observed_cleaning_matches_audit(spark):
     assert got["rows_in"] == audit["rows_in"]
     assert got["rows_in"] - got["rows_valid"] == audit["invalid_rows"]
     assert got["rows_out"] == audit["rows_out"] == C.preprocess(raw, create_features=True)[0].count()
+
+
+def test_serving_row_check_one_pass(spark, raw5):
+    got = C.serving_row_check(raw5.drop(S.DROPOFF))
+    assert got == {"rows_in": 5, "rows_out": 5, "equal": True}

@@ -327,3 +327,20 @@ def observed_cleaning(raw: DataFrame, **preprocess_kwargs):
         return {"rows_in": obs_in.get["n"], "rows_valid": obs_valid.get["n"], "rows_out": obs_out.get["n"]}
 
     return df, counts
+
+
+def serving_row_check(raw: DataFrame, sink=None) -> dict:
+    """P14 in one pass: run the serving path (no validation, no outlier
+    removal) into ``sink`` (a function taking the output DataFrame; default
+    the ``noop`` writer) while ``observe`` counts the rows going in and
+    coming out.  Returns rows_in, rows_out and whether they are equal (the
+    reference warns when they are not)."""
+    from pyspark.sql import Observation
+
+    o_in, o_out = Observation("serving_in"), Observation("serving_out")
+    src = raw.observe(o_in, F.count(F.lit(1)).alias("n"))
+    out, _ = preprocess(src, remove_outliers=False, create_features=True, predicting=True, skip_validation=True)
+    out = out.observe(o_out, F.count(F.lit(1)).alias("n"))
+    (sink or (lambda d: d.write.format("noop").mode("overwrite").save()))(out)
+    n_in, n_out = o_in.get["n"], o_out.get["n"]
+    return {"rows_in": n_in, "rows_out": n_out, "equal": n_in == n_out}
