@@ -82,3 +82,14 @@ def test_validation_day_fallback(spark):
     assert hit.filter(F.to_date(S.PICKUP) != F.lit("1998-03-15").cast("date")).count() == 0
     miss = T.validation_day(raw, 2030, 3, 15, order_cols=[S.PICKUP])
     assert miss.count() == 0  # no trips at all in that month
+
+
+def test_shared_folder_is_required_off_the_local_master():
+    from types import SimpleNamespace
+
+    from tripcast.session import ensure_checkpoint_dir
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d=None: d))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(session)

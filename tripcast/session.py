@@ -7,6 +7,7 @@ reads them.  ``build_session`` is for tests, the bench and local runs.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -35,10 +36,12 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder of the session.
+    """The folder every task of the session can read and write.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) a fresh local folder is made.
+    It is the one named by ``spark.checkpoint.dir`` (or set on the context).
+    With neither, only a session whose tasks all run inside this process
+    (master ``local`` or ``local[n]``) gets a folder of its own; on anything
+    else each executor would write to its own disk, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -46,6 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tripcast-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
