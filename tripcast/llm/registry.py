@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from tripcast.llm.language import op5_language
+from tripcast.llm.quality import op1_quality
 from tripcast.llm.sharding import op3_sharding
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op3_sharding": op3_sharding,
+    "op5_language": op5_language,
 }
 ORACLES: dict[str, str] = {}
 
