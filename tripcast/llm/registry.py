@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from tripcast.llm import decontaminate
 from tripcast.llm.language import op5_language
 from tripcast.llm.quality import op1_quality
 from tripcast.llm.sharding import op3_sharding
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_sharding": op3_sharding,
     "op5_language": op5_language,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_decontaminate": decontaminate.ORACLE,
+}
 
 
 def all_queries() -> dict:
