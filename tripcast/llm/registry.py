@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tripcast.llm import decontaminate
 from tripcast.llm.language import op5_language
+from tripcast.llm.near_duplicates import op9_near_duplicates
 from tripcast.llm.quality import op1_quality
 from tripcast.llm.sharding import op3_sharding
 
@@ -12,6 +13,7 @@ QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_sharding": op3_sharding,
     "op5_language": op5_language,
+    "op9_near_duplicates": op9_near_duplicates,
 }
 ORACLES: dict[str, str] = {
     "op2_decontaminate": decontaminate.ORACLE,
