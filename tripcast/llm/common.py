@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,3 +30,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spans(texts: list[str], most: int) -> Iterator[tuple[int, int]]:
+    """Cuts a batch where its texts would pass ``most`` characters together; a
+    longer text goes alone."""
+    begin, held = 0, 0
+    for i, t in enumerate(texts):
+        if held and held + len(t) > most:
+            yield begin, i
+            begin, held = i, 0
+        held += len(t)
+    if begin < len(texts):
+        yield begin, len(texts)

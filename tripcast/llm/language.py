@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripcast.llm.common import held_out, table
+from tripcast.llm.common import held_out, spans, table
 
 DIMS = 512
 SEED = 5
@@ -89,17 +89,6 @@ class Grams:
         return out
 
 
-def chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
-    begin, held = 0, 0
-    for i, t in enumerate(texts):
-        if held and held + len(t) > CHUNK_CHARS:
-            yield begin, i
-            begin, held = i, 0
-        held += len(t)
-    if begin < len(texts):
-        yield begin, len(texts)
-
-
 def fit(docs: DataFrame, text: str = "text", label: str = "lang", dims: int = DIMS, seed: int = SEED,
         ) -> tuple[list[str], np.ndarray]:
     """Languages by name and their prototypes of length 1, from all rows of
@@ -111,7 +100,7 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang", dims: int = DI
         for pdf in batches:
             for lang, part in pdf.groupby("label", sort=False):
                 texts = part["text"].tolist()
-                for a, b in chunks(texts):
+                for a, b in spans(texts, CHUNK_CHARS):
                     doc, gram, n = grams.count(texts[a:b])
                     if not len(doc):
                         continue
@@ -144,7 +133,7 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang", dims: int = DI
 def compare(texts: list[str], grams: Grams, prototypes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Best prototype (-1: no letter) and its cosine, for each text."""
     best, cosine = np.full(len(texts), -1), np.zeros(len(texts))
-    for a, b in chunks(texts):
+    for a, b in spans(texts, CHUNK_CHARS):
         doc, gram, n = grams.count(texts[a:b])
         vocabulary, where = np.unique(gram, return_inverse=True)
         bundles = np.zeros((b - a, grams.dims), np.float32)

@@ -34,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -87,10 +88,10 @@ def sketched(docs: DataFrame, words: int, text: str) -> DataFrame:
     rest = [c for c in docs.columns if c != text]
     rows = docs.withColumn("row__", F.monotonically_increasing_id())
 
-    def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, pack = Shingler(words), zstandard.ZstdCompressor(level=3).compress
-        for pdf in batches:
-            texts = pdf[text].tolist()
+        for batch in batches:
+            texts = batch.column(text).to_pylist()
             out = []
             for t, s in zip(texts, shingler.sets(texts), strict=True):
                 z = None if t is None else pack(t.encode("utf-8", "surrogatepass"))
@@ -101,12 +102,15 @@ def sketched(docs: DataFrame, words: int, text: str) -> DataFrame:
                 two = (sig & 3).astype(np.uint8).reshape(-1, 4)
                 out.append((z, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(),
                             sig.astype(">u2").tobytes(), (two @ np.array([64, 16, 4, 1], np.uint8)).tobytes()))
-            made = pd.DataFrame(out, columns=["z__", "n_shingles", "fp__", "sig__", "sketch__"], index=pdf.index)
-            yield pd.concat([pdf.drop(columns=[text]), made], axis=1)
+            made = zip(*out, strict=True) if out else [()] * 5
+            kinds = (pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in [*rest, "row__"]), *(pa.array(x, k) for x, k in zip(made, kinds, strict=True))],
+                names=[*rest, "row__", "z__", "n_shingles", "fp__", "sig__", "sketch__"])
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text)
     schema = f"{kept + ', ' if rest else ''}row__ long, z__ binary, n_shingles long, fp__ binary, sig__ binary, sketch__ binary"
-    return written(rows.mapInPandas(sketch, schema), "sketches")
+    return written(rows.mapInArrow(sketch, schema), "sketches")
 
 
 def neighbours(key: np.ndarray, sketch: np.ndarray, depth: int, agreement: float) -> tuple[np.ndarray, np.ndarray]:
