@@ -28,6 +28,9 @@ carried.
 
 from __future__ import annotations
 
+import json
+import re
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
@@ -45,17 +48,62 @@ from tripcast.llm.common import spans, table, written
 CAPACITY = 1024
 END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
-ENCODE_CHARS = 1_000_000     # characters given to the tokenizer at once; a longer text goes alone
+ENCODE_CHARS = 1_000_000     # characters whose pieces are handed on at once; a longer text goes alone
+KNOWN_PARTS = 400_000        # parts whose ids a worker keeps before it starts anew
+
+
+#: fixed values: letters and numbers up to U+024F, how a byte-level tokenizer splits a text,
+#: and the characters for which that is beyond doubt
+LETTERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+NUMBERS = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+SPLIT = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+")
+UNUSUAL = re.compile("[^\t\n\r\x20-\x7e\u00a1-\u024f]")
+
+
+class Encoder:
+    """Token ids of texts by a ``tokenizers`` file.
+
+    A byte-level tokenizer splits a text at ``SPLIT`` and merges bytes within
+    each part alone, so the ids of a part are the same wherever it stands:
+    they are asked for once and kept.  Texts with characters that another
+    Unicode version might split otherwise, and files of another kind, go
+    through the tokenizer whole.
+    """
+
+    def __init__(self, path: str | None = None):
+        import public_tokenizers
+        from tokenizers import Tokenizer
+
+        self.whole = Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
+        self.whole.encode_special_tokens = True
+        form = json.loads(self.whole.to_str())
+        cut = form.get("pre_tokenizer") or {}
+        self.by_parts = (cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut["add_prefix_space"]
+                         and form.get("normalizer") is None and not form["model"].get("dropout"))
+        self.known: dict[str, bytes] = {}
+
+    def ids(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text as unsigned 32-bit little-endian numbers."""
+        known = self.known
+        parts = [None if not self.by_parts or UNUSUAL.search(t) else SPLIT.findall(t) for t in texts]
+        seen = set().union(*(p for p in parts if p))
+        new = seen.difference(known)
+        if len(known) + len(new) > KNOWN_PARTS:
+            known.clear()
+            new = seen
+        new = list(new)
+        for part, e in zip(new, self.whole.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            known[part] = array("I", e.ids).tobytes()
+        for text, p in zip(texts, parts, strict=True):
+            if p is None:
+                yield array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
+            else:
+                yield b"".join(map(known.__getitem__, p))
 
 
 @lru_cache(maxsize=2)
-def tokenizer(path: str | None):
-    import public_tokenizers
-    from tokenizers import Tokenizer
-
-    t = Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
-    t.encode_special_tokens = True
-    return t
+def encoder(path: str | None) -> Encoder:
+    return Encoder(path)
 
 
 def token_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
@@ -65,16 +113,16 @@ def token_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capac
     one task."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t, task, made = tokenizer(path), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+        encode, task, made = encoder(path).ids, TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             texts = [x or "" for x in batch.column(1).to_pylist()]
             for a, b in spans(texts, ENCODE_CHARS):
                 rows = []
-                for row, e in enumerate(t.encode_batch(texts[a:b], add_special_tokens=False), a):
-                    ids = np.array([*e.ids, end_id], "<u4")
-                    at = 0
-                    for piece, end in enumerate(range((len(ids) - 1) % capacity + 1, len(ids) + 1, capacity)):
-                        rows.append((row, piece, at, end - at, ids[at:end].tobytes(), task, int(made[end - at])))
+                for row, ids in enumerate(encode(texts[a:b]), a):
+                    ids += end_id.to_bytes(4, "little")
+                    n, at = len(ids) // 4, 0
+                    for piece, end in enumerate(range((n - 1) % capacity + 1, n + 1, capacity)):
+                        rows.append((row, piece, at, end - at, ids[4 * at:4 * end], task, int(made[end - at])))
                         made[end - at] += 1
                         at = end
                 row, *rest = zip(*rows, strict=True)
