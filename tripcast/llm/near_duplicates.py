@@ -226,8 +226,9 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
                 good.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pdf.loc[np.array(good, bool), ["a", "b"]]
 
-    half = pairs.join(texts.select(F.col("fp").alias("a"), F.col("z").alias("za")), "a")
-    whole = half.join(texts.select(F.col("fp").alias("b"), F.col("z").alias("zb")), "b")
+    # one plan at every size: both sides sorted, which also lets Spark split a class with many candidates
+    half = pairs.join(texts.select(F.col("fp").alias("a"), F.col("z").alias("za")).hint("merge"), "a")
+    whole = half.join(texts.select(F.col("fp").alias("b"), F.col("z").alias("zb")).hint("merge"), "b")
     return whole.select("a", "b", "za", "zb").mapInPandas(check, "a binary, b binary")
 
 
@@ -247,17 +248,17 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     pairs = written(candidates(classes.select("fp", "sig", "sketch"), least_depth(percent), least_agreement(percent)),
                     "candidates")
     nodes = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
-    wanted = written(classes.select("fp", F.col("rep.row").alias("row")).join(nodes, "fp", "left_semi"), "nodes")
+    wanted = written(classes.select("fp", F.col("rep.row").alias("row")).join(nodes.hint("merge"), "fp", "left_semi"), "nodes")
     texts = written(rows.select(F.col("fp__").alias("fp"), F.col("row__").alias("row"), F.col("z__").alias("z")).join(
-        wanted, ["fp", "row"]).select("fp", "z"), "node-texts")
+        wanted.hint("merge"), ["fp", "row"]).select("fp", "z"), "node-texts")
     roots = components(confirmed(pairs, texts, words, percent))
 
-    joined = classes.select("fp", "rep").join(roots, F.col("fp") == F.col("node"), "left").select(
+    joined = classes.select("fp", "rep").join(roots.hint("merge"), F.col("fp") == F.col("node"), "left").select(
         "fp", "rep", F.coalesce("root", "fp").alias("root"))
     best = written(joined.groupBy("root").agg(F.min("rep").alias("best")), "component-ids")
-    known = written(joined.join(best, "root").select("fp", "best"), "class-ids")
+    known = written(joined.join(best.hint("merge"), "root").select("fp", "best"), "class-ids")
     out = rows.drop("sig__", "sketch__") if keep_text else rows.drop("sig__", "sketch__", "z__")
-    out = out.join(known, F.col("fp__") == F.col("fp"), "left")
+    out = out.join(known.hint("merge"), F.col("fp__") == F.col("fp"), "left")
     out = out.withColumn("component_id", F.coalesce("best.id", F.col(key))).withColumn(
         "kept", F.col(key).eqNullSafe(F.col("component_id"))).withColumn(
         "first", F.col("best").isNull() | (F.col("best.row") == F.col("row__")))
