@@ -6,6 +6,7 @@ from tripcast.llm import decontaminate
 from tripcast.llm.language import op5_language
 from tripcast.llm.near_duplicates import op9_near_duplicates
 from tripcast.llm.packing import op10_packing
+from tripcast.llm.pii import op7_pii
 from tripcast.llm.quality import op1_quality
 from tripcast.llm.sharding import op3_sharding
 
@@ -14,6 +15,7 @@ QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_sharding": op3_sharding,
     "op5_language": op5_language,
+    "op7_pii": op7_pii,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_packing": op10_packing,
 }
