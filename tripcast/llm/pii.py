@@ -62,7 +62,7 @@ NEEDS = {
     ("base", "email"): "@", ("base", "phone"): r"\+[0-9]", ("base", "ip"): r"[0-9]\.[0-9]",
     ("base", "card"): "[0-9][ -]?[0-9]", ("wide", "email"): r"[\(\[]at[\)\]]", ("wide", "ip"): "[0-9A-Fa-f]:[0-9A-Fa-f]",
     ("wide", "card"): "[0-9]{4}[./_][0-9]{4}", ("wide", "phone"): "[0-9]{3}[.-][0-9]{4}",
-    ("wide", "secret"): "[A-Za-z0-9_-]{20}",
+    ("wide", "secret"): "(?<![A-Za-z0-9])[A-Za-z0-9_-]{20}",
 }
 #: gazetteers
 MAIL_ENDS = ("com", "org", "net", "edu", "gov", "info", "de", "fr", "es", "it", "uk", "eu", "example")

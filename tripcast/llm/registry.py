@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripcast.llm import decontaminate
+from tripcast.llm import decontaminate, topk, warc
 from tripcast.llm.language import op5_language
 from tripcast.llm.near_duplicates import op9_near_duplicates
 from tripcast.llm.packing import op10_packing
@@ -15,12 +15,16 @@ QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_sharding": op3_sharding,
     "op5_language": op5_language,
+    "op6_topk": topk.op6_topk,
     "op7_pii": op7_pii,
+    "op8_warc": warc.op8_warc,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_packing": op10_packing,
 }
 ORACLES: dict[str, str] = {
     "op2_decontaminate": decontaminate.ORACLE,
+    "op6_topk": topk.ORACLE,
+    "op8_warc": warc.ORACLE,
 }
 
 
