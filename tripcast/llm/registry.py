@@ -9,11 +9,13 @@ from tripcast.llm.packing import op10_packing
 from tripcast.llm.pii import op7_pii
 from tripcast.llm.quality import op1_quality
 from tripcast.llm.sharding import op3_sharding
+from tripcast.llm.substrings import op4_substrings
 
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_sharding": op3_sharding,
+    "op4_substrings": op4_substrings,
     "op5_language": op5_language,
     "op6_topk": topk.op6_topk,
     "op7_pii": op7_pii,

@@ -46,8 +46,8 @@ class Shingler:
         total = np.r_[np.uint64(0), np.cumsum(_BYTE[b] * self.up[:len(b)])]
         return mix((total[end] - total[begin]) * self.down[begin] + (end - begin).astype(np.uint64)), begin
 
-    def sets(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        """Sorted distinct shingle hashes of each text."""
+    def word_hashes(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """The hash of each word of each text, in order."""
         raws = [(t or "").encode("utf-8", "surrogatepass").lower() for t in texts]
         i = 0
         while i < len(raws):
@@ -56,19 +56,27 @@ class Shingler:
                 held += len(raws[j]) + 1
                 j += 1
             words, begin = self._words(b" ".join(raws[i:j]))
-            starts = np.cumsum([0, *(len(r) + 1 for r in raws[i:j])])
-            cuts = np.searchsorted(begin, starts)
-            whole = np.zeros(max(0, len(words) - self.k + 1), np.uint64)
-            for d in range(self.k):
-                whole = mix(whole + words[d:d + len(whole)] + np.uint64(d + 1))
+            cuts = np.searchsorted(begin, np.cumsum([0, *(len(r) + 1 for r in raws[i:j])]))
             for a, b in zip(cuts, cuts[1:], strict=False):
-                if b - a >= self.k:
-                    yield np.unique(whole[a:b - self.k + 1])
-                elif b > a:
-                    one = np.zeros(1, np.uint64)
-                    for d in range(b - a):
-                        one = mix(one + words[a + d:a + d + 1] + np.uint64(d + 1))
-                    yield mix(one + np.uint64(b - a))
-                else:
-                    yield np.zeros(0, np.uint64)
+                yield words[a:b]
             i = j
+
+    def join(self, words: np.ndarray) -> np.ndarray:
+        """The hash of each ``k`` consecutive words."""
+        out = np.zeros(max(0, len(words) - self.k + 1), np.uint64)
+        for d in range(self.k):
+            out = mix(out + words[d:d + len(out)] + np.uint64(d + 1))
+        return out
+
+    def sets(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """Sorted distinct shingle hashes of each text."""
+        for words in self.word_hashes(texts):
+            if len(words) >= self.k:
+                yield np.unique(self.join(words))
+            elif len(words):
+                one = np.zeros(1, np.uint64)
+                for d in range(len(words)):
+                    one = mix(one + words[d:d + 1] + np.uint64(d + 1))
+                yield mix(one + np.uint64(len(words)))
+            else:
+                yield np.zeros(0, np.uint64)
