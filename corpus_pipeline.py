@@ -1,20 +1,71 @@
-"""The corpus pipeline: raw documents to packed training sequences."""
+"""The corpus pipeline: raw documents to packed training sequences.
+
+Each stage takes (spark, docs, sf_dir), calls one operator and returns a
+DataFrame that is written as Parquet and reread as the next stage's ``docs``.
+All but the last return the columns of their input.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tripcast.llm import decontaminate, language, near_duplicates, packing, pii
+from tripcast.llm.common import held_out, table
 from tripcast.session import scratch_path
 
-STAGES: list = []
 
-#: the learned models, the approximate candidate search and the tokenizer of the stages have no SQL form
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a recognisable language go (``und``: null, empty or
+    letterless text); the others stay as they are.  The profiles are learned
+    from the documents that have a language, but for the held-out fold."""
+    langs, prototypes = language.fit(docs.filter(~held_out(F.col("doc_id"))))
+    labelled = language.predict(docs, langs, prototypes, added=("guess_lang", "guess_cosine"))
+    return labelled.filter(F.col("guess_lang") != language.UNDETERMINED).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, the one with the
+    smallest id (five-word shingles, similarity of 0.8 or more)."""
+    return near_duplicates.near_duplicates(docs).filter("first").select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark text go."""
+    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return found.filter(F.size("hits") == 0).select(*docs.columns)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; its personal data becomes ``<email>`` and the
+    like, and ``n_chars`` follows."""
+    found = pii.with_spans(docs, pii.fit(docs))
+    masked = found.withColumn("text", pii.masked(F.col("text"), F.col("spans")))
+    if "n_chars" in docs.columns:
+        masked = masked.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast(
+            docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return masked.select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token pieces of all documents, packed into sequences."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("language", identify_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("personal_data", mask_personal_data),
+    ("packing", pack),
+]
+
+#: the learned models, the approximate candidate search and the tokenizer have no SQL form
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to ``documents``; each result is written as Parquet
-    into the shared folder and reread as the next stage's input."""
+    """Applies the stages to ``documents``."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, f"stage-{name}")

@@ -50,6 +50,7 @@ END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
 ENCODE_CHARS = 1_000_000     # characters whose pieces are handed on at once; a longer text goes alone
 KNOWN_PARTS = 400_000        # parts whose ids a worker keeps before it starts anew
+WORDS_AT_ONCE = 2000
 
 
 #: fixed values: letters and numbers up to U+024F, how a byte-level tokenizer splits a text,
@@ -91,15 +92,29 @@ class Encoder:
         if len(known) + len(new) > KNOWN_PARTS:
             known.clear()
             new = seen
-        new = list(new)
-        for part, e in zip(new, self.whole.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[part] = array("I", e.ids).tobytes()
+        self._learn(list(new))
         for text, p in zip(texts, parts, strict=True):
             if p is None:
                 yield array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
             else:
                 yield b"".join(map(known.__getitem__, p))
 
+    def _learn(self, new: list[str]) -> None:
+        """Asks for the ids of new parts.  A blank with letters after it is a
+        part of its own in any text, so many such are asked for as one text."""
+        words, rest = [], []
+        for part in new:
+            (words if part[0] == " " and part[1:].isalpha() else rest).append(part)
+        for k in range(0, len(words), WORDS_AT_ONCE):
+            some = words[k:k + WORDS_AT_ONCE]
+            e = self.whole.encode("".join(some), add_special_tokens=False)
+            ids, number = np.array(e.ids, "<u4").tobytes(), np.array(e.word_ids)
+            cuts = (4 * np.flatnonzero(np.r_[True, number[1:] != number[:-1], True])).tolist()
+            assert len(cuts) == len(some) + 1, "each word is one part"
+            self.known.update((w, ids[i:j]) for w, i, j in zip(some, cuts, cuts[1:], strict=False))
+        for part, e in zip(rest, self.whole.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            self.known[part] = array("I", e.ids).tobytes()
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str | None) -> Encoder:
