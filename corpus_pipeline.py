@@ -15,41 +15,54 @@ from tripcast.llm.common import held_out, table
 from tripcast.session import scratch_path
 
 
+def carried(docs: DataFrame) -> DataFrame:
+    """Id and text for an operator, all other columns as one, so that no name
+    of theirs can meet one that an operator adds."""
+    return docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("rest__"), "doc_id", "text")
+
+
+def restored(carried_docs: DataFrame, docs: DataFrame) -> DataFrame:
+    return carried_docs.select(*["text" if c == "text" else F.col(f"rest__.`{c}`").alias(c) for c in docs.columns])
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a recognisable language go (``und``: null, empty or
-    letterless text); the others stay as they are.  The profiles are learned
-    from the documents that have a language, but for the held-out fold."""
-    langs, prototypes = language.fit(docs.filter(~held_out(F.col("doc_id"))))
-    labelled = language.predict(docs, langs, prototypes, added=("guess_lang", "guess_cosine"))
-    return labelled.filter(F.col("guess_lang") != language.UNDETERMINED).select(*docs.columns)
+    letterless text, or no language learned); the others stay as they are.
+    The profiles are learned from the documents that have a language, but for
+    the held-out fold."""
+    langs, prototypes = language.fit(docs.filter(~held_out(F.col("doc_id"))).select("text", "lang"))
+    labelled = language.predict(carried(docs), langs, prototypes)
+    return restored(labelled.filter(F.col("lang_pred") != language.UNDETERMINED), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one with the
-    smallest id (five-word shingles, similarity of 0.8 or more)."""
-    return near_duplicates.near_duplicates(docs).filter("first").select(*docs.columns)
+    smallest id (five-word shingles, similarity of 0.8 or more).  Wordless
+    documents are linked with nothing and stay."""
+    return restored(near_duplicates.near_duplicates(carried(docs)).filter("first"), docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark text go."""
-    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
-    return found.filter(F.size("hits") == 0).select(*docs.columns)
+    found = decontaminate.find_contamination(carried(docs), table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return restored(found.filter(F.size("hits") == 0), docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; its personal data becomes ``<email>`` and the
-    like, and ``n_chars`` follows."""
-    found = pii.with_spans(docs, pii.fit(docs))
-    masked = found.withColumn("text", pii.masked(F.col("text"), F.col("spans")))
+    like, and ``n_chars`` follows where a text changed."""
+    found = pii.with_spans(carried(docs), pii.fit(docs.select("text")))
+    found = found.withColumn("text", pii.masked(F.col("text"), F.col("spans")))
     if "n_chars" in docs.columns:
-        masked = masked.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast(
-            docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return masked.select(*docs.columns)
+        n = F.when(F.size("spans") > 0, F.length("text")).otherwise(F.col("rest__.n_chars"))
+        found = found.withColumn("rest__", F.col("rest__").withField(
+            "n_chars", n.cast(docs.schema["n_chars"].dataType)))
+    return restored(found, docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token pieces of all documents, packed into sequences."""
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs.select("doc_id", "text"))
 
 
 STAGES = [

@@ -39,6 +39,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripcast.llm.common import table, written
 from tripcast.llm.components import components
@@ -108,8 +109,9 @@ def sketched(docs: DataFrame, words: int, text: str) -> DataFrame:
                 [*(batch.column(c) for c in [*rest, "row__"]), *(pa.array(x, k) for x, k in zip(made, kinds, strict=True))],
                 names=[*rest, "row__", "z__", "n_shingles", "fp__", "sig__", "sketch__"])
 
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text)
-    schema = f"{kept + ', ' if rest else ''}row__ long, z__ binary, n_shingles long, fp__ binary, sig__ binary, sketch__ binary"
+    made = T.StructType().add("row__", "long").add("z__", "binary").add("n_shingles", "long").add(
+        "fp__", "binary").add("sig__", "binary").add("sketch__", "binary")
+    schema = T.StructType([*(docs.schema[c] for c in rest), *made.fields])
     return written(rows.mapInArrow(sketch, schema), "sketches")
 
 
