@@ -129,3 +129,21 @@ def test_observed_cleaning_matches_audit(spark):
 def test_serving_row_check_one_pass(spark, raw5):
     got = C.serving_row_check(raw5.drop(S.DROPOFF))
     assert got == {"rows_in": 5, "rows_out": 5, "equal": True}
+
+
+def test_nan_counts_as_missing(spark):
+    from pyspark.sql import functions as F
+
+    from tripcast.operators import clean as C
+
+    df = spark.sql("""SELECT TIMESTAMP_NTZ'2013-01-01 08:00:00' AS tpep_pickup_datetime,
+        TIMESTAMP_NTZ'2013-01-01 08:10:00' AS tpep_dropoff_datetime, 1L AS VendorID, CAST('NaN' AS DOUBLE) AS passenger_count,
+        d AS trip_distance, 1L AS PULocationID, 2L AS DOLocationID FROM VALUES (CAST('NaN' AS DOUBLE)), (2.0D) AS t(d)""")
+    assert df.filter(F.isnan("trip_distance")).count() == 1
+    assert [r["trip_distance"] for r in C.drop_invalid(df).collect()] == [2.0]
+    assert [r["passenger_count"] for r in C.fill_passengers(df).collect()] == [1.0, 1.0]
+    text = spark.createDataFrame([("NaN",), ("x",), ("2.5",)], "trip_distance string")
+    assert [r[0] for r in C.coerce_numeric(text).collect()] == [None, None, 2.5]
+    audit = C.cleaning_audit(df).first()
+    assert (audit["invalid_rows"], audit["outlier_rows"], audit["rows_out"]) == (1, 0, 1)
+    assert C.preprocess(df)[0].count() == 1

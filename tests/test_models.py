@@ -41,7 +41,7 @@ def fitted(spark):
     train, _ = Q.split_years(Q.featured_with_pickup(Q.raw(spark, SF)))
     coefs = TR.fit_ridge(A.daily_stats(train)).checkpoint(eager=True)
     tm = B.assemble(H.training_matrix(train, coefs)).checkpoint(eager=True)
-    booster = B.gbt_estimator({"min_data_in_leaf": 20}, max_iter=3, depth_cap=3).fit(tm)
+    booster = B.gbt_estimator({"min_data_in_leaf": 20, "num_leaves": 8}, max_iter=3).fit(tm)
     return H.scoring_pipeline(H.coefs_dict(coefs), booster)
 
 
@@ -89,9 +89,41 @@ def test_runs_append(spark, tmp_dir):
     assert len(best) == 1 and best[0]["run_no"] == 0  # tie on rmse: earliest run
 
 
+def test_runs_without_a_metric_cannot_win(spark):
+    rows = [(0, None), (1, float("nan")), (2, 3.0), (3, 2.0)]
+    runs = spark.createDataFrame(rows, "run_no int, rmse double")
+    assert [tuple(r) for r in A.best_run(runs).collect()] == [(3, 2.0)]
+    assert A.best_run(runs.filter("run_no < 2")).collect() == []
+
+
+def test_median_of_a_bin_is_exact(spark):
+    rng = np.random.default_rng(8)
+    rows = [(float(p), float(e)) for p, e in zip(rng.choice([10, 70, 130], 999), np.round(rng.normal(0, 50, 999), 1))]
+    rows += [(10.0, None), (190.0, 5.0), (250.0, None)]
+    df = spark.createDataFrame(rows, "predicted double, residual double")
+    got = {r["predicted_bin"]: (r["n"], r["median_residual"]) for r in A.residual_profile(df).collect()}
+    for b in (0, 1, 2, 3):
+        own = [e for p, e in rows if p // 60 == b and e is not None]
+        assert got[b][0] == len(own) and got[b][1] == pytest.approx(np.median(own))
+    assert got[4] == (0, None)
+
+
 def test_depth_ladder():
     assert B.depth_for_leaves(255) == 8 and B.depth_for_leaves(127) == 7
-    assert B.depth_for_leaves(255, 5) == 5 and B.depth_for_leaves(127, 5) == 4
+    assert B.depth_for_leaves(8) == 3 and B.depth_for_leaves(9) == 4
+
+
+def test_predictions_go_back_to_their_request(spark):
+    import json
+
+    rows = [{"VendorID": 1, "tpep_pickup_datetime": "2013-01-01 08:20:00", "passenger_count": 1, "trip_distance": float(d),
+             "PULocationID": 1, "DOLocationID": 2} for d in (3, 1, 2)]
+    bodies = spark.createDataFrame([("a", json.dumps({"data": rows})), ("b", json.dumps({"data": rows[:1]})), ("c", "{}")],
+                                   "request string, body string")
+    parsed = R.parse_requests(bodies, carry=("request",))
+    assert parsed.filter("request = 'c'").select("is_valid").first()[0] is False
+    out = R.predictions_body(parsed.filter("is_valid"), "position", S.DISTANCE, ("request",)).collect()
+    assert {r["request"]: json.loads(r["body"])["predictions"] for r in out} == {"a": [3.0, 1.0, 2.0], "b": [3.0]}
 
 
 def test_predictions_body_keeps_request_order(spark):
@@ -131,7 +163,7 @@ def test_incremental_boosting_adds_trees_per_group(spark):
     coefs = TR.fit_ridge(A.daily_stats(train))
     tm = B.assemble(H.training_matrix(train, coefs)).withColumn("grp", F.col("pickup_year"))
     n_groups = tm.select("grp").distinct().count()
-    ens = B.fit_incremental(tm, "grp", {"min_data_in_leaf": 20}, trees_per_group=2, depth_cap=3)
+    ens = B.fit_incremental(tm, "grp", {"min_data_in_leaf": 20, "num_leaves": 8}, trees_per_group=2)
     assert len(ens.trees) == 2 * n_groups
     scored = ens.transform(tm).select(F.avg((F.col("label") - F.col("log_correction")) ** 2).alias("mse"),
                                       F.var_pop("label").alias("var")).first()

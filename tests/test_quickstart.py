@@ -19,8 +19,8 @@ def test_train_from_files_and_serve(spark):
     year = F.year("tpep_pickup_datetime")
     model_path = scratch_path(spark, "qs-model")
     runs = H.train_and_evaluate(raw.filter(year < 2000), raw.filter(year == 2000),
-                                ["file_no", "batch_in_file"], ["file_no", "row_index"],
-                                GBT_GRID[:2], max_rounds=2, depth_cap=3, model_path=model_path)
+                                ["file_no", "batch_in_file"],
+                                GBT_GRID[:2], model_path=model_path, max_rounds=2, final_rounds=2)
     assert len(runs) == 3 and runs[-1]["final"] is True and runs[-1]["n"] > 0
     serve = H.serving_pipeline(H.load_model(model_path))
     body = json.dumps({"data": [{"VendorID": 1, "tpep_pickup_datetime": "2000-03-15 08:20:00",

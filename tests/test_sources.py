@@ -80,8 +80,15 @@ def test_validation_day_fallback(spark):
     raw = T.trips_raw(spark, "/root/testdata/sf0.001")
     hit = T.validation_day(raw, 1998, 3, 15)
     assert hit.filter(F.to_date(S.PICKUP) != F.lit("1998-03-15").cast("date")).count() == 0
-    miss = T.validation_day(raw, 2030, 3, 15, order_cols=[S.PICKUP])
-    assert miss.count() == 0  # no trips at all in that month
+    assert hit.count() > 0
+    assert T.validation_day(raw, 2030, 3, 15).count() == 0
+    # a day without trips gives them only to a caller who asks for the month instead
+    march = raw.filter(F.to_date(S.PICKUP) != F.lit("1998-03-15").cast("date"))
+    assert T.validation_day(march, 1998, 3, 15).count() == 0
+    month = T.validation_day_or_month(march, 1998, 3, 15, 5, [S.PICKUP]).collect()
+    assert len(month) == 5 and all(r["is_fallback"] and r[S.PICKUP].month == 3 for r in month)
+    same = T.validation_day_or_month(raw, 1998, 3, 15, 5, [S.PICKUP])
+    assert same.count() == hit.count() and same.filter("is_fallback").count() == 0
 
 
 def test_shared_folder_is_required_off_the_local_master():
@@ -93,3 +100,33 @@ def test_shared_folder_is_required_off_the_local_master():
     session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d=None: d))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(session)
+
+
+def test_files_of_different_schema_lose_no_rows(spark, tmp_dir):
+    import datetime as dt
+
+    at = dt.datetime(2013, 1, 1, 8)
+    one = [(1, at, at + dt.timedelta(minutes=10), 2, 1.5, 1, 2)]
+    spark.createDataFrame(one, "VendorID long, tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, "
+                               "passenger_count int, trip_distance double, PULocationID long, DOLocationID long"
+                          ).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/months")
+    spark.createDataFrame([(*one[0][:3], 2.0, *one[0][4:])], "vendor_id long, pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz, "
+                               "Passenger_Count double, Trip_Distance double, pu_location_id long, do_location_id long"
+                          ).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/months")
+    df = T.scan_trips(spark, f"{tmp_dir}/months")
+    rows = df.select(S.VENDOR, S.PICKUP, S.PASSENGERS, S.DISTANCE).collect()
+    assert [tuple(r) for r in rows] == [(1, at, 2.0, 1.5)] * 2
+    assert T.with_batch_ids(df, 10).select("file_no").distinct().count() == 2
+    from tripcast.operators.clean import preprocess
+
+    assert preprocess(df, standardize_columns=True)[0].count() == 2
+    spark.createDataFrame([(1,)], "VendorID long").coalesce(1).write.mode("append").parquet(f"{tmp_dir}/months")
+    with pytest.raises(ValueError, match="lack"):
+        T.scan_trips(spark, f"{tmp_dir}/months")
+
+
+def test_small_fractions_keep_their_share(spark):
+    from tripcast.operators.sampling import sample_fraction
+
+    raw = T.trips_raw(spark, "/root/testdata/sf0.1")
+    assert 8 <= sample_fraction(raw, 4e-5, 1).count() <= 48      # 24 of 600,000 expected

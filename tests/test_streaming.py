@@ -1,22 +1,83 @@
 import numpy as np
-import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tripcast.operators import windows as W
 from tripcast.streaming import streams as ST
 
+SCHEMA = "key long, sq_err double, is_reload boolean"
 
-def test_drift_stream_equals_batch(spark):
-    rng = np.random.default_rng(11)
-    n = 400
-    pdf = pd.DataFrame({"key": np.arange(n, dtype="int64"), "sq_err": rng.exponential(3000, n),
-                        "is_reload": rng.random(n) < 0.08})
-    df = spark.createDataFrame(pdf)
-    path = ST.split_into_files(df, "key", 5, "test-drift")
-    stream = ST.file_stream(spark, path, df.schema)
-    got = ST.drift_stream(stream, "key", "is_reload", 60.0, chunk_rows=32).orderBy("key").toPandas()
-    exp = W.drift_alerts(df, "key", F.col("is_reload"), 60.0, chunk_rows=32).orderBy("key").toPandas()
-    assert list(got["key"]) == list(exp["key"])
-    assert list(got["epoch"]) == list(exp["epoch"])
-    # alerts were raised in more than one micro-batch: state crossed batch boundaries
-    assert got["batch_id"].nunique() > 1
+
+def arrive(spark, folder, rows, per_file):
+    """Files of ``per_file`` rows that the file source takes one by one, in order."""
+    import os
+    import time
+
+    for n, i in enumerate(range(0, len(rows), per_file)):
+        path = f"{folder}/stage-{rows[i][0]:08d}"
+        spark.createDataFrame(rows[i:i + per_file], SCHEMA).coalesce(1).write.parquet(path)
+        part = next(f for f in os.listdir(path) if f.endswith(".parquet"))
+        target = f"{folder}/in/{rows[i][0]:08d}.parquet"
+        os.makedirs(f"{folder}/in", exist_ok=True)
+        with open(f"{path}/{part}", "rb") as source, open(target, "wb") as out:
+            out.write(source.read())
+        stamp = time.time() - 10_000 + rows[i][0]
+        os.utime(target, (stamp, stamp))
+    return f"{folder}/in"
+
+
+def alerts(df):
+    return [(r["epoch"], r["key"]) for r in df.orderBy("key").collect()]
+
+
+def random_rows(n, seed):
+    rng = np.random.default_rng(seed)
+    return [(i, None if rng.random() < 0.2 else float("nan") if rng.random() < 0.05 else float(rng.exponential(3000)),
+             bool(rng.random() < 0.15)) for i in range(n)]
+
+
+@pytest.mark.parametrize(("per_file", "n"), [(1, 9), (2, 14), (3, 18), (80, 240)])
+def test_drift_stream_equals_batch(spark, tmp_dir, per_file, n):
+    rows = random_rows(n, per_file)
+    df = spark.createDataFrame(rows, SCHEMA)
+    folder = arrive(spark, tmp_dir, rows, per_file)
+    got = ST.drift_stream(ST.file_stream(spark, folder, df.schema), "key", "is_reload", 40.0, chunk_rows=32)
+    assert alerts(got) == alerts(W.drift_alerts(df, "key", F.col("is_reload"), 40.0, chunk_rows=32))
+
+
+def test_reload_without_an_error_clears_the_latch(spark, tmp_dir):
+    big = 100.0 ** 2
+    rows = [(i, big, False) for i in range(6)] + [(6, None, True)] + [(i, big, False) for i in range(7, 9)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    folder = arrive(spark, tmp_dir, rows, 7)
+    got = ST.drift_stream(ST.file_stream(spark, folder, df.schema), "key", "is_reload", 60.0)
+    assert alerts(got) == [(0, 4), (1, 7)] == alerts(W.drift_alerts(df, "key", F.col("is_reload"), 60.0))
+
+
+def test_a_stopped_stream_goes_on_where_it_was(spark, tmp_dir):
+    rows = random_rows(18, 5)
+    df = spark.createDataFrame(rows, SCHEMA)
+    places = {"alerts_path": f"{tmp_dir}/alerts", "state_path": f"{tmp_dir}/state", "checkpoint": f"{tmp_dir}/ckpt"}
+    for part in (rows[:9], rows[9:]):
+        folder = arrive(spark, tmp_dir, part, 3)
+        got = ST.drift_stream(ST.file_stream(spark, folder, df.schema), "key", "is_reload", 40.0, **places)
+    assert alerts(got) == alerts(W.drift_alerts(df, "key", F.col("is_reload"), 40.0))
+
+
+def test_nan_errors_raise_no_alarm(spark):
+    rows = [(i, float("nan") if i < 6 else 1.0, False) for i in range(12)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert df.filter(F.isnan("sq_err")).count() == 6
+    assert alerts(W.drift_alerts(df, "key", F.col("is_reload"), 60.0)) == []
+    assert W.sliding_rmse(df, "key").filter(F.isnan("rmse")).count() == 0
+
+
+def test_nothing_written_is_an_empty_table_and_other_errors_are_raised(spark, tmp_dir):
+    from pyspark.sql import types as T
+
+    schema = T.StructType.fromDDL("a long")
+    assert ST.read_if_written(spark, f"{tmp_dir}/nowhere", schema).collect() == []
+    with open(f"{tmp_dir}/broken.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception, match="(?i)parquet|magic"):
+        ST.read_if_written(spark, f"{tmp_dir}/broken.parquet", schema).collect()

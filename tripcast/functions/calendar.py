@@ -8,6 +8,8 @@ inside whole-stage code generation.
 from __future__ import annotations
 
 import math
+from calendar import monthrange
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,36 +43,31 @@ def to_day(ts: Column) -> Column:
     return F.to_date(ts)
 
 
-def _fixed_holiday(d: Column, month: int, day: int, first_year: int) -> Column:
-    y = F.year(d)
-    dow = F.dayofweek(d)
-    same_day = (F.month(d) == month) & (F.dayofmonth(d) == day)
-    # a Friday whose next day is the holiday, a Monday whose previous day is
-    nxt, prv = F.date_add(d, 1), F.date_sub(d, 1)
-    fri_before = (dow == _FRI) & (F.month(nxt) == month) & (F.dayofmonth(nxt) == day)
-    mon_after = (dow == _MON) & (F.month(prv) == month) & (F.dayofmonth(prv) == day)
-    return ((same_day & (y >= first_year))
-            | (fri_before & (F.year(nxt) >= first_year))
-            | (mon_after & (F.year(prv) >= first_year)))
-
-
-def _weekday_holiday(d: Column, month: int, dow: int, nth: int, first_year: int) -> Column:
-    dom = F.dayofmonth(d)
-    if nth == -1:
-        which = dom > F.dayofmonth(F.last_day(d)) - 7
-    else:
-        which = F.floor((dom - 1) / 7) == (nth - 1)
-    return (F.month(d) == month) & (F.dayofweek(d) == dow) & which & (F.year(d) >= first_year)
+def _holiday_rules() -> dict[tuple[int | None, int], list[int]]:
+    """(weekday or None, first year) -> days as month * 100 + day."""
+    rules: dict[tuple[int | None, int], list[int]] = {}
+    for month, day, first in FIXED_HOLIDAYS:
+        # any year without a leap day serves to step over a month's end
+        at = date(2001, month, day)
+        before, after = at - timedelta(days=1), at + timedelta(days=1)
+        rules.setdefault((None, first), []).append(month * 100 + day)
+        # the year of the holiday counts, which for Dec 31 is the next
+        rules.setdefault((_FRI, first - (before.year < at.year)), []).append(before.month * 100 + before.day)
+        rules.setdefault((_MON, first + (after.year > at.year)), []).append(after.month * 100 + after.day)
+    for month, weekday, nth, first in WEEKDAY_HOLIDAYS:
+        last = monthrange(2001, month)[1]
+        begin = last - 6 if nth == -1 else 7 * nth - 6
+        rules.setdefault((weekday, first), []).extend(month * 100 + d for d in range(begin, begin + 7))
+    return rules
 
 
 def is_us_holiday(d: Column) -> Column:
-    """1 when the date is a US federal holiday or an observed day of one."""
-    cond = None
-    for m, day, y0 in FIXED_HOLIDAYS:
-        c = _fixed_holiday(d, m, day, y0)
-        cond = c if cond is None else cond | c
-    for m, dow, nth, y0 in WEEKDAY_HOLIDAYS:
-        cond = cond | _weekday_holiday(d, m, dow, nth, y0)
+    """1 when the date is a US federal holiday or an observed day of one: a
+    few set lookups of the day in the year, most of them behind the weekday."""
+    day, weekday, cond = F.month(d) * 100 + F.dayofmonth(d), F.dayofweek(d), F.lit(False)
+    for (on, first), days in _holiday_rules().items():
+        rule = day.isin(*days) & (F.year(d) >= first)
+        cond = cond | (rule if on is None else (weekday == on) & rule)
     return F.coalesce(cond, F.lit(False)).cast("int")
 
 

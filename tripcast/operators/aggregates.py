@@ -9,10 +9,11 @@ before the exchange.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripcast import schema as S
+from tripcast.operators.joins import join_small
 
 
 def daily_partial(df: DataFrame, batch_cols: list[str]) -> DataFrame:
@@ -58,23 +59,21 @@ def regression_metrics(df: DataFrame, actual: str = "actual", predicted: str = "
     return df.groupBy(*(group_cols or [])).agg(*aggs)
 
 
-def batch_metrics(df: DataFrame, batch_col: str = "batch_no", every: int = 15,
+def batch_metrics(df: DataFrame, batch_cols: list[str], every: int = 15,
                   actual: str = "actual", predicted: str = "predicted") -> DataFrame:
-    """A4: RMSE / MAE for every batch, with ``is_logged`` marking the batches
-    the reference reports (every ``every``-th)."""
-    m = regression_metrics(df, actual, predicted, [batch_col]).drop("r2")
-    return m.withColumn("is_logged", (F.col(batch_col) % every == 0))
+    """A4: RMSE / MAE for every batch (its number is the last of
+    ``batch_cols``), with ``is_logged`` marking every ``every``-th."""
+    m = regression_metrics(df, actual, predicted, batch_cols).drop("r2")
+    return m.withColumn("is_logged", (F.col(batch_cols[-1]) % every == 0))
 
 
 def density_2d(df: DataFrame, actual: str = "actual", predicted: str = "predicted",
-               cell: float = 60.0, lo: float = 0.0, hi: float = 3000.0) -> DataFrame:
-    """A5: counts on a square grid of ``cell`` seconds within [lo, hi);
-    empty cells do not appear."""
+               cell: float = 60.0) -> DataFrame:
+    """A5: counts on a square grid of ``cell`` seconds over the whole range;
+    empty cells do not appear, rows without a value count in a NULL cell."""
     a, p = F.col(actual), F.col(predicted)
-    inside = (a >= lo) & (a < hi) & (p >= lo) & (p < hi)
-    return (df.filter(inside)
-              .groupBy(F.floor((a - lo) / cell).cast("long").alias("actual_bin"),
-                       F.floor((p - lo) / cell).cast("long").alias("predicted_bin"))
+    return (df.groupBy(F.floor(a / cell).cast("long").alias("actual_bin"),
+                       F.floor(p / cell).cast("long").alias("predicted_bin"))
               .agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -96,23 +95,49 @@ def residual_histogram(df: DataFrame, residual: str = "residual", bins: int = 10
 
 
 def residual_profile(df: DataFrame, predicted: str = "predicted", residual: str = "residual",
-                     cell: float = 60.0, exact: bool = True) -> DataFrame:
+                     cell: float = 60.0, fine: float = 1.0) -> DataFrame:
     """Residuals binned by predicted value: count, mean, stddev and the
-    median (exact ``percentile`` or ``percentile_approx`` at scale)."""
-    p, e = F.col(predicted), F.col(residual)
-    med = F.percentile(e, 0.5) if exact else F.percentile_approx(e, 0.5, 10000)
-    return (df.groupBy(F.floor(p / cell).cast("long").alias("predicted_bin"))
-              .agg(F.count(e).alias("n"), F.avg(e).alias("mean_residual"),
-                   F.stddev_samp(e).alias("sd_residual"), med.alias("median_residual")))
+    exact median.
+
+    No task holds a bin's residuals: they are counted in cells of ``fine``
+    seconds first (partial aggregates), the running count per bin tells which
+    cells hold the one or two middle ranks, and only the distinct values of
+    those cells are counted and ranked."""
+    e = F.col(residual)
+    rows = df.select(F.floor(F.col(predicted) / cell).cast("long").alias("predicted_bin"), e.alias("_e"))
+    stats = rows.groupBy("predicted_bin").agg(F.count("_e").alias("n"), F.avg("_e").alias("mean_residual"),
+                                              F.stddev_samp("_e").alias("sd_residual"))
+    valued = rows.filter("_e is not null").withColumn("_b", F.coalesce("predicted_bin", F.lit(-(1 << 62))))
+    valued = valued.withColumn("_c", F.floor(F.col("_e") / fine))
+    by_bin = Window.partitionBy("_b")
+    low, high = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
+
+    def ranked(counts: DataFrame, order: str, start) -> DataFrame:
+        upto = F.sum("_k").over(by_bin.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+        return counts.withColumn("_to", upto + start)
+
+    cells = ranked(valued.groupBy("_b", "_c").agg(F.count(F.lit(1)).alias("_k")).withColumn(
+        "_n", F.sum("_k").over(by_bin)), "_c", F.lit(0))
+    # at most two cells a bin
+    middle = cells.filter((F.col("_to") >= low) & (F.col("_to") - F.col("_k") < high)).select(
+        "_b", "_c", "_n", (F.col("_to") - F.col("_k")).alias("_before"))
+    values = (join_small(valued, middle, ["_b", "_c"], "inner").groupBy("_b", "_c", "_e")
+              .agg(F.count(F.lit(1)).alias("_k"), F.min("_n").alias("_n"), F.min("_before").alias("_before")))
+    first = F.min("_before").over(by_bin)
+    values = ranked(values.withColumn("_first", first), "_e", F.col("_first"))
+    here = (F.col("_to") >= low) & (F.col("_to") - F.col("_k") < high)
+    median = values.filter(here).groupBy("_b").agg(((F.min("_e") + F.max("_e")) / 2).alias("median_residual"))
+    keyed = stats.withColumn("_b", F.coalesce("predicted_bin", F.lit(-(1 << 62))))
+    return join_small(keyed, median, ["_b"], "left").drop("_b")
 
 
 def best_run(runs: DataFrame, metric: str = "rmse", order_col: str = "run_no") -> DataFrame:
     """The run with the lowest metric; the earliest run wins a tie.
-    ``min_by`` over a struct is a single partial/final aggregate."""
-    key = F.struct(F.col(metric), F.col(order_col))
-    best = runs.agg(F.min(key).alias("k"))
-    return runs.join(F.broadcast(best), (runs[metric] == F.col("k")[metric])
-                     & (runs[order_col] == F.col("k")[order_col])).drop("k")
+    Runs without a metric (NULL or NaN) can't win.  ``min_by`` over a struct
+    is one partial/final aggregate."""
+    scored = runs.filter(F.col(metric).isNotNull() & ~F.isnan(metric))
+    best = scored.agg(F.min_by(F.struct(*runs.columns), F.struct(metric, order_col)).alias("k"))
+    return best.filter(F.col("k").isNotNull()).select("k.*")
 
 
 def round_doubles(df: DataFrame, digits: int = 6, skip: tuple[str, ...] = ()) -> DataFrame:

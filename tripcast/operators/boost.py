@@ -34,18 +34,12 @@ def assemble(df: DataFrame, features: list[str] = S.FEATURE_COLUMNS, out: str =
     return VectorAssembler(inputCols=features, outputCol=out, handleInvalid="keep").transform(df)
 
 
-def depth_for_leaves(num_leaves: int, cap: int | None = None) -> int:
-    """Level-wise depth holding ``num_leaves`` leaves.  With ``cap`` the whole
-    ladder is shifted down so the largest leaf count of the grid (255) maps
-    to ``cap`` and smaller counts stay smaller."""
-    d = max(1, math.ceil(math.log2(max(2, num_leaves))))
-    if cap:
-        top = math.ceil(math.log2(255))
-        d = max(1, min(cap, d - max(0, top - cap)))
-    return d
-
-
-def gbt_estimator(params: dict | None = None, max_iter: int | None = None, depth_cap: int | None = None,
+def depth_for_leaves(num_leaves: int) -> int:
+    """Level-wise depth holding ``num_leaves`` leaves."""
+    return max(1, math.ceil(math.log2(max(2, num_leaves))))
+
+
+def gbt_estimator(params: dict | None = None, max_iter: int | None = None,
                   seed: int = 42, label: str = "label", prediction: str = "log_correction") -> GBTRegressor:
     """M5: the booster estimator for a parameter dict in the reference's
     vocabulary (stepSize / num_leaves / max_bin / min_data_in_leaf / ...)."""
@@ -53,7 +47,7 @@ def gbt_estimator(params: dict | None = None, max_iter: int | None = None, depth
     p.update(params or {})
     return GBTRegressor(featuresCol="features", labelCol=label, predictionCol=prediction,
                         maxIter=max_iter or p["num_boost_round"], stepSize=p["stepSize"],
-                        maxDepth=depth_for_leaves(p["num_leaves"], depth_cap),
+                        maxDepth=depth_for_leaves(p["num_leaves"]),
                         maxBins=p["max_bin"] + 1, minInstancesPerNode=p["min_data_in_leaf"],
                         featureSubsetStrategy=str(p["feature_fraction"]),
                         subsamplingRate=p["bagging_fraction"], lossType="squared", seed=seed,
@@ -96,7 +90,7 @@ class TreeEnsemble:
 
 
 def fit_incremental(train: DataFrame, group_col: str, params: dict | None = None, trees_per_group: int = 2,
-                    depth_cap: int | None = None, seed: int = 42) -> TreeEnsemble:
+                    seed: int = 42) -> TreeEnsemble:
     """M6: boosting continued group by group (the reference adds two trees per
     loader batch).  For group g, each new tree is fit on the residual of the
     current ensemble over g's rows only.
@@ -123,7 +117,7 @@ def fit_incremental(train: DataFrame, group_col: str, params: dict | None = None
         cached = part
         for _ in range(trees_per_group):
             dt = DecisionTreeRegressor(featuresCol="features", labelCol="_resid", predictionCol="_tp",
-                                       maxDepth=depth_for_leaves(p["num_leaves"], depth_cap),
+                                       maxDepth=depth_for_leaves(p["num_leaves"]),
                                        maxBins=p["max_bin"] + 1, minInstancesPerNode=p["min_data_in_leaf"],
                                        seed=seed + len(ens.trees))
             model = dt.fit(part.withColumn("_resid", F.col("label") - F.col("_pred")))
@@ -135,25 +129,21 @@ def fit_incremental(train: DataFrame, group_col: str, params: dict | None = None
 
 
 def grid_search(train: DataFrame, valid: DataFrame, grid: list[dict], evaluate, max_iter: int,
-                depth_cap: int | None = None, parallelism: int = 2, seed: int = 42) -> list[dict]:
-    """M8: fit every candidate on the cached training matrix (candidates run
+                parallelism: int = 2, seed: int = 42) -> list[dict]:
+    """M8: fit every candidate on the checkpointed training matrix (candidates run
     concurrently from a driver thread pool, as ``TrainValidationSplit`` does
     with ``parallelism``), keep each one's best prefix on ``valid`` and score
     it with ``evaluate(model, n_trees) -> dict``.  Returns one dict per run,
     in grid order."""
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    valid = valid.persist(StorageLevel.MEMORY_AND_DISK)
 
     def run(i_params):
         i, params = i_params
-        model = gbt_estimator(params, max_iter=max_iter, depth_cap=depth_cap, seed=seed).fit(train)
+        model = gbt_estimator(params, max_iter=max_iter, seed=seed).fit(train)
         n_best, losses = best_prefix(model, valid)
-        out = {"run_no": i, **{k: float(v) for k, v in params.items()}, "best_iteration": n_best}
+        out = {"run_no": i, **{k: float(v) for k, v in params.items()}, "max_depth": model.getMaxDepth(),
+               "rounds": len(losses), "best_iteration": n_best}
         out.update(evaluate(model, n_best))
         return out
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        results = list(pool.map(run, list(enumerate(grid))))
-    train.unpersist()
-    valid.unpersist()
-    return results
+        return list(pool.map(run, list(enumerate(grid))))

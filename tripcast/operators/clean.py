@@ -103,10 +103,16 @@ def parse_request_timestamps(df: DataFrame, column: str = S.PICKUP) -> DataFrame
 # P5-P11
 # ---------------------------------------------------------------------------
 
+def number(value: Column) -> Column:
+    """NaN as NULL (in Spark's order NaN is above every number)."""
+    value = value.cast("double")
+    return F.when(~F.isnan(value), value)
+
+
 def drop_invalid(df: DataFrame, target: str = S.TARGET) -> DataFrame:
     """P5: drop rows without pickup / dropoff, with non-positive duration (only
     when the target already exists) or non-positive distance.  A SQL NULL
-    comparison is not true, so NULL distances drop like NaN ones."""
+    comparison is not true, so NULL and NaN distances drop."""
     cond = F.lit(True)
     if S.PICKUP in df.columns:
         cond = cond & F.col(S.PICKUP).isNotNull()
@@ -115,7 +121,7 @@ def drop_invalid(df: DataFrame, target: str = S.TARGET) -> DataFrame:
     if target in df.columns:
         cond = cond & (F.col(target) > 0)
     if S.DISTANCE in df.columns:
-        cond = cond & (F.col(S.DISTANCE) > 0)
+        cond = cond & (F.col(S.DISTANCE) > 0) & ~F.isnan(S.DISTANCE)    # the comparison reaches the scan
     return df.filter(cond)
 
 
@@ -148,18 +154,20 @@ def remove_outliers(df: DataFrame, target: str = S.TARGET) -> DataFrame:
 
 
 def coerce_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Numeric columns as double; text that is not a number -> NULL."""
+    """Numeric columns as double; NaN and text that is not a number -> NULL."""
     out = {}
     for c in columns or S.NUMERIC_COLUMNS:
-        if c in df.columns and not isinstance(df.schema[c].dataType, T.DoubleType):
-            out[c] = F.expr(f"try_cast(`{c}` AS DOUBLE)")
+        if c in df.columns:
+            out[c] = number(F.expr(f"try_cast(`{c}` AS DOUBLE)"))
     return df.withColumns(out) if out else df
 
 
 def fill_passengers(df: DataFrame) -> DataFrame:
-    """P10: NULL passenger_count -> 1 (a 0 stays 0)."""
+    """P10: NULL or NaN passenger_count -> 1 (a 0 stays 0)."""
     if S.PASSENGERS in df.columns:
-        return df.withColumn(S.PASSENGERS, F.coalesce(F.col(S.PASSENGERS), F.lit(S.DEFAULT_PASSENGERS)))
+        kind = df.schema[S.PASSENGERS].dataType
+        count = number(F.col(S.PASSENGERS)) if isinstance(kind, T.FractionalType) else F.col(S.PASSENGERS)
+        return df.withColumn(S.PASSENGERS, F.coalesce(count, F.lit(S.DEFAULT_PASSENGERS)))
     return df
 
 
@@ -284,7 +292,8 @@ def cleaning_audit(raw: DataFrame, target: str = S.TARGET) -> DataFrame:
     kept = columns_to_keep(False)
     unused = len([c for c in standardize_columns(raw).columns if c not in kept])
     df = add_trip_duration(parse_timestamps(keep_columns(standardize_columns(raw), kept)), target)
-    valid = (F.col(S.PICKUP).isNotNull() & F.col(S.DROPOFF).isNotNull() & (F.col(S.DISTANCE) > 0))
+    valid = (F.col(S.PICKUP).isNotNull() & F.col(S.DROPOFF).isNotNull()
+             & (number(F.col(S.DISTANCE)) > 0))
     t, d = F.col(target), F.col(S.DISTANCE)
     inlier = (t.between(S.MIN_DURATION_S, S.MAX_DURATION_S)
               & d.between(S.MIN_DISTANCE_MI, S.MAX_DISTANCE_MI)

@@ -146,25 +146,26 @@ def _trend_and_matrix(featured: DataFrame) -> tuple[dict, DataFrame]:
     return coefs, base
 
 
-def train_and_evaluate(train_raw: DataFrame, test_raw: DataFrame, batch_cols: list[str], order_cols: list[str],
-                       grid: list[dict], max_rounds: int, depth_cap: int | None, model_path: str,
-                       parallelism: int = 2) -> list[dict]:
-    """Tune on a 1 % sample (validated on 5 % of the test year), fit the
-    final trend and booster on a 10 % sample with the best parameters, score
-    an exact 7.5 % of at most 500 test batches, save the model (S9).  Returns
-    one dict per run (grid runs, then the final run) for S10.
-
-    ``*_raw`` are raw trip rows with loader batch ids ``batch_cols`` (the
-    first of them is the file).  Every sample is a per-batch hash draw, and
-    each training matrix is checkpointed once for the boosting passes.  The
-    final booster has TREES_PER_FILE trees per training file (the reference
-    adds two trees per loader batch while streaming; MLlib fits them over
-    the whole sample at once)."""
-    rate, seed = S.TUNE_SAMPLE
-    tune = _featurize(L.sample_fraction(train_raw, rate, seed, batch_cols))
-    rate, seed = S.VALID_SAMPLE
-    valid = _featurize(L.sample_fraction(test_raw, rate, seed, batch_cols))
-    _, base = _trend_and_matrix(tune)
+def train_and_evaluate(train_raw: DataFrame, test_raw: DataFrame, batch_cols: list[str],
+                       grid: list[dict], model_path: str, max_rounds: int = 20, final_rounds: int = 20,
+                       tune_sample: tuple[float, int] = S.TUNE_SAMPLE,
+                       final_sample: tuple[float, int] = S.FINAL_SAMPLE,
+                       min_batch_rows: int | None = S.SAMPLE_MIN_BATCH_ROWS, parallelism: int = 2) -> list[dict]:
+    """Tune the booster on ``tune_sample`` (rate, seed) of the training
+    rows, fit the final one on ``final_sample`` with the best parameters and
+    ``final_rounds`` trees, save the model (S9).  Only booster fits see a
+    sample: the trend is fitted on every training row, candidates are compared
+    and the saved model is scored on every test row.  Returns one dict per run
+    (grid runs, then the final run) for S10.
+
+    ``*_raw`` are raw trip rows with loader batch ids ``batch_cols``.  Every
+    sample is a per-batch hash draw (batches of at most ``min_batch_rows``
+    rows whole); each matrix is checkpointed once for the boosting passes."""
+    test = _featurize(test_raw)
+    coefs, base = _trend_and_matrix(_featurize(train_raw))
+    rate, seed = tune_sample
+    tune = _featurize(L.sample_fraction(train_raw, rate, seed, batch_cols, min_batch_rows))
+    valid = test
     tm = B.assemble(TR.log_ratio_target(base.transform(tune))).checkpoint(eager=True)
     vm = B.assemble(TR.log_ratio_target(base.transform(valid))).checkpoint(eager=True)
 
@@ -175,23 +176,18 @@ def train_and_evaluate(train_raw: DataFrame, test_raw: DataFrame, batch_cols: li
         r = A.regression_metrics(sc).first()
         return {"rmse": r["rmse"], "mae": r["mae"], "r2": r["r2"]}
 
-    results = B.grid_search(tm, vm, grid, score, max_rounds, depth_cap=depth_cap, parallelism=parallelism)
+    results = B.grid_search(tm, vm, grid, score, max_rounds, parallelism=parallelism)
     best = min(results, key=lambda r: (r["rmse"], r["run_no"]))
     params = {k: best[k] for k in ("stepSize", "num_leaves")}
 
-    rate, seed = S.FINAL_SAMPLE
-    final = _featurize(L.sample_fraction(train_raw, rate, seed, batch_cols))
-    coefs, base = _trend_and_matrix(final)
+    rate, seed = final_sample
+    final = _featurize(L.sample_fraction(train_raw, rate, seed, batch_cols, min_batch_rows))
     fm = B.assemble(TR.log_ratio_target(base.transform(final))).checkpoint(eager=True)
-    n_files = train_raw.select(batch_cols[0]).distinct().count()
-    rounds = max(1, min(max_rounds, S.TREES_PER_FILE * n_files))
-    booster = B.gbt_estimator(params, max_iter=rounds, depth_cap=depth_cap).fit(fm)
+    booster = B.gbt_estimator(params, max_iter=final_rounds).fit(fm)
     save_model(scoring_pipeline(coefs, booster), model_path)
 
-    rate, seed = S.EVAL_SAMPLE
-    ev = L.sample_exact(test_raw, rate, seed, batch_cols, order_cols)
-    ev = L.cap_batches(_featurize(ev, batch_cols), batch_cols, S.EVAL_MAX_BATCHES)
-    m = evaluate(load_model(model_path).transform(ev)).first()
-    results.append({"run_no": len(results), **params, "rounds": rounds, "final": True,
+    m = evaluate(load_model(model_path).transform(test)).first()
+    results.append({"run_no": len(results), **params, "max_depth": booster.getMaxDepth(),
+                    "rounds": len(booster.trees), "final": True,
                     "rmse": m["rmse"], "mae": m["mae"], "r2": m["r2"], "n": m["n"]})
     return results

@@ -21,7 +21,6 @@ from tripcast.operators.clean import epoch_ntz
 _MOD = 2147483648          # 2^31
 _MUL = 1103515245
 _INC = 12345
-UNIT_SCALE = 10000          # draws are integers 0..9999
 
 
 def _step(x: Column) -> Column:
@@ -40,13 +39,6 @@ def mix(parts: list[Column], seed: int = 0) -> Column:
     return h
 
 
-def row_unit(parts: list[Column], seed: int = 0) -> Column:
-    """Uniform integer draw 0..9999 from the high bits of the mix."""
-    return F.floor(mix(parts, seed) * F.lit(UNIT_SCALE) / F.lit(float(_MOD))).cast("long")
-
-
-
-
 def trip_key_parts(df: DataFrame) -> list[Column]:
     """Row identity of a trip for hashing: pickup second, zones, vendor and
     distance in 1/100 mile."""
@@ -62,8 +54,8 @@ def _cols(c) -> list[str]:
 
 
 def fraction_keep(df: DataFrame, fraction: float, seed: int) -> Column:
-    """The L1 draw as a condition: the row's draw is below fraction x 10000."""
-    return row_unit(trip_key_parts(df), seed) < F.lit(int(round(fraction * UNIT_SCALE)))
+    """The L1 draw as a condition: the row's mix is below fraction x 2^31."""
+    return mix(trip_key_parts(df), seed) < F.lit(fraction * _MOD)
 
 
 def with_exact_rank(df: DataFrame, seed: int, batch_col, tie_cols: list[str]) -> DataFrame:
@@ -80,10 +72,9 @@ def exact_keep(fraction: float) -> Column:
 
 
 def sample_fraction(df: DataFrame, fraction: float, seed: int, batch_col=None,
-                    min_batch_rows: int | None = S.SAMPLE_MIN_BATCH_ROWS) -> DataFrame:
-    """L1 + L3: keep a row when its draw < fraction * 10000; with a batch
-    column and ``min_batch_rows``, batches of at most that many rows are kept
-    whole (training), with ``min_batch_rows=None`` every batch is sampled."""
+                    min_batch_rows: int | None = None) -> DataFrame:
+    """L1 + L3: keep a ``fraction`` of the rows; if the caller asks for it
+    with ``min_batch_rows``, batches of at most that many rows stay whole."""
     keep = fraction_keep(df, fraction, seed)
     if batch_col is None or min_batch_rows is None:
         return df.filter(keep)
@@ -110,11 +101,10 @@ def hard_case_sample(df: DataFrame, actual: str, baseline: str, seed: int,
     """L4: rows whose relative error against the baseline exceeds
     ``threshold``, plus a ``random_fraction`` draw of all rows."""
     err = F.abs(F.col(actual) - F.col(baseline)) / F.col(baseline)
-    rnd = row_unit(trip_key_parts(df), seed) < F.lit(int(round(random_fraction * UNIT_SCALE)))
-    return df.filter((err > threshold) | rnd)
+    return df.filter((err > threshold) | fraction_keep(df, random_fraction, seed))
 
 
-def cap_batches(df: DataFrame, batch_cols: list[str], max_batches: int = S.EVAL_MAX_BATCHES) -> DataFrame:
+def cap_batches(df: DataFrame, batch_cols: list[str], max_batches: int) -> DataFrame:
     """Keep only the first ``max_batches`` non-empty batches.
 
     The first batches are a top-k over the distinct batch ids (TakeOrdered,

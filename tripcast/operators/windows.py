@@ -89,10 +89,10 @@ def sliding_rmse(errors: DataFrame, key: str, sq_err: str = "sq_err", k: int = S
                  chunk_rows: int = CHUNK_ROWS_DEFAULT, key_is_unique: bool = True) -> DataFrame:
     """RMSE over the last ``k`` squared errors at every row; ``window_full``
     marks rows that have ``k`` errors behind them.  Rows without an error
-    (NULL) do not enter the window.  With ``key_is_unique=False`` (an arrival
+    (NULL or NaN) do not enter the window.  With ``key_is_unique=False`` (an arrival
     order with ties or repeated keys) the rows are first given a dense
     sequence in key order, which bounds every chunk by ``chunk_rows``."""
-    valid = errors.filter(F.col(sq_err).isNotNull())
+    valid = errors.filter(F.col(sq_err).isNotNull() & ~F.isnan(sq_err))
     if not key_is_unique:
         from tripcast.operators.sequence import dense_sequence
 
@@ -149,7 +149,7 @@ def call_window_rmse(errors: DataFrame, key: str, call_col: str, sq_err: str = "
     """State after each validate call (``call_col`` groups, monotone in
     ``key``): RMSE over the last ``k`` errors of all calls so far.  Needs only
     the last k rows per call plus the carry-over from earlier calls."""
-    valid = errors.filter(F.col(sq_err).isNotNull())
+    valid = errors.filter(F.col(sq_err).isNotNull() & ~F.isnan(sq_err))
     tails = last_k_per_group(valid, key, call_col, k, chunk_rows)
     ext = with_predecessors(tails, key, call_col, k)
     w_last = Window.partitionBy(call_col).orderBy(F.col(key).desc())

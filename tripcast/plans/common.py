@@ -11,7 +11,7 @@ from tripcast.sources.trips import trips_raw
 
 # --- fixed values: how the registered queries use the fixture ---------------
 TRAIN_BEFORE_YEAR = 2000      # train on pickup years < 2000
-TEST_YEAR = 2000              # evaluate / validate on 2000
+TEST_FROM_YEAR = 2000         # evaluate / validate on 2000 and later
 FIXTURE_BATCH_ROWS = 2000     # loader batch size on the fixture (files = pickup years)
 VALIDATION_DATE = (2000, 3, 15)
 RAW_ORDER = [S.PICKUP, S.DROPOFF, S.VENDOR, S.PU_ZONE, S.DO_ZONE, S.DISTANCE, S.PASSENGERS, "fare_amount"]
@@ -52,4 +52,4 @@ def featured_with_pickup(df: DataFrame) -> DataFrame:
 
 
 def split_years(df: DataFrame, year_col: str = "pickup_year") -> tuple[DataFrame, DataFrame]:
-    return (df.filter(F.col(year_col) < TRAIN_BEFORE_YEAR), df.filter(F.col(year_col) == TEST_YEAR))
+    return (df.filter(F.col(year_col) < TRAIN_BEFORE_YEAR), df.filter(F.col(year_col) >= TEST_FROM_YEAR))

@@ -123,8 +123,9 @@ def mix(seed: int, parts: list[str] = TRIP_KEY_PARTS) -> str:
     return h
 
 
-def unit(seed: int, parts: list[str] = TRIP_KEY_PARTS) -> str:
-    return f"CAST(floor(({mix(seed, parts)}) * 10000 / {float(_MOD)}) AS BIGINT)"
+def below(seed: int, fraction: float, parts: list[str] = TRIP_KEY_PARTS) -> str:
+    """The draw that keeps a fraction of the rows."""
+    return f"({mix(seed, parts)}) < {fraction * _MOD}"
 
 
 def with_ctes(*blocks: str) -> str:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from tripcast import schema as S
 from tripcast.plans import common as Q
-from tripcast.plans.oracle_base import (CLEAN_BASE, RAW_ORDER, TRIPS_FEATP, TRIPS_RAW, dur, holiday, mix, unit,
+from tripcast.plans.oracle_base import (CLEAN_BASE, RAW_ORDER, TRIPS_FEATP, TRIPS_RAW, dur, holiday, below, mix,
                                         with_ctes)
 
+CAP_BATCHES = 3
 PICK = "tpep_pickup_datetime"
 CLEAN_ORDER = ("tpep_pickup_datetime, tpep_dropoff_datetime, VendorID, PULocationID, DOLocationID, "
                "trip_distance, passenger_count")
@@ -19,7 +20,7 @@ RAW_B = f"""
                    / {Q.FIXTURE_BATCH_ROWS}) AS BIGINT) AS batch_no FROM trips_raw),
  raw_bn AS (SELECT *, count(*) OVER (PARTITION BY file_year, batch_no) AS bn FROM raw_b)"""
 
-L1 = f""" l1 AS (SELECT {RAW_COLS}, file_year, batch_no FROM raw_bn WHERE bn <= 1000 OR {unit(124961)} < 1000)"""
+L1 = f""" l1 AS (SELECT {RAW_COLS}, file_year, batch_no FROM raw_bn WHERE bn <= 1000 OR {below(124961, 0.10)})"""
 L2 = f""" l2r AS (SELECT *, row_number() OVER (PARTITION BY file_year, batch_no
                       ORDER BY {mix(42)}, {RAW_ORDER}) AS rk FROM raw_bn),
  l2 AS (SELECT {RAW_COLS}, file_year, batch_no FROM l2r WHERE rk <= round_even(bn * 0.075, 0))"""
@@ -40,7 +41,7 @@ def _clean_from(src: str, carry: str = "") -> str:
 
 EVAL = f"""
  tr AS (SELECT * FROM trips_featp WHERE pickup_year < {Q.TRAIN_BEFORE_YEAR}),
- te AS (SELECT * FROM trips_featp WHERE pickup_year = {Q.TEST_YEAR}),
+ te AS (SELECT * FROM trips_featp WHERE pickup_year >= {Q.TEST_FROM_YEAR}),
  hourly AS (SELECT pickup_hour, avg(trip_duration) AS predicted FROM tr GROUP BY pickup_hour),
  ev AS (SELECT te.{PICK}, te.pickup_hour, trip_duration AS actual, predicted, trip_duration - predicted AS residual
         FROM te LEFT JOIN hourly USING (pickup_hour))"""
@@ -79,13 +80,13 @@ LEFT JOIN (SELECT file_year, batch_no, count(*) AS c FROM l2 GROUP BY ALL) b USI
 , daily AS (SELECT date_int, sum(trip_duration) / count(trip_duration) AS baseline FROM trips_featp GROUP BY date_int)
 SELECT {PICK}, trip_distance, round(trip_duration, 6) AS trip_duration, round(baseline, 6) AS baseline
 FROM trips_featp JOIN daily USING (date_int)
-WHERE abs(trip_duration - baseline) / baseline > 0.2 OR {unit(7)} < 500""",
-    "cap_batches": with_ctes(TRIPS_RAW, RAW_B, L2, _clean_from(f"(SELECT * FROM l2 WHERE file_year = {Q.TEST_YEAR})",
+WHERE abs(trip_duration - baseline) / baseline > 0.2 OR {below(7, 0.05)}""",
+    "cap_batches": with_ctes(TRIPS_RAW, RAW_B, L2, _clean_from(f"(SELECT * FROM l2 WHERE file_year >= {Q.TEST_FROM_YEAR})",
                                                               "file_year, batch_no")) + f"""
-, kept AS (SELECT DISTINCT file_year, batch_no FROM cc ORDER BY file_year, batch_no LIMIT {S.EVAL_MAX_BATCHES})
+, kept AS (SELECT DISTINCT file_year, batch_no FROM cc ORDER BY file_year, batch_no LIMIT {CAP_BATCHES})
 SELECT file_year, batch_no, count(*) AS n_rows FROM cc SEMI JOIN kept USING (file_year, batch_no) GROUP BY ALL""",
     "first_n": with_ctes(TRIPS_RAW, CLEAN_BASE) + f"""
-SELECT * FROM trips_clean WHERE year({PICK}) = {Q.TEST_YEAR} ORDER BY {CLEAN_ORDER} LIMIT 200""",
+SELECT * FROM trips_clean WHERE year({PICK}) >= {Q.TEST_FROM_YEAR} ORDER BY {CLEAN_ORDER} LIMIT 200""",
     "daily_partial": with_ctes(TRIPS_RAW, RAW_B, _clean_from("raw_b", "file_year, batch_no")) + """
 SELECT file_year, batch_no, CAST(date_diff('day', DATE '1970-01-01', CAST(tpep_pickup_datetime AS DATE)) AS BIGINT)
        AS date_int, round(sum(trip_duration), 4) AS sum_duration, count(trip_duration) AS n_trips,
@@ -97,15 +98,15 @@ SELECT count(actual - predicted) AS n, round(sqrt(avg((actual - predicted)^2)),
        round(avg(abs(actual - predicted)), 4) AS mae,
        round(1 - sum((actual - predicted)^2) / (count(actual - predicted) * var_pop(actual)), 4) AS r2 FROM ev""",
     "batch_metrics": with_ctes(TRIPS_RAW, CLEAN_BASE, TRIPS_FEATP, EVAL, RAW_B,
-                               _clean_from(f"(SELECT * FROM raw_b WHERE file_year = {Q.TEST_YEAR})",
+                               _clean_from(f"(SELECT * FROM raw_b WHERE file_year >= {Q.TEST_FROM_YEAR})",
                                            "file_year, batch_no")) + f"""
-, bev AS (SELECT batch_no, trip_duration AS actual, predicted FROM cc
+, bev AS (SELECT file_year, batch_no, trip_duration AS actual, predicted FROM cc
           LEFT JOIN hourly ON hourly.pickup_hour = CAST(hour(cc.{PICK}) AS INTEGER))
-SELECT batch_no, count(actual - predicted) AS n, round(sqrt(avg((actual - predicted)^2)), 4) AS rmse,
-       round(avg(abs(actual - predicted)), 4) AS mae, batch_no % 15 = 0 AS is_logged FROM bev GROUP BY batch_no""",
+SELECT file_year, batch_no, count(actual - predicted) AS n, round(sqrt(avg((actual - predicted)^2)), 4) AS rmse,
+       round(avg(abs(actual - predicted)), 4) AS mae, batch_no % 15 = 0 AS is_logged FROM bev GROUP BY file_year, batch_no""",
     "density_2d": FEAT_EVAL + """
 SELECT CAST(floor(actual / 60.0) AS BIGINT) AS actual_bin, CAST(floor(predicted / 60.0) AS BIGINT) AS predicted_bin,
-       count(*) AS n FROM ev WHERE actual >= 0 AND actual < 3000 AND predicted >= 0 AND predicted < 3000 GROUP BY ALL""",
+       count(*) AS n FROM ev GROUP BY ALL""",
     "density_hexbin": FEAT_EVAL + """
 , rng AS (SELECT min(actual) - (max(actual) - min(actual)) * 1e-9 AS x0,
                  max(actual) + (max(actual) - min(actual)) * 1e-9 AS x1,
@@ -138,9 +139,7 @@ SELECT run_no, model, n, round(rmse, 4) AS rmse, round(mae, 4) AS mae FROM runs
 ORDER BY rmse, run_no LIMIT 1""",
     "validation_report": FEAT_EVAL + f"""
 , day_rows AS (SELECT * FROM trips_raw WHERE CAST({PICK} AS DATE) = DATE '{Y:04d}-{M:02d}-{D:02d}'),
-  vd AS (SELECT * FROM day_rows UNION ALL
-         SELECT * FROM (SELECT * FROM trips_raw WHERE year({PICK}) = {Y} AND month({PICK}) = {M}
-                        ORDER BY {RAW_ORDER} LIMIT 1000) WHERE NOT EXISTS (SELECT 1 FROM day_rows)),
+  vd AS (SELECT * FROM day_rows),
   se AS (SELECT row_number() OVER (ORDER BY {RAW_ORDER}) AS seq,
                 (predicted / 60.0 - {dur()} / 60.0)^2 AS sq_err
          FROM vd LEFT JOIN hourly ON hourly.pickup_hour = CAST(hour(vd.{PICK}) AS INTEGER)),

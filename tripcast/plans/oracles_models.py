@@ -25,7 +25,7 @@ def _w(j):
 
 RIDGE = f"""
  tr AS (SELECT * FROM trips_featp WHERE pickup_year < {Q.TRAIN_BEFORE_YEAR}),
- te AS (SELECT * FROM trips_featp WHERE pickup_year = {Q.TEST_YEAR}),
+ te AS (SELECT * FROM trips_featp WHERE pickup_year >= {Q.TEST_FROM_YEAR}),
  daily AS (SELECT date_int, min(sin_time) AS s, min(cos_time) AS c,
                   ln(1 + sum(trip_duration) / count(trip_duration)) AS y, sum(trip_duration) / count(trip_duration) AS avg_duration
            FROM tr GROUP BY date_int),

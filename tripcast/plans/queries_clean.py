@@ -48,7 +48,7 @@ def q_months_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_validation_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips of the validation date in the test year."""
     y, m, d = Q.VALIDATION_DATE
-    return T.validation_day(Q.raw(spark, sf_dir), y, m, d, order_cols=Q.RAW_ORDER)
+    return T.validation_day(Q.raw(spark, sf_dir), y, m, d)
 
 
 def q_json_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,16 +153,14 @@ def q_cleaning_audit(spark, sf_dir):
 def q_row_count_check(spark, sf_dir):
     """Rows in, rows out of the serving path (must be equal) and of the
     training path."""
-    raw = Q.raw(spark, sf_dir)
-    serving, _ = C.preprocess(raw, remove_outliers=False, create_features=True, predicting=True,
+    audit = C.cleaning_audit(Q.raw(spark, sf_dir))      # one scan counts what training keeps
+    serving, _ = C.preprocess(Q.raw(spark, sf_dir), remove_outliers=False, create_features=True, predicting=True,
                               skip_validation=True)
-    training, _ = C.preprocess(raw, create_features=True)
-    n_in = raw.agg(F.count(F.lit(1)).alias("rows_in"))
-    n_srv = serving.agg(F.count(F.lit(1)).alias("rows_serving"))
-    n_trn = training.agg(F.count(F.lit(1)).alias("rows_training"))
-    return (n_in.crossJoin(n_srv).crossJoin(n_trn)
-                .withColumn("serving_equal", F.col("rows_in") == F.col("rows_serving"))
-                .withColumn("rows_removed", F.col("rows_in") - F.col("rows_training")))
+    n = serving.agg(F.count(F.lit(1)).alias("rows_serving"))
+    return (audit.crossJoin(n).select(
+        "rows_in", "rows_serving", F.col("rows_out").alias("rows_training"),
+        (F.col("rows_in") == F.col("rows_serving")).alias("serving_equal"),
+        (F.col("rows_in") - F.col("rows_out")).alias("rows_removed")))
 
 
 # ---------------------------------------------------------------- features

@@ -16,7 +16,6 @@ from tripcast.plans.queries_windows import ALERT_THRESHOLD, CHUNK_ROWS, EVENT_TA
 from tripcast.sources.trips import TRIPS_RAW_SCHEMA, read_table, trips_raw_path
 from tripcast.streaming import streams as ST
 
-EVENT_FILES = 4
 TRIP_FILES_PER_TRIGGER = 4
 
 
@@ -53,7 +52,7 @@ def q_stream_score(spark, sf_dir):
     corr = (H.training_matrix(train, coefs).groupBy("pickup_hour")
               .agg(F.avg("label").alias("log_correction"))).checkpoint(eager=True)
     stream = Q.featured_with_pickup(_trip_stream(spark, sf_dir))
-    test = stream.filter(F.col("pickup_year") == Q.TEST_YEAR)
+    test = stream.filter(F.col("pickup_year") >= Q.TEST_FROM_YEAR)
     scored = join_small(TR.trend_predict(test, coefs), corr, "pickup_hour", "left")
     pred = F.col("baseline") * F.exp(F.col("log_correction"))
     out = scored.select(S.PICKUP, S.TARGET, pred.alias("predicted_seconds"),
@@ -62,11 +61,10 @@ def q_stream_score(spark, sf_dir):
 
 
 def q_stream_drift(spark, sf_dir):
-    """T4: the events table replayed as EVENT_FILES files in event order;
-    latched alerts carried across micro-batches (equal to W3 in one batch)."""
-    ev = read_table(spark, sf_dir, "events", ["event_id", "event_type", "value"])
-    path = ST.split_into_files(ev, "event_id", EVENT_FILES, "events-replay")
-    stream = ST.file_stream(spark, path, ev.schema)
+    """T4: the events table as it arrives, latched alerts with their state
+    carried from micro-batch to micro-batch."""
+    schema = read_table(spark, sf_dir, "events").schema
+    stream = ST.file_stream(spark, sf_dir, schema, glob="events.parquet")
     errors = stream.select("event_id", (F.col("event_type") == RELOAD_TYPE).alias("is_reload"),
                            F.pow(F.col("value") - F.lit(EVENT_TARGET), 2).alias("sq_err"))
     alerts = ST.drift_stream(errors, "event_id", "is_reload", ALERT_THRESHOLD, chunk_rows=CHUNK_ROWS)

@@ -58,15 +58,11 @@ DRIFT_THRESHOLD_MIN = 0.1
 TREND_FLOOR_S = 1.0
 SAMPLE_MIN_BATCH_ROWS = 1000
 BATCH_SIZE_DEFAULT = 50_000
-EVAL_MAX_BATCHES = 500
 GBT_GRID = [{"stepSize": lr, "num_leaves": nl} for lr in (0.05, 0.1) for nl in (127, 255)]
 
 # --- fixed values: sampling (rate, seed) of each training phase ------------
 TUNE_SAMPLE = (0.01, 42)         # grid-search training rows, per batch
-VALID_SAMPLE = (0.05, 55)        # grid-search validation rows (test year), per batch
 FINAL_SAMPLE = (0.10, 124961)    # final trend + booster rows, per batch
-EVAL_SAMPLE = (0.075, 42)        # evaluation rows, exact count per batch
-TREES_PER_FILE = 2
 
 RAW_TRIP_SCHEMA = T.StructType([
     T.StructField(VENDOR, T.LongType()),

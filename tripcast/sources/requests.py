@@ -31,21 +31,25 @@ def request_bodies(trips: DataFrame) -> DataFrame:
                          .otherwise(good).alias("body"))
 
 
-def parse_requests(bodies: DataFrame, body_col: str = "body") -> DataFrame:
-    """Body text -> one row per requested trip, with ``is_valid``."""
-    parsed = bodies.select(F.explode_outer(F.from_json(F.col(body_col), BODY_SCHEMA)["data"]).alias("r"))
-    rows = parsed.select(*[F.col("r")[f.name].alias(f.name) for f in S.REQUEST_ROW_SCHEMA.fields])
+def parse_requests(bodies: DataFrame, body_col: str = "body", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Body text -> one row per requested trip, with ``is_valid``.  With
+    ``carry`` columns (a request id) each row keeps them and its ``position``
+    in the body, so results can go back to their request in order."""
+    rows = bodies.select(*carry, F.posexplode_outer(F.from_json(F.col(body_col), BODY_SCHEMA)["data"]).alias("position", "r"))
+    rows = rows.select(*carry, "position", *[F.col("r")[f.name].alias(f.name) for f in S.REQUEST_ROW_SCHEMA.fields])
     rows = parse_request_timestamps(rows)
     ok = F.lit(True)
     for c in REQUIRED:
         ok = ok & F.col(c).isNotNull()
-    return rows.withColumn("is_valid", ok)
+    rows = rows.withColumn("is_valid", ok)
+    return rows if carry else rows.drop("position")
 
 
-def predictions_body(scored: DataFrame, order_col: str, value_col: str = "duration_minutes") -> DataFrame:
-    """``{"predictions": [...]}`` in request order for one request.
-    (For large outputs write ``scored`` as parquet instead; this form is only
-    for one request's rows.)"""
+def predictions_body(scored: DataFrame, order_col: str, value_col: str = "duration_minutes",
+                     request_cols: tuple[str, ...] = ()) -> DataFrame:
+    """``{"predictions": [...]}`` in request order, one row per request:
+    a group holds one request's rows.  Without ``request_cols`` ``scored`` is
+    one request; write larger outputs as parquet instead."""
     arr = F.sort_array(F.collect_list(F.struct(F.col(order_col), F.col(value_col))))
-    return scored.agg(F.to_json(F.struct(F.transform(arr, lambda s: s[value_col]).alias("predictions")))
-                      .alias("body"))
+    return scored.groupBy(*request_cols).agg(
+        F.to_json(F.struct(F.transform(arr, lambda s: s[value_col]).alias("predictions"))).alias("body"))

@@ -16,6 +16,7 @@ the stream.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,33 +36,48 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, glob: str
     return r.parquet(path)
 
 
-def run_available_now(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
+def run_available_now(df: DataFrame, name: str, mode: str = "append", sink: str | None = None,
+                      checkpoint: str | None = None) -> DataFrame:
     """Write a stream to a parquet sink until the input is drained, then read
-    the sink back as a batch DataFrame."""
+    the sink back as a batch DataFrame.  With the ``sink`` and ``checkpoint``
+    folders of an earlier call it goes on where that one stopped."""
     spark = df.sparkSession
-    sink, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
+    sink = sink or scratch_path(spark, f"{name}-out")
     q = (df.writeStream.format("parquet").outputMode(mode).option("path", sink)
-           .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+           .option("checkpointLocation", checkpoint or scratch_path(spark, f"{name}-ckpt"))
+           .trigger(availableNow=True).start())
     q.awaitTermination()
     # read with the stream's own schema: an input that produced no rows gives
     # an empty frame rather than a schema-inference error
     return spark.read.schema(df.schema).parquet(sink)
 
 
-def run_foreach_batch(df: DataFrame, name: str, fn, mode: str = "append") -> None:
+def run_foreach_batch(df: DataFrame, name: str, fn, mode: str = "append", checkpoint: str | None = None) -> None:
     spark = df.sparkSession
-    ckpt = scratch_path(spark, f"{name}-ckpt")
-    q = (df.writeStream.outputMode(mode).foreachBatch(fn).option("checkpointLocation", ckpt)
+    q = (df.writeStream.outputMode(mode).foreachBatch(fn)
+           .option("checkpointLocation", checkpoint or scratch_path(spark, f"{name}-ckpt"))
            .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
-def daily_stats_stream(featured: DataFrame, name: str = "daily") -> DataFrame:
+def read_if_written(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table at ``path``, empty if nothing was written there; any other
+    storage error is raised."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def daily_stats_stream(featured: DataFrame, name: str = "daily", out: str | None = None,
+                       checkpoint: str | None = None) -> DataFrame:
     """T5: per-day sum and count kept in the streaming state store (one entry
     per day) and merged as files arrive; each micro-batch rewrites the
     complete (small, one row per day) result table."""
     spark = featured.sparkSession
-    out = scratch_path(spark, f"{name}-table")
+    out = out or scratch_path(spark, f"{name}-table")
     agg = (featured.groupBy("date_int")
                    .agg(F.sum(S.TARGET).alias("sum_duration"), F.count(S.TARGET).alias("n_trips"),
                         F.min("sin_time").alias("sin_time"), F.min("cos_time").alias("cos_time")))
@@ -70,12 +86,9 @@ def daily_stats_stream(featured: DataFrame, name: str = "daily") -> DataFrame:
         batch.withColumn("avg_duration", F.col("sum_duration") / F.col("n_trips")) \
              .write.mode("overwrite").parquet(out)
 
-    run_foreach_batch(agg, name, write, mode="complete")
+    run_foreach_batch(agg, name, write, "complete", checkpoint)
     schema = agg.schema.add("avg_duration", T.DoubleType())
-    try:
-        return spark.read.schema(schema).parquet(out)
-    except Exception:  # no micro-batch ran: no trips arrived
-        return spark.createDataFrame([], schema)
+    return read_if_written(spark, out, schema)
 
 
 # ---------------------------------------------------------------- T4 drift
@@ -88,92 +101,57 @@ STATE_SCHEMA = T.StructType([
 ])
 
 
+ALERT_SCHEMA = "epoch long, {key} long, rmse double, batch_id int"
+
+
 def drift_stream(errors: DataFrame, key: str, reload_col: str, threshold: float, k: int = S.DRIFT_WINDOW,
-                 chunk_rows: int = W.CHUNK_ROWS_DEFAULT, name: str = "drift") -> DataFrame:
+                 chunk_rows: int = W.CHUNK_ROWS_DEFAULT, name: str = "drift", alerts_path: str | None = None,
+                 state_path: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """T4: latched drift alerts over a stream of (key, sq_err, reload flag).
 
     Per micro-batch: prepend the carried tail, number reload epochs from the
-    carried epoch, window RMSE per row (chunked, parallel), keep the first
-    breach of each epoch unless that epoch already alerted, write alerts and
-    the new state (tail of k-1 errors + latch) for the next batch.  Batches
-    are rewritten by id, so a retried batch is idempotent.
+    carried epoch (reloads count whether or not their row has an error),
+    window RMSE per row (chunked, parallel), keep the first breach of each
+    epoch unless that epoch already alerted, write alerts and the new state:
+    the last k-1 errors of carried and new ones together, and the latch.
+    Batches are rewritten by id, so a retried batch is idempotent; with the
+    three folders of an earlier call the stream goes on where that one
+    stopped.
     """
     spark = errors.sparkSession
-    alerts_path, state_path = scratch_path(spark, f"{name}-alerts"), scratch_path(spark, f"{name}-state")
+    alerts_path = alerts_path or scratch_path(spark, f"{name}-alerts")
+    state_path = state_path or scratch_path(spark, f"{name}-state")
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        prev = _read_state(spark, state_path, batch_id - 1)
+        prev = read_if_written(spark, f"{state_path}/batch_id={batch_id - 1}", STATE_SCHEMA).collect()
         latch = [r for r in prev if r["kind"] == "latch"]
         epoch0 = latch[0]["epoch"] if latch else 0
         alerted0 = latch[0]["alerted"] if latch else False
-        tail = [(r["key"], r["sq_err"]) for r in prev if r["kind"] == "tail"]
+        tail = [(r["key"], r["sq_err"], False, True) for r in prev if r["kind"] == "tail"]
+        carried = spark.createDataFrame(tail, "key long, sq_err double, reload boolean, carried boolean")
         cur = batch.select(F.col(key).cast("long").alias("key"), F.col("sq_err").cast("double"),
-                           F.col(reload_col).cast("boolean").alias("reload"), F.lit(False).alias("_carried"))
-        if tail:
-            carried = spark.createDataFrame([(a, b, False, True) for a, b in tail],
-                                            "key long, sq_err double, reload boolean, _carried boolean")
-            cur = carried.unionByName(cur)
-        with_epoch = W.running_count(cur, "key", F.col("reload"), "_ep", chunk_rows)
-        with_epoch = with_epoch.withColumn("epoch", F.col("_ep") + F.lit(epoch0)).drop("_ep")
-        scored = W.sliding_rmse(with_epoch, "key", "sq_err", k, chunk_rows).filter(~F.col("_carried"))
-        scored = scored.persist()
-        breaches = scored.filter(F.col("window_full") & (F.col("rmse") > threshold))
+                           F.coalesce(F.col(reload_col).cast("boolean"), F.lit(False)).alias("reload"),
+                           F.lit(False).alias("carried")).unionByName(carried)
+        epochs = W.running_count(cur, "key", F.col("reload"), "ep", chunk_rows)
+        epochs = epochs.withColumn("epoch", F.col("ep") + F.lit(epoch0)).drop("ep").persist()
+        scored = W.sliding_rmse(epochs, "key", "sq_err", k, chunk_rows).persist()
+        breaches = scored.filter(~F.col("carried") & F.col("window_full") & (F.col("rmse") > threshold))
         if alerted0:
             breaches = breaches.filter(F.col("epoch") != epoch0)
         first = (breaches.groupBy("epoch").agg(F.min(F.struct("key", "rmse")).alias("b"))
                          .select("epoch", F.col("b.key").alias(key), F.col("b.rmse").alias("rmse")))
         first.write.mode("overwrite").parquet(f"{alerts_path}/batch_id={batch_id}")
-        # new state: last k-1 valid errors, current epoch, latch of that epoch
-        last = scored.filter(F.col("sq_err").isNotNull()).orderBy(F.col("key").desc()).limit(k - 1)
-        new_tail = [("tail", r["key"], r["sq_err"], None, None) for r in last.collect()]
-        if not new_tail:
-            new_tail = [("tail", a, b, None, None) for a, b in tail]
-        ep = scored.agg(F.max("epoch")).first()[0]
-        ep = epoch0 if ep is None else int(ep)
-        alerted = (alerted0 and ep == epoch0) or first.filter(F.col("epoch") == ep).limit(1).count() > 0
-        rows = new_tail + [("latch", None, None, ep, bool(alerted))]
-        spark.createDataFrame(rows, STATE_SCHEMA).coalesce(1).write.mode("overwrite") \
+        last = scored.orderBy(F.col("key").desc()).limit(k - 1)     # a top-k of k-1 rows
+        state = [("tail", r["key"], r["sq_err"], None, None) for r in last.collect()]
+        epoch = epochs.agg(F.max("epoch")).first()[0]
+        epoch = epoch0 if epoch is None else int(epoch)
+        alerted = (alerted0 and epoch == epoch0) or not first.filter(F.col("epoch") == epoch).isEmpty()
+        state.append(("latch", None, None, epoch, bool(alerted)))
+        spark.createDataFrame(state, STATE_SCHEMA).coalesce(1).write.mode("overwrite") \
              .parquet(f"{state_path}/batch_id={batch_id}")
         scored.unpersist()
+        epochs.unpersist()
 
-    run_foreach_batch(errors, name, process)
-    try:  # batch_id (the micro-batch that raised the alert) comes from the folder names
-        return spark.read.parquet(alerts_path)
-    except Exception:  # no batch wrote anything
-        return spark.createDataFrame([], f"epoch long, {key} long, rmse double, batch_id int")
-
-
-def _read_state(spark: SparkSession, path: str, batch_id: int) -> list:
-    if batch_id < 0:
-        return []
-    try:
-        return spark.read.schema(STATE_SCHEMA).parquet(f"{path}/batch_id={batch_id}").collect()
-    except Exception:  # first batch: no state yet
-        return []
-
-
-def split_into_files(df: DataFrame, key: str, n_files: int, name: str,
-                     max_rows_per_file: int = 2_000_000) -> str:
-    """Replay utility: stage a static table as an ordered file stream.
-
-    Writes ``df`` as key-ordered parquet files, one write per key range, so
-    that file modification order = key order (the file source takes the
-    oldest files first).  Ranges come from approximate quantiles of the key
-    (no global sort).  The file count is at least ``n_files`` and large
-    enough that no file holds more than ``max_rows_per_file`` rows, so no
-    single task writes an unbounded share of the table.  Each range is a
-    filtered scan of ``df``; this stages test and replay input, it is not a
-    step of the data path (live streams arrive as files)."""
-    spark = df.sparkSession
-    base = scratch_path(spark, name)
-    n_files = max(n_files, -(-df.count() // max_rows_per_file))
-    qs = df.approxQuantile(key, [i / n_files for i in range(1, n_files)], 0.0) if n_files > 1 else []
-    bounds = [None] + sorted(set(qs)) + [None]
-    for i in range(len(bounds) - 1):
-        cond = F.lit(True)
-        if bounds[i] is not None:
-            cond = cond & (F.col(key) > bounds[i])
-        if bounds[i + 1] is not None:
-            cond = cond & (F.col(key) <= bounds[i + 1])
-        df.filter(cond).coalesce(1).write.mode("append").parquet(base)
-    return base
+    run_foreach_batch(errors, name, process, checkpoint=checkpoint)
+    # batch_id (the micro-batch that raised the alert) comes from the folder names
+    return read_if_written(spark, alerts_path, T.StructType.fromDDL(ALERT_SCHEMA.format(key=key)))
