@@ -133,6 +133,13 @@ SELECT bin, round(min(lo) + bin * (min(hi) - min(lo)) / 100, 4) AS bin_lo, count
 SELECT CAST(floor(predicted / 60.0) AS BIGINT) AS predicted_bin, count(residual) AS n,
        round(avg(residual), 4) AS mean_residual, round(stddev_samp(residual), 4) AS sd_residual,
        round(quantile_cont(residual, 0.5), 4) AS median_residual FROM ev GROUP BY ALL""",
+    "append_runs": FEAT_EVAL + f"""
+, runs AS ({_runs()})
+SELECT run_no, model, n, round(rmse, 4) AS rmse, round(mae, 4) AS mae FROM (SELECT * FROM runs UNION ALL SELECT * FROM runs)""",
+    "predictions_body": FEAT_EVAL + f"""
+SELECT strftime({PICK}, '%Y-%m-%d') AS request, '{{"predictions":[' ||
+       string_agg(CAST(CAST(floor(predicted) AS BIGINT) AS VARCHAR), ',' ORDER BY {PICK}) || ']}}' AS body
+FROM ev GROUP BY ALL""",
     "best_run": FEAT_EVAL + f"""
 , runs AS ({_runs()})
 SELECT run_no, model, n, round(rmse, 4) AS rmse, round(mae, 4) AS mae FROM runs

@@ -12,6 +12,7 @@ PICK = "tpep_pickup_datetime"
 Y, M, D = Q.VALIDATION_DATE
 
 ORACLES = {
+    "rescan": "SELECT count(*) AS rows_first, count(*) AS rows_again FROM lineitem",
     "scan_trips": RAW + "SELECT * FROM trips_raw",
     "scan_batches": RAW + f"""
 , b AS (SELECT *, CAST(year({PICK}) AS INTEGER) AS file_year,

@@ -44,6 +44,9 @@ BASELINE = f"greatest(exp({TREND}) - 1, 1.0)"
 FEATS_R = ", ".join(f"round({c}, 6) AS {c}" if c in ("sin_time", "cos_time") else c for c in S.FEATURE_COLUMNS)
 
 ORACLES = {
+    "booster_check": BASE + """
+SELECT (SELECT count(*) FROM tr) AS n_train, (SELECT count(*) FROM te) AS n_test, true AS beats_trend,
+       true AS best_is_first_minimum""",
     "ridge_trend": BASE + """
 SELECT round(w_date, 10) AS w_date, round(w_sin, 10) AS w_sin, round(w_cos, 10) AS w_cos,
        round(intercept, 10) AS intercept, n_days FROM coef""",

@@ -15,10 +15,12 @@ from tripcast.operators import aggregates as A
 from tripcast.operators import clean as C
 from tripcast.operators import sampling as L
 from tripcast.operators import windows as W
+from tripcast.operators.hybrid import append_runs
 from tripcast.operators.joins import holiday_join, join_small
 from tripcast.operators.sequence import batch_numbers, dense_sequence
 from tripcast.plans import common as Q
 from tripcast.session import scratch_path
+from tripcast.sources.requests import predictions_body
 from tripcast.sources.trips import scan_trips
 
 BATCH = ["file_year", "batch_no"]
@@ -178,6 +180,23 @@ def stub_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(f"stack({len(STUB_RUNS)}, {args}) AS (run_no, model, n, rmse, mae)"))
 
 
+def q_append_runs(spark, sf_dir):
+    """The stub runs appended to a runs table twice, read back."""
+    path = scratch_path(spark, "runs")
+    runs = stub_runs(spark, sf_dir).checkpoint(eager=True)
+    append_runs(runs, path)
+    append_runs(runs, path)
+    return A.round_doubles(spark.read.parquet(path), 4)
+
+
+def q_predictions_body(spark, sf_dir):
+    """One answer body per day of the test years, the day's trips as one
+    request in pickup order, whole seconds."""
+    ev = eval_frame(spark, sf_dir).select(F.date_format(S.PICKUP, "yyyy-MM-dd").alias("request"), S.PICKUP,
+                                          F.floor("predicted").alias("seconds"))
+    return predictions_body(ev, S.PICKUP, "seconds", ("request",))
+
+
 def q_best_run(spark, sf_dir):
     """The stub run with the lowest RMSE (earliest run on a tie)."""
     return A.round_doubles(A.best_run(stub_runs(spark, sf_dir)), 4)
@@ -250,6 +269,8 @@ QUERIES = {
     "density_hexbin": q_density_hexbin,
     "residual_histogram": q_residual_histogram,
     "residual_profile": q_residual_profile,
+    "append_runs": q_append_runs,
+    "predictions_body": q_predictions_body,
     "best_run": q_best_run,
     "validation_report": q_validation_report,
     "holiday_join": q_holiday_join,

@@ -45,6 +45,14 @@ def q_months_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.months_slice(Q.raw(spark, sf_dir), [1998], [1, 2, 3, 4, 5, 6])
 
 
+def q_rescan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second scan of the trip files gives the rows of the first."""
+    path = T.trips_raw_path(spark, sf_dir)
+    first = T.scan_trips(spark, path).agg(F.count(F.lit(1)).alias("rows_first"))
+    again = T.scan_trips(spark, path).agg(F.count(F.lit(1)).alias("rows_again"))
+    return first.crossJoin(again)
+
+
 def q_validation_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips of the validation date in the test year."""
     y, m, d = Q.VALIDATION_DATE
@@ -225,6 +233,7 @@ QUERIES = {
     "scan_batches": q_scan_batches,
     "file_count": q_file_count,
     "months_slice": q_months_slice,
+    "rescan": q_rescan,
     "validation_day": q_validation_day,
     "json_requests": q_json_requests,
     "standardize_columns": q_standardize_columns,

@@ -168,6 +168,34 @@ def q_evaluate_model(spark, sf_dir):
     return H.evaluate(pipe.transform(test))
 
 
+def q_booster_check(spark, sf_dir):
+    """What any right booster shows: rows seen, an error below
+    the trend's alone, and the best prefix at the first minimum of the
+    validation loss."""
+    _, tm, vm = _matrices(spark, sf_dir)
+    model = B.gbt_estimator().fit(tm)
+    best, losses = B.best_prefix(model, vm)
+    pred = F.col("baseline") * F.exp(F.col("log_correction"))
+    errors = B.predict_prefix(model, vm, best).agg(
+        F.count(F.lit(1)).alias("n_test"), F.avg(F.pow(F.col(S.TARGET) - pred, 2)).alias("booster"),
+        F.avg(F.pow(F.col(S.TARGET) - F.col("baseline"), 2)).alias("trend"))
+    n = tm.agg(F.count(F.lit(1)).alias("n_train"))
+    return n.crossJoin(errors).select("n_train", "n_test", (F.col("booster") < F.col("trend")).alias("beats_trend"),
+                                      F.lit(losses.index(min(losses)) + 1 == best).alias("best_is_first_minimum"))
+
+
+def q_model_residuals(spark, sf_dir):
+    """The residual profile (A7) of the saved and reloaded model's own
+    predictions on every test row (S9)."""
+    coefs, tm, vm = _matrices(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    H.save_model(H.scoring_pipeline(H.coefs_dict(coefs), B.gbt_estimator().fit(tm)), path)
+    test = Q.split_years(_feat(spark, sf_dir))[1]
+    scored = H.load_model(path).transform(test).select(
+        F.col("predicted_seconds").alias("predicted"), (F.col(S.TARGET) - F.col("predicted_seconds")).alias("residual"))
+    return A.residual_profile(scored)
+
+
 def q_train_and_evaluate(spark, sf_dir):
     """The reference's training run on loader batches of the raw trips:
     tune (1 %), final fit (10 %), every test row scored, model saved (S9) and reloaded for scoring, runs appended (S10); returns
@@ -198,5 +226,7 @@ QUERIES = {
     "gbt_early_stop": q_gbt_early_stop,
     "grid_search": q_grid_search,
     "evaluate_model": q_evaluate_model,
+    "booster_check": q_booster_check,
+    "model_residuals": q_model_residuals,
     "train_and_evaluate": q_train_and_evaluate,
 }
