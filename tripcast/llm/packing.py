@@ -49,7 +49,7 @@ CAPACITY = 1024
 END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
 ENCODE_CHARS = 1_000_000     # characters whose pieces are handed on at once; a longer text goes alone
-KNOWN_PARTS = 400_000        # parts whose ids a worker keeps before it starts anew
+KNOWN_PARTS = 400_000        # parts whose ids a worker keeps before it drops those not met since
 WORDS_AT_ONCE = 2000
 
 
@@ -82,17 +82,19 @@ class Encoder:
         self.by_parts = (cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut["add_prefix_space"]
                          and form.get("normalizer") is None and not form["model"].get("dropout"))
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text as unsigned 32-bit little-endian numbers."""
-        known = self.known
         parts = [None if not self.by_parts or UNUSUAL.search(t) else SPLIT.findall(t) for t in texts]
         seen = set().union(*(p for p in parts if p))
+        if len(self.known) + len(seen) > KNOWN_PARTS:
+            self.before, self.known = self.known, {}
+        known = self.known
         new = seen.difference(known)
-        if len(known) + len(new) > KNOWN_PARTS:
-            known.clear()
-            new = seen
-        self._learn(list(new))
+        for part in new.intersection(self.before):
+            known[part] = self.before[part]
+        self._learn(list(new.difference(self.before)))
         for text, p in zip(texts, parts, strict=True):
             if p is None:
                 yield array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
