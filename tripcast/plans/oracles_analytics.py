@@ -6,6 +6,8 @@ from tripcast import schema as S
 from tripcast.plans import common as Q
 from tripcast.plans.oracle_base import (CLEAN_BASE, RAW_ORDER, TRIPS_FEATP, TRIPS_RAW, dur, holiday, below, mix,
                                         with_ctes)
+from tripcast.plans.oracles_models import BASE as TREND_BASE
+from tripcast.plans.oracles_models import BASELINE
 
 CAP_BATCHES = 3
 PICK = "tpep_pickup_datetime"
@@ -76,11 +78,10 @@ SELECT n.file_year, n.batch_no, n.n_rows, COALESCE(a.c, 0) AS n_train_sample, CO
 FROM (SELECT file_year, batch_no, count(*) AS n_rows FROM raw_b GROUP BY ALL) n
 LEFT JOIN (SELECT file_year, batch_no, count(*) AS c FROM l1 GROUP BY ALL) a USING (file_year, batch_no)
 LEFT JOIN (SELECT file_year, batch_no, count(*) AS c FROM l2 GROUP BY ALL) b USING (file_year, batch_no)""",
-    "hard_case_sampling": FEAT + f"""
-, daily AS (SELECT date_int, sum(trip_duration) / count(trip_duration) AS baseline FROM trips_featp GROUP BY date_int)
+    "hard_case_sampling": TREND_BASE + f"""
+, hc AS (SELECT *, {BASELINE} AS baseline FROM trips_featp CROSS JOIN coef)
 SELECT {PICK}, trip_distance, round(trip_duration, 6) AS trip_duration, round(baseline, 6) AS baseline
-FROM trips_featp JOIN daily USING (date_int)
-WHERE abs(trip_duration - baseline) / baseline > 0.2 OR {below(7, 0.05)}""",
+FROM hc WHERE abs(trip_duration - baseline) / baseline > 0.2 OR {below(7, 0.05)}""",
     "cap_batches": with_ctes(TRIPS_RAW, RAW_B, L2, _clean_from(f"(SELECT * FROM l2 WHERE file_year >= {Q.TEST_FROM_YEAR})",
                                                               "file_year, batch_no")) + f"""
 , kept AS (SELECT DISTINCT file_year, batch_no FROM cc ORDER BY file_year, batch_no LIMIT {CAP_BATCHES})

@@ -4,13 +4,26 @@ the batch result."""
 from __future__ import annotations
 
 from tripcast.plans.oracles_clean import ORACLES as _C
-from tripcast.plans.oracles_models import ORACLES as _M
+from tripcast.plans import common as Q
+from tripcast.plans.oracle_base import feature_select
+from tripcast.plans.oracles_models import BASE, BASELINE
 from tripcast.plans.oracles_windows import ORACLES as _W
 
+STREAM_SCORE = BASE + f"""
+, corr AS (SELECT pickup_hour, avg(ln(1 + trip_duration) - ln(1 + {BASELINE})) AS log_correction
+           FROM tr CROSS JOIN coef GROUP BY pickup_hour),
+  rq AS (SELECT tpep_pickup_datetime, trip_distance, PULocationID, passenger_count IS NOT NULL AS is_valid,
+                {feature_select()} FROM trips_raw WHERE year(tpep_pickup_datetime) >= {Q.TEST_FROM_YEAR})
+SELECT CASE WHEN is_valid THEN tpep_pickup_datetime END AS tpep_pickup_datetime,
+       CASE WHEN is_valid THEN round(trip_distance, 4) END AS trip_distance,
+       CASE WHEN is_valid THEN CAST(PULocationID AS DOUBLE) END AS PULocationID,
+       CASE WHEN is_valid THEN round({BASELINE} * exp(log_correction) / 60.0, 4) END AS duration_minutes, is_valid
+FROM rq CROSS JOIN coef LEFT JOIN corr USING (pickup_hour)"""
+
 ORACLES = {
     "stream_ingest": "SELECT * FROM events",
     "stream_preprocess": _C["preprocess"],
-    "stream_score": _M["hybrid_predict"],
+    "stream_score": STREAM_SCORE,
     "stream_drift": _W["drift_alert"],
     "stream_daily_stats": _C["daily_stats"],
 }

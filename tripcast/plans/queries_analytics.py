@@ -14,6 +14,7 @@ from tripcast import schema as S
 from tripcast.operators import aggregates as A
 from tripcast.operators import clean as C
 from tripcast.operators import sampling as L
+from tripcast.operators import trend as TR
 from tripcast.operators import windows as W
 from tripcast.operators.hybrid import append_runs
 from tripcast.operators.joins import holiday_join, join_small
@@ -72,12 +73,12 @@ def q_sample_small_batches(spark, sf_dir):
 
 
 def q_hard_case_sampling(spark, sf_dir):
-    """L4: trips more than 20 % off their day's mean duration, plus a 5 %
-    draw (seed 7) of all trips."""
+    """L4: trips more than 20 % off the trend fitted on the training years,
+    plus a 5 % draw (seed 7) of all trips."""
     feat = Q.featured_with_pickup(Q.raw(spark, sf_dir))
-    daily = A.daily_stats(feat).select("date_int", F.col("avg_duration").alias("baseline"))
-    j = join_small(feat, daily, "date_int", "inner")
-    out = L.hard_case_sample(j, S.TARGET, "baseline", 7)
+    train, _ = Q.split_years(feat)
+    coefs = TR.fit_ridge(A.daily_stats(train))
+    out = L.hard_case_sample(TR.trend_predict(feat, coefs), S.TARGET, "baseline", 7)
     return A.round_doubles(out.select(S.PICKUP, S.DISTANCE, S.TARGET, "baseline"))
 
 

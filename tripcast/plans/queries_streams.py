@@ -13,6 +13,8 @@ from tripcast.operators import clean as C
 from tripcast.operators.joins import join_small
 from tripcast.plans import common as Q
 from tripcast.plans.queries_windows import ALERT_THRESHOLD, CHUNK_ROWS, EVENT_TARGET, RELOAD_TYPE
+from tripcast.session import scratch_path
+from tripcast.sources import requests as R
 from tripcast.sources.trips import TRIPS_RAW_SCHEMA, read_table, trips_raw_path
 from tripcast.streaming import streams as ST
 
@@ -40,24 +42,29 @@ def q_stream_preprocess(spark, sf_dir):
 
 
 def q_stream_score(spark, sf_dir):
-    """Test-year trips scored as they stream in: trend baseline x the
-    stub hourly correction (both fitted on the batch training years, joined
-    to the stream as small static tables)."""
+    """Request bodies scored as they stream in: trend baseline x the stub
+    hourly correction (both fitted on the batch training years).  Serving
+    drops nothing: every row of a body comes back, readable ones with their
+    minutes from one sink, the others from the reject sink."""
     from tripcast.operators import hybrid as H
     from tripcast.operators import trend as TR
     from tripcast.plans.queries_models import trend_coefs
 
     train, _ = Q.split_years(Q.featured_with_pickup(Q.raw(spark, sf_dir)))
-    coefs = trend_coefs(train).checkpoint(eager=True)
-    corr = (H.training_matrix(train, coefs).groupBy("pickup_hour")
-              .agg(F.avg("label").alias("log_correction"))).checkpoint(eager=True)
-    stream = Q.featured_with_pickup(_trip_stream(spark, sf_dir))
-    test = stream.filter(F.col("pickup_year") >= Q.TEST_FROM_YEAR)
-    scored = join_small(TR.trend_predict(test, coefs), corr, "pickup_hour", "left")
-    pred = F.col("baseline") * F.exp(F.col("log_correction"))
-    out = scored.select(S.PICKUP, S.TARGET, pred.alias("predicted_seconds"),
-                        (pred / 60.0).alias("duration_minutes"))
-    return A.round_doubles(ST.run_available_now(out, "score"), 4)
+    c = H.coefs_dict(trend_coefs(train))
+    base = H.TrendBaseline(wDate=c["w_date"], wSin=c["w_sin"], wCos=c["w_cos"], intercept=c["intercept"])
+    corr = TR.log_ratio_target(base.transform(train)).groupBy("pickup_hour").agg(F.avg("label").alias("log_correction"))
+    bodies = R.request_bodies(Q.raw(spark, sf_dir).filter(F.year(S.PICKUP) >= Q.TEST_FROM_YEAR))
+    folder = scratch_path(spark, "request-bodies")
+    bodies.write.parquet(folder)
+    stream = ST.file_stream(spark, folder, bodies.schema, glob="*.parquet", files_per_trigger=TRIP_FILES_PER_TRIGGER)
+    rows = R.parse_requests(stream).withColumns(C.feature_columns(F.col(S.PICKUP), True))
+    scored = join_small(base.transform(rows), corr, "pickup_hour", "left")
+    minutes = F.when(F.col("is_valid"), F.col("baseline") * F.exp(F.col("log_correction")) / 60.0)
+    answers, rejects = ST.split_by_flag(scored.select(
+        S.PICKUP, S.DISTANCE, F.col(S.PU_ZONE).cast("double").alias(S.PU_ZONE), minutes.alias("duration_minutes"),
+        "is_valid"), "is_valid", "score")
+    return A.round_doubles(answers.unionByName(rejects).drop("batch_id"), 4)
 
 
 def q_stream_drift(spark, sf_dir):

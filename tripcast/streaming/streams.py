@@ -60,6 +60,24 @@ def run_foreach_batch(df: DataFrame, name: str, fn, mode: str = "append", checkp
     q.awaitTermination()
 
 
+def split_by_flag(df: DataFrame, flag: str, name: str, accepted: str | None = None, rejected: str | None = None,
+                  checkpoint: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Write the rows of a stream to two sinks, by ``flag``; nothing is
+    dropped.  Each micro-batch is rewritten by its id, so a retried one counts
+    once.  Returns both sinks as batch DataFrames."""
+    spark = df.sparkSession
+    accepted, rejected = accepted or scratch_path(spark, f"{name}-out"), rejected or scratch_path(spark, f"{name}-rejects")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist()
+        for path, rows in ((accepted, held.filter(F.col(flag))), (rejected, held.filter(~F.col(flag)))):
+            rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        held.unpersist()
+
+    run_foreach_batch(df, name, write, checkpoint=checkpoint)
+    return tuple(read_if_written(spark, path, df.schema) for path in (accepted, rejected))
+
+
 def read_if_written(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table at ``path``, empty if nothing was written there; any other
     storage error is raised."""
