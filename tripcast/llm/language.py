@@ -33,7 +33,7 @@ from tripcast.llm.common import held_out, spans, table
 DIMS = 512
 SEED = 5
 UNIT = 1 << 20               # a text's trigram weights add up to this
-CHUNK_CHARS = 2_000_000      # characters handled at once; a longer text goes alone
+CHUNK_CHARS = 500_000      # characters handled at once; a longer text goes alone
 GRAM_BLOCK = 8192            # trigram vectors made at once
 UNDETERMINED = "und"
 BLANK = 0

@@ -53,6 +53,7 @@ BLOCK = 4096                 # classes of one region looked at together
 EDGE = 32                    # classes at either end of a range paired across the cut
 ROWS_PER_RANGE = 200_000
 SET_CACHE = 512
+ROWS_AT_ONCE = 1000          # rows a task sketches before it hands them on
 SEED = 9
 ADDED = ("n_shingles", "component_id", "kept")
 INNER = ("row__", "z__", "fp__", "sig__", "sketch__")
@@ -91,9 +92,9 @@ def sketched(docs: DataFrame, words: int, text: str) -> DataFrame:
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, pack = Shingler(words), zstandard.ZstdCompressor(level=3).compress
-        for batch in batches:
-            texts = batch.column(text).to_pylist()
-            out = []
+
+        def sketch_part(batch: pa.RecordBatch) -> pa.RecordBatch:
+            texts, out = batch.column(text).to_pylist(), []
             for t, s in zip(texts, shingler.sets(texts), strict=True):
                 z = None if t is None else pack(t.encode("utf-8", "surrogatepass"))
                 if not len(s):
@@ -103,12 +104,16 @@ def sketched(docs: DataFrame, words: int, text: str) -> DataFrame:
                 two = (sig & 3).astype(np.uint8).reshape(-1, 4)
                 out.append((z, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(),
                             sig.astype(">u2").tobytes(), (two @ np.array([64, 16, 4, 1], np.uint8)).tobytes()))
-            made = zip(*out, strict=True) if out else [()] * 5
             kinds = (pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in [*rest, "row__"]), *(pa.array(x, k) for x, k in zip(made, kinds, strict=True))],
+            columns = [pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)]
+            return pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in [*rest, "row__"]), *columns],
                 names=[*rest, "row__", "z__", "n_shingles", "fp__", "sig__", "sketch__"])
 
+        for batch in batches:
+            for a in range(0, len(batch), ROWS_AT_ONCE):
+                yield sketch_part(batch.slice(a, ROWS_AT_ONCE))
+
     made = T.StructType().add("row__", "long").add("z__", "binary").add("n_shingles", "long").add(
         "fp__", "binary").add("sig__", "binary").add("sketch__", "binary")
     schema = T.StructType([*(docs.schema[c] for c in rest), *made.fields])

@@ -49,7 +49,7 @@ CAPACITY = 1024
 END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
 ENCODE_CHARS = 1_000_000     # characters whose pieces are handed on at once; a longer text goes alone
-KNOWN_PARTS = 400_000        # parts whose ids a worker keeps before it drops those not met since
+KNOWN_PARTS = 250_000        # parts whose ids a worker keeps before it drops those not met since
 WORDS_AT_ONCE = 2000
 
 
@@ -101,6 +101,10 @@ class Encoder:
             else:
                 yield b"".join(map(known.__getitem__, p))
 
+    def forget(self) -> None:
+        """A worker lives on after its task; what it learned need not."""
+        self.known, self.before = {}, {}
+
     def _learn(self, new: list[str]) -> None:
         """Asks for the ids of new parts.  A blank with letters after it is a
         part of its own in any text, so many such are asked for as one text."""
@@ -130,7 +134,13 @@ def token_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capac
     one task."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, task, made = encoder(path).ids, TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+        own, task, made = encoder(path), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+        try:
+            yield from pieces(batches, own.ids, task, made)
+        finally:
+            own.forget()
+
+    def pieces(batches: Iterator[pa.RecordBatch], encode, task: int, made: np.ndarray) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [x or "" for x in batch.column(1).to_pylist()]
             for a, b in spans(texts, ENCODE_CHARS):
