@@ -200,6 +200,37 @@ def test_a_dense_region_keeps_its_component(spark):
     assert found == components_of(texts_of(spark, folder), 3, 85)
 
 
+def test_a_pair_among_many_lookalikes_is_found(spark):
+    """Pairs of 0.85 among 1,200 texts of one template that are some 0.78
+    alike: no third text links them."""
+    import random
+
+    from tripcast.llm.near_duplicates import near_duplicates
+
+    rnd = random.Random(5)
+    template = [f"t{i}" for i in range(176)]
+    texts = []
+    for i in range(1200):
+        own = [f"o{i}n{k}" for k in range(24)]
+        texts.append(" ".join(template + own))
+        if i % 6 == 0:
+            texts.append(" ".join(template + own[:8] + [f"c{i}n{k}" for k in range(16)]))
+    rnd.shuffle(texts)
+    sets = [plain_shingles(t, 3) for t in texts]
+    first = {next(w for w in t.split() if w[0] == "o"): [] for t in texts}
+    for d, t in enumerate(texts):
+        first[next(w for w in t.split() if w[0] == "o")].append(d)
+    pairs = [ds for ds in first.values() if len(ds) == 2]
+    assert len(pairs) == 200
+    assert all(len(sets[a] & sets[b]) >= 0.85 * len(sets[a] | sets[b]) for a, b in pairs)
+    others = [ds[0] for ds in first.values() if len(ds) == 1][:30]
+    assert all(0.7 < len(sets[a] & sets[b]) / len(sets[a] | sets[b]) < 0.85 for a in others for b in others if a < b)
+    rows_, schema = docs(*texts)
+    d = spark.createDataFrame(rows_, schema).select("doc_id", "text")
+    found = {r["doc_id"]: r["component_id"] for r in near_duplicates(d, 3, 85, keep_text=False).collect()}
+    assert found == {d: min(ds) for ds in first.values() for d in ds}
+
+
 def check_packing(found: list, texts: dict) -> int:
     encode = packing.Encoder().whole
     pieces, sequences = defaultdict(list), defaultdict(list)

@@ -6,14 +6,18 @@
 2. Each tree is a sort order: classes by the tree's own ``DEPTH`` min-hashes.
    In sorted order classes with a long common prefix stand together.  A run of
    neighbours that share at least ``least_depth`` min-hashes is a region.  In
-   a region of up to ``REGION`` classes all are candidates of each other.  A
-   larger one is searched deeper: each class takes the ``NEAR`` classes beside
-   it, whose common prefix is longest, and the ``HUBS`` classes that agree
-   best with the region's most frequent min-hashes, to which any class of one
-   group of copies is closest.  So work per class and tree is bounded.
+   a region of up to ``REGION`` classes all are candidates of each other.  In
+   a larger one each class takes the ``NEAR`` classes beside it, whose common
+   prefix is longest, and the ``HUBS`` classes that agree best with the
+   region's most frequent min-hashes, to which any class of one group of
+   copies is closest.  That links most groups of copies cheaply.
 3. Candidates that agree in too few min-hashes to be similar are passed over;
    every other pair is confirmed on the full sets.
 4. Links become components by contraction.
+5. The rest of the large regions: wherever one still holds several components,
+   all its pairs of different components are compared, block by block, so a
+   region of any size is many tasks of bounded size.  A pair that met in an
+   earlier tree is not compared again.  The links found join the components.
 
 Sort orders are dealt to tasks by ranges, which spreads a large region over
 many tasks; the first and last classes of each range are paired across the
@@ -51,6 +55,7 @@ MISS = 2e-5                  # chance that no tree brings a pair of just enough
 REGION, NEAR, HUBS = 32, 6, 8
 BLOCK = 4096                 # classes of one region looked at together
 EDGE = 32                    # classes at either end of a range paired across the cut
+REST_ROWS, REST_SHINGLES = 2048, 1_000_000   # of a large region compared in one task with as many others
 ROWS_PER_RANGE = 200_000
 SET_CACHE = 512
 ROWS_AT_ONCE = 1000          # rows a task sketches before it hands them on
@@ -120,12 +125,14 @@ def sketched(docs: DataFrame, words: int, text: str) -> DataFrame:
     return written(rows.mapInArrow(sketch, schema), "sketches")
 
 
-def neighbours(key: np.ndarray, sketch: np.ndarray, depth: int, agreement: float) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs (numbers of rows) among rows in sorted order, of one tree each."""
+def neighbours(key: np.ndarray, sketch: np.ndarray, depth: int,
+               agreement: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Candidate pairs (numbers of rows) among rows in sorted order, of one
+    tree each, and the rows of large regions."""
     equal = key[1:] == key[:-1]
     prefix = np.where(equal.all(axis=1), key.shape[1], equal.argmin(axis=1))
     cuts = np.flatnonzero(np.r_[True, prefix < depth, True])
-    left, right = [], []
+    left, right, large = [], [], [np.zeros(0, np.int64)]
     bits = ((sketch[:, :, None] >> np.array([6, 4, 2, 0], np.uint8)) & 3).reshape(len(sketch), -1)
     for a, b in zip(cuts, cuts[1:], strict=False):
         m = b - a
@@ -134,6 +141,7 @@ def neighbours(key: np.ndarray, sketch: np.ndarray, depth: int, agreement: float
         if m <= REGION:
             i, j = np.triu_indices(m, 1)
         else:
+            large.append(np.arange(a, b))
             i = np.concatenate([np.arange(m - d) for d in range(1, NEAR + 1)])
             j = np.concatenate([np.arange(d, m) for d in range(1, NEAR + 1)])
             here = bits[a:b]
@@ -143,27 +151,33 @@ def neighbours(key: np.ndarray, sketch: np.ndarray, depth: int, agreement: float
         left.append(a + i)
         right.append(a + j)
     if not left:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), large[0]
     i, j = np.concatenate(left), np.concatenate(right)
     near = np.concatenate([(bits[i[k:k + 65536]] == bits[j[k:k + 65536]]).mean(axis=1) >= agreement
                            for k in range(0, len(i), 65536)])
-    return i[near & (i != j)], j[near & (i != j)]
+    return i[near & (i != j)], j[near & (i != j)], np.concatenate(large)
 
 
 def pairs_of(rows: pd.DataFrame, depth: int, agreement: float) -> pd.DataFrame:
-    """Candidates among sorted rows; the tree counts as the first part of the key."""
+    """Candidates among sorted rows; the tree counts as the first part of the
+    key.  Then the rows of large regions: the class as ``a``, no ``b``, its
+    tree and the region's common prefix."""
     tree = rows["tree"].to_numpy(np.uint16)
     key = np.frombuffer(b"".join(rows["key"]), ">u2").reshape(len(rows), DEPTH)
     key = np.concatenate([tree[:, None], key], axis=1)
     sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(rows), -1)
-    i, j = neighbours(key, sketch, depth + 1, agreement)
+    i, j, large = neighbours(key, sketch, depth + 1, agreement)
     fp = rows["fp"].to_numpy()
-    return pd.DataFrame([(x, y) if x < y else (y, x) for x, y in zip(fp[i], fp[j], strict=True)],
-                        columns=["a", "b"]).drop_duplicates()
+    pairs = pd.DataFrame([(x, y) if x < y else (y, x) for x, y in zip(fp[i], fp[j], strict=True)],
+                         columns=["a", "b"]).drop_duplicates().assign(tree=None, prefix=None)
+    members = pd.DataFrame({"a": fp[large], "b": None, "tree": tree[large],
+                            "prefix": [k[:2 * depth] for k in rows["key"].to_numpy()[large]]})
+    return pd.concat([x.astype(object) for x in (pairs, members)], ignore_index=True)
 
 
-def candidates(classes: DataFrame, depth: int, agreement: float) -> DataFrame:
-    """(a, b) with a < b: pairs of fingerprints that some tree brings together."""
+def candidates(classes: DataFrame, depth: int, agreement: float) -> tuple[DataFrame, DataFrame]:
+    """(a, b) with a < b: pairs of fingerprints that some tree brings together;
+    and (fp, tree, prefix): the classes of each large region."""
     rows = classes.select("fp", "sketch", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(TREES - 1)),
         lambda t: F.substring("sig", t * (2 * DEPTH) + 1, F.lit(2 * DEPTH)))).alias("tree", "key"))
@@ -189,7 +203,7 @@ def candidates(classes: DataFrame, depth: int, agreement: float) -> DataFrame:
         if held is not None:
             yield edge(held, number, 0)
 
-    columns = ["a", "b", "cut", "place", "tree", "key", "sketch", "fp"]
+    columns = ["a", "b", "prefix", "cut", "place", "tree", "key", "sketch", "fp"]
 
     def filled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in walk(batches):
@@ -197,13 +211,16 @@ def candidates(classes: DataFrame, depth: int, agreement: float) -> DataFrame:
             yield out.astype({c: "Int64" for c in ("cut", "place", "tree")})
 
     found = written(ordered.mapInPandas(
-        filled, "a binary, b binary, cut long, place long, tree long, key binary, sketch binary, fp binary"), "forest")
+        filled, "a binary, b binary, prefix binary, cut long, place long, tree long, key binary, sketch binary, fp binary"), "forest")
 
     def across(pdf: pd.DataFrame) -> pd.DataFrame:
         return pairs_of(pdf.sort_values("place"), depth, agreement)
 
-    cut = found.filter("cut is not null").drop("a", "b").groupBy("cut").applyInPandas(across, "a binary, b binary")
-    return found.filter("a is not null").select("a", "b").union(cut).distinct()
+    cut = written(found.filter("cut is not null").drop("a", "b", "prefix").groupBy("cut").applyInPandas(
+        across, "a binary, b binary, tree long, prefix binary"), "forest-cuts")
+    both = found.filter("a is not null").select("a", "b", "tree", "prefix").union(cut)
+    return (both.filter("b is not null").select("a", "b").distinct(),
+            both.filter("prefix is not null").select(F.col("a").alias("fp"), "tree", "prefix").distinct())
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -239,6 +256,75 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return whole.select("a", "b", "za", "zb").mapInPandas(check, "a binary, b binary")
 
 
+def rest_links(rows: pd.DataFrame, words: int, percent: int, depth: int, agreement: float) -> pd.DataFrame:
+    """Links between components (root a, root b) among the rows of two blocks
+    of a large region, or of one block with itself: all pairs are compared but
+    those of one component and those that met in an earlier tree."""
+    rows = rows.sort_values("block", ignore_index=True)
+    unpack = zstandard.ZstdDecompressor().decompress
+    sets = list(Shingler(words).sets([unpack(z).decode("utf-8", "surrogatepass") for z in rows["z"]]))
+    sizes = np.array([len(s) for s in sets], np.int64)
+    ends = np.cumsum(sizes)
+    known, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    del sets
+    marked = np.zeros(len(known), bool)
+    sketch = np.frombuffer(b"".join(rows["sketch"]), "<u8").reshape(len(rows), -1)
+    sig = np.frombuffer(b"".join(rows["sig"]), ">u2").reshape(len(rows), TREES, DEPTH)
+    # the regions of the earlier trees, 64 bits of prefix to a number
+    wide = np.zeros((len(rows), TREES, -(-depth // 4) * 4), "<u2")
+    wide[:, :, :depth] = sig[:, :, :depth]
+    earlier = wide.view("<u8")[:, :int(rows["tree"][0])]
+    roots = rows["root"].to_numpy()
+    label = pd.factorize(roots)[0]
+    block = rows["block"].to_numpy()
+    second = int(np.searchsorted(block, block[0], side="right"))
+    alone = rows["lo"][0] == rows["hi"][0]
+    odd, least = np.uint64(0x5555555555555555), agreement * TREES * DEPTH
+    out = []
+    for i in range(len(rows) if alone else second):
+        first = i + 1 if alone else second
+        j = first + np.flatnonzero(label[first:] != label[i])
+        j = j[100 * np.minimum(sizes[i], sizes[j]) >= percent * np.maximum(sizes[i], sizes[j])]
+        differ = sketch[j] ^ sketch[i]
+        same = TREES * DEPTH - np.bitwise_count((differ | (differ >> np.uint64(1))) & odd).sum(axis=1, dtype=np.int64)
+        j = j[same >= least]
+        if earlier.shape[1]:
+            j = j[~(earlier[j] == earlier[i]).all(axis=2).any(axis=1)]
+        if not len(j):
+            continue
+        marked[flat[ends[i] - sizes[i]:ends[i]]] = True
+        begin = np.cumsum(sizes[j]) - sizes[j]
+        at = np.arange(sizes[j].sum()) + np.repeat(ends[j] - sizes[j] - begin, sizes[j])
+        both = np.add.reduceat(marked[flat[at]], begin, dtype=np.int64)
+        marked[flat[ends[i] - sizes[i]:ends[i]]] = False
+        for k in j[100 * both >= percent * (sizes[i] + sizes[j] - both)]:
+            if label[k] != label[i]:
+                out.append((roots[i], roots[k]))
+                label[label == label[k]] = label[i]
+    return pd.DataFrame(out, columns=["a", "b"])
+
+
+def rest_of_regions(large: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int, depth: int,
+                    agreement: float) -> DataFrame:
+    """(a, b): links between the components that large regions still hold.
+    ``large``: (fp, tree, prefix); ``classes``: (fp, root, sig, sketch, n);
+    ``texts``: (fp, z)."""
+    region = ["tree", "prefix"]
+    members = written(large.join(classes.select("fp", "root", "n").hint("merge"), "fp"), "region-classes")
+    # a block with all others of its region, itself included; more blocks where sets are long
+    count = F.ceil(F.greatest(F.count(F.lit(1)) / REST_ROWS, F.sum("n") / REST_SHINGLES)).alias("blocks")
+    mixed = written(members.groupBy(*region).agg(count, F.min("root").alias("low"), F.max("root").alias("high"))
+                    .filter("low <> high").select(*region, "blocks"), "mixed-regions")
+    parts = members.join(mixed.hint("merge"), region).withColumn("block", F.pmod(F.xxhash64("fp"), "blocks"))
+    parts = written(parts.select("fp", "root", *region, "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias(
+        "other")).withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")}).drop("other"), "region-blocks")
+    full = classes.select("fp", "sig", "sketch").join(
+        parts.select("fp").distinct().hint("merge"), "fp", "left_semi").join(texts.hint("merge"), "fp")
+    met = parts.join(written(full, "region-texts").hint("merge"), "fp")
+    return met.groupBy(*region, "lo", "hi").applyInPandas(
+        lambda rows: rest_links(rows, words, percent, depth, agreement), "a binary, b binary")
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, key: str = "doc_id",
                     text: str = "text", keep_text: bool = True) -> DataFrame:
     """The rows of ``docs`` (without the text unless ``keep_text``) with
@@ -250,18 +336,24 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     # of a class the row with the smallest id stands for it, by its number if the id repeats
     classes = written(rows.filter("fp__ is not null").groupBy(F.col("fp__").alias("fp")).agg(
         F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), F.col("row__").alias("row"))).alias("rep"),
-        F.min("sig__").alias("sig"), F.min("sketch__").alias("sketch")), "classes")
+        F.min("sig__").alias("sig"), F.min("sketch__").alias("sketch"), F.min("n_shingles").alias("n")), "classes")
 
-    pairs = written(candidates(classes.select("fp", "sig", "sketch"), least_depth(percent), least_agreement(percent)),
-                    "candidates")
-    nodes = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
+    depth, agreement = least_depth(percent), least_agreement(percent)
+    pairs, large = (written(found, name) for found, name in zip(
+        candidates(classes.select("fp", "sig", "sketch"), depth, agreement), ("candidates", "large-regions"), strict=True))
+    nodes = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).union(large.select("fp")).distinct()
     wanted = written(classes.select("fp", F.col("rep.row").alias("row")).join(nodes.hint("merge"), "fp", "left_semi"), "nodes")
     texts = written(rows.select(F.col("fp__").alias("fp"), F.col("row__").alias("row"), F.col("z__").alias("z")).join(
         wanted.hint("merge"), ["fp", "row"]).select("fp", "z"), "node-texts")
     roots = components(confirmed(pairs, texts, words, percent))
 
-    joined = classes.select("fp", "rep").join(roots.hint("merge"), F.col("fp") == F.col("node"), "left").select(
-        "fp", "rep", F.coalesce("root", "fp").alias("root"))
+    rooted = classes.join(roots.hint("merge"), F.col("fp") == F.col("node"), "left").withColumn(
+        "root", F.coalesce("root", "fp"))
+    joined = rooted.select("fp", "rep", "root")
+    if not large.isEmpty():
+        more = components(rest_of_regions(large, rooted, texts, words, percent, depth, agreement))
+        joined = joined.join(more.withColumnRenamed("root", "top").hint("merge"), F.col("root") == F.col("node"), "left").select(
+            "fp", "rep", F.coalesce("top", "root").alias("root"))
     best = written(joined.groupBy("root").agg(F.min("rep").alias("best")), "component-ids")
     known = written(joined.join(best.hint("merge"), "root").select("fp", "best"), "class-ids")
     out = rows.drop("sig__", "sketch__") if keep_text else rows.drop("sig__", "sketch__", "z__")
