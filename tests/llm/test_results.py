@@ -260,6 +260,19 @@ def test_packing_is_gapless_and_tight(spark):
     assert n <= 1.01 * -(-sum(r["length"] for r in found) // 1024) + 1
 
 
+def test_added_tokens_are_those_of_the_file(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "a <|endoftext|", "<|endoftext|><|endoftext|> é x", "plain words"]
+    assert 50256 in plain.encode(texts[0], add_special_tokens=False).ids
+    found = Q["op10_packing"](spark, write(spark, documents=docs(*texts))).collect()
+    expected = {d: [*plain.encode(t, add_special_tokens=False).ids, 2] for d, t in enumerate(texts)}
+    assert {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in found} == {
+        d: (len(ids), zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids))) for d, ids in expected.items()}
+
+
 def best_possible(items: list[int], capacity: int) -> int:
     best, items = len(items), sorted(items, reverse=True)
 

@@ -66,9 +66,10 @@ class Encoder:
 
     A byte-level tokenizer splits a text at ``SPLIT`` and merges bytes within
     each part alone, so the ids of a part are the same wherever it stands:
-    they are asked for once and kept.  Texts with characters that another
-    Unicode version might split otherwise, and files of another kind, go
-    through the tokenizer whole.
+    they are asked for once and kept.  Texts that hold the content of an added
+    token, which the tokenizer takes out before it splits, or characters that
+    another Unicode version might split otherwise, and files of another kind,
+    go through the tokenizer whole.
     """
 
     def __init__(self, path: str | None = None):
@@ -76,17 +77,19 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
-        self.whole.encode_special_tokens = True
         form = json.loads(self.whole.to_str())
         cut = form.get("pre_tokenizer") or {}
         self.by_parts = (cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut["add_prefix_space"]
                          and form.get("normalizer") is None and not form["model"].get("dropout"))
+        added = [re.escape(t["content"]) for t in form.get("added_tokens") or []]
+        self.added = re.compile("|".join(added) or "(?!)")
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text as unsigned 32-bit little-endian numbers."""
-        parts = [None if not self.by_parts or UNUSUAL.search(t) else SPLIT.findall(t) for t in texts]
+        parts = [None if not self.by_parts or UNUSUAL.search(t) or self.added.search(t) else SPLIT.findall(t)
+                 for t in texts]
         seen = set().union(*(p for p in parts if p))
         if len(self.known) + len(seen) > KNOWN_PARTS:
             self.before, self.known = self.known, {}
@@ -113,6 +116,9 @@ class Encoder:
             (words if part[0] == " " and part[1:].isalpha() else rest).append(part)
         for k in range(0, len(words), WORDS_AT_ONCE):
             some = words[k:k + WORDS_AT_ONCE]
+            if self.added.search("".join(some)):
+                rest += some
+                continue
             e = self.whole.encode("".join(some), add_special_tokens=False)
             ids, number = np.array(e.ids, "<u4").tobytes(), np.array(e.word_ids)
             cuts = (4 * np.flatnonzero(np.r_[True, number[1:] != number[:-1], True])).tolist()
