@@ -71,6 +71,22 @@ def test_passages_of_fifty_words_are_found(spark):
     assert all(80 <= int(s.split("-")[0]) and int(s.split("-")[1]) <= 130 for s in found[0]["repeated_words"].split(","))
 
 
+def test_near_copies_among_other_variants_are_found(spark, monkeypatch):
+    """In each group two paragraphs that differ in the last word (15 of 17
+    shingles), among variants with an inner word changed (11 of 21)."""
+    from tripcast.llm import substrings
+
+    monkeypatch.setattr(substrings, "BLOCK_CLASSES", 16, raising=False)
+    texts, near = [], set()
+    for g in range(41):
+        words = [f"g{g}w{i}" for i in range(20)]
+        near |= {len(texts), len(texts) + 1}
+        texts += [" ".join(words), " ".join([*words[:19], f"g{g}end"])]
+        texts += [" ".join([*words[:7 + v % 6], f"g{g}v{v}", *words[8 + v % 6:]]) for v in range(200 if g == 40 else 10)]
+    found = {r["doc_id"] for r in Q["op4_substrings"](spark, write(spark, documents=docs(*texts))).collect()}
+    assert found == near
+
+
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
         "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+",
         "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
