@@ -42,7 +42,7 @@ def test_empty_tables(spark, empty_folder, name):
 
 
 @pytest.mark.parametrize("name", ["op1_quality", "op2_decontaminate", "op3_sharding", "op5_language", "op7_pii",
-                                  "op9_near_duplicates"])
+                                  "op9_near_duplicates", "op12_resampling", "op13_quality_rules"])
 def test_every_row_has_its_result(spark, odd_folder, name):
     found = Q[name](spark, odd_folder).collect()
     assert sorted((r["doc_id"] for r in found), key=str) == sorted((r[0] for r in odd()[0]), key=str)
@@ -132,5 +132,5 @@ def test_queries_are_registered():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names and SF

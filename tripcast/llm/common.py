@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,3 +44,19 @@ def spans(texts: list[str], most: int) -> Iterator[tuple[int, int]]:
         held += len(t)
     if begin < len(texts):
         yield begin, len(texts)
+
+
+def crc32_sql() -> str:
+    """For a DuckDB query: the one-row table ``crc_table`` of the 256 steps; what
+    names it in its FROM may call ``crc32_of(x)``, see ``with_crc32``."""
+    return """crc_table AS (SELECT list(v ORDER BY i) AS steps FROM (
+    SELECT i, list_reduce([CAST(i AS BIGINT)] || range(8),
+                          lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM range(256) t(i)))"""
+
+
+def with_crc32(sql: str) -> str:
+    """``sql`` with each ``crc32_of(x)`` written out as a fold over the bytes."""
+    return re.sub(r"crc32_of\(([^()]*)\)", r"""xor(4294967295, list_reduce([4294967295] || list_transform(
+        range(length(hex(encode(\1))) // 2), lambda p: CAST('0x' || substr(hex(encode(\1)), 2 * p + 1, 2) AS BIGINT)),
+        lambda c, y: xor(c >> 8, steps[(xor(c, y) & 255) + 1])))""", sql)
