@@ -10,7 +10,10 @@ import __spark_entry__ as E
 SF = "/root/testdata/sf0.001"
 FAST = ["scan_trips", "remove_outliers", "preprocess", "daily_stats", "cleaning_audit", "is_holiday",
         "sample_exact", "regression_metrics", "sliding_rmse", "drift_alert", "ridge_trend", "hybrid_predict",
-        "union_batches", "json_requests", "validation_rmse"]
+        "union_batches", "json_requests", "validation_rmse", "scan_batches", "sample_fraction", "cap_batches",
+        "lost_rows", "validation_calls", "prediction_pages", "log_runs", "months_layout", "rescan_rows",
+        "transformer_round_trip", "density_curve", "residual_sketch", "stream_drift_models",
+        "tree_first", "tree_continued", "tree_grid", "tree_predict", "tree_round_trip", "tree_metrics", "tree_training_run"]
 
 
 def test_entry_runs(spark):

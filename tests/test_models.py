@@ -3,6 +3,7 @@ request scoring (the end-to-end serving assertions), run records."""
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tripcast import schema as S
 from tripcast.operators import aggregates as A
@@ -156,15 +157,69 @@ def test_hexbin_matches_numpy(spark):
     assert (got[["lattice", "i", "j", "n"]].values == exp[["lattice", "i", "j", "n"]].values).all()
 
 
-def test_incremental_boosting_adds_trees_per_group(spark):
-    from pyspark.sql import functions as F
+def test_a_run_logged_twice_counts_once(spark, tmp_dir):
+    run = {"run_no": 0, "stepSize": 0.1, "rmse": 2.0, "mae": 1.0, "r2": 0.5}
+    for run_id, rmse in (("a", 2.0), ("b", 1.5), ("a", 1.75)):
+        H.log_runs(H.runs_frame(spark, run_id, [{**run, "rmse": rmse}]), tmp_dir + "/log")
+    log = H.read_runs(spark, tmp_dir + "/log")
+    assert sorted((r["run_id"], r["rmse"], r["params"]["stepSize"]) for r in log.collect()) == [("a", 1.75, "0.1"), ("b", 1.5, "0.1")]
 
-    train, _ = Q.split_years(Q.featured_with_pickup(Q.raw(spark, SF)))
-    coefs = TR.fit_ridge(A.daily_stats(train))
-    tm = B.assemble(H.training_matrix(train, coefs)).withColumn("grp", F.col("pickup_year"))
-    n_groups = tm.select("grp").distinct().count()
-    ens = B.fit_incremental(tm, "grp", {"min_data_in_leaf": 20, "num_leaves": 8}, trees_per_group=2)
-    assert len(ens.trees) == 2 * n_groups
-    scored = ens.transform(tm).select(F.avg((F.col("label") - F.col("log_correction")) ** 2).alias("mse"),
-                                      F.var_pop("label").alias("var")).first()
-    assert scored["mse"] < scored["var"]  # better than the mean
+
+def test_pages_hold_a_bounded_part_of_a_request(spark):
+    import json
+
+    scored = spark.range(2500).select(F.lit("a").alias("request"), "id", F.col("id").alias("v")).union(
+        spark.range(3).select(F.lit("b"), "id", F.col("id") * 10))
+    pages = R.prediction_pages(scored, ("request",), "id", 1000, "v").collect()
+    found = {(r["request"], r["page"]): json.loads(r["body"])["predictions"] for r in pages}
+    assert found[("b", 0)] == [0, 10, 20] and sorted(found) == [("a", 0), ("a", 1), ("a", 2), ("b", 0)]
+    assert sum((found[("a", p)] for p in range(3)), []) == list(range(2500))
+
+
+def test_density_curve_is_a_gaussian_kernel_estimate(spark):
+    x = np.random.default_rng(2).normal(3, 2, 4000)
+    got = A.density_curve(spark.createDataFrame([(float(v),) for v in x] + [(None,)], "residual double")).orderBy("point").toPandas()
+    h = x.std(ddof=1) * len(x) ** -0.2
+    want = np.exp(-0.5 * ((got["x"].to_numpy()[:, None] - x) / h) ** 2).sum(axis=1) / (len(x) * h * np.sqrt(2 * np.pi))
+    assert np.allclose(got["density"], want, rtol=0.01, atol=1e-4) and len(got) == 100
+    assert A.density_curve(spark.createDataFrame([(1.0,), (1.0,)], "residual double")).collect() == []
+
+
+def test_merged_sketches_equal_one_over_all(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(d), float(p), float(r)) for d, p, r in zip(rng.integers(0, 20, 30_000), rng.choice([30.0, 90.0], 30_000), rng.normal(size=30_000))]
+    df = spark.createDataFrame(rows, "day int, predicted double, residual double")
+    for r in A.merged_profile(A.residual_sketches(df, ["day"]).filter("day < 15")).collect():
+        own = np.array([e for d, p, e in rows if d < 15 and p // 60 == r["predicted_bin"]])
+        assert r["n"] == len(own)
+        for q in (25, 50, 75):
+            assert abs((own <= r[f"q{q}"]).mean() - q / 100) < 0.02
+
+
+def test_the_latch_lasts_from_call_to_call(spark, tmp_dir):
+    from tripcast.operators import monitoring as M
+
+    def call(n, errors, reloaded=False):
+        rows = spark.createDataFrame([(i, e) for i, e in enumerate(errors)], "i int, sq_err double")
+        M.validate_call(spark, rows, [F.col("i")], "2000-01-0" + str(n), tmp_dir + "/r", n, reloaded, threshold=2.0)
+
+    call(1, [100.0, 100.0, None])                # window not full
+    call(2, [100.0, 100.0, 100.0])               # full with what the first call left: alarm
+    call(3, [100.0])                             # still breached, latched
+    call(4, [], reloaded=True)                   # reloaded: alarm again on the same window
+    call(5, [0.0, 0.0, 0.0, 0.0, float("nan")])  # newest errors push the old ones out
+    call(5, [0.0, 0.0, 0.0, 0.0, float("nan")])  # the call repeated replaces its report
+    got = M.reports(spark, tmp_dir + "/r").orderBy("call_no").collect()
+    assert [r["window_size"] for r in got] == [2, 5, 5, 5, 5]
+    assert [r["retraining_triggered"] for r in got] == [False, True, False, True, False]
+    assert [r["alarm_raised"] for r in got] == [False, True, True, True, True]
+    assert [r["samples_validated"] for r in got] == [3, 3, 1, 0, 5]
+    assert got[4]["tail"] == [100.0, 0.0, 0.0, 0.0, 0.0]
+
+
+def test_lost_requests_are_listed(spark):
+    from tripcast.operators import monitoring as M
+
+    sent = spark.createDataFrame([("a", 0), ("a", 1), ("b", 0), ("b", 0)], "request string, position int")
+    answered = spark.createDataFrame([("a", 1, 2.5), ("b", 0, 3.5)], "request string, position int, minutes double")
+    assert [tuple(r) for r in M.lost_rows(sent, answered, ["request", "position"]).collect()] == [("a", 0)]

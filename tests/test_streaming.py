@@ -41,7 +41,7 @@ def test_drift_stream_equals_batch(spark, tmp_dir, per_file, n):
     rows = random_rows(n, per_file)
     df = spark.createDataFrame(rows, SCHEMA)
     folder = arrive(spark, tmp_dir, rows, per_file)
-    got = ST.drift_stream(ST.file_stream(spark, folder, df.schema), "key", "is_reload", 40.0, chunk_rows=32)
+    got = ST.drift_stream(ST.file_stream(spark, folder, df.schema), "key", "is_reload", 40.0)
     assert alerts(got) == alerts(W.drift_alerts(df, "key", F.col("is_reload"), 40.0, chunk_rows=32))
 
 
@@ -57,13 +57,36 @@ def test_reload_without_an_error_clears_the_latch(spark, tmp_dir):
 def test_a_stopped_stream_goes_on_where_it_was(spark, tmp_dir):
     rows = random_rows(18, 5)
     df = spark.createDataFrame(rows, SCHEMA)
-    places = {"alerts_path": f"{tmp_dir}/alerts", "state_path": f"{tmp_dir}/state", "checkpoint": f"{tmp_dir}/ckpt"}
+    places = {"alerts_path": f"{tmp_dir}/alerts", "checkpoint": f"{tmp_dir}/ckpt"}
     for part in (rows[:9], rows[9:]):
         folder = arrive(spark, tmp_dir, part, 3)
         got = ST.drift_stream(ST.file_stream(spark, folder, df.schema), "key", "is_reload", 40.0, **places)
     assert alerts(got) == alerts(W.drift_alerts(df, "key", F.col("is_reload"), 40.0))
 
 
+def test_models_keep_their_own_state(spark, tmp_dir):
+    """Three models in one stream, stopped and gone on with, each as alone."""
+    rows = random_rows(90, 6)
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("model", F.col("key") % 3)
+    places = {"alerts_path": f"{tmp_dir}/alerts", "checkpoint": f"{tmp_dir}/ckpt"}
+    for part in (rows[:50], rows[50:]):
+        folder = arrive(spark, tmp_dir, part, 10)
+        stream = ST.file_stream(spark, folder, spark.createDataFrame(rows, SCHEMA).schema).withColumn("model", F.col("key") % 3)
+        got = ST.drift_stream(stream, "key", "is_reload", 40.0, model_col="model", **places)
+    for m in range(3):
+        alone = W.drift_alerts(df.filter(F.col("model") == m), "key", F.col("is_reload"), 40.0)
+        assert alerts(got.filter(F.col("model") == str(m))) == alerts(alone)
+    assert got.select("model").distinct().count() == 3
+
+
+def test_a_null_flag_is_rejected_not_lost(spark, tmp_dir):
+    rows = [(1, 1.0, True), (2, 2.0, False), (3, 3.0, None)]
+    folder = arrive(spark, tmp_dir, rows, 3)
+    stream = ST.file_stream(spark, folder, spark.createDataFrame(rows, SCHEMA).schema)
+    yes, no = ST.split_by_flag(stream, "is_reload", "split")
+    assert [r["key"] for r in yes.collect()] == [1] and sorted(r["key"] for r in no.collect()) == [2, 3]
+
+
 def test_nan_errors_raise_no_alarm(spark):
     rows = [(i, float("nan") if i < 6 else 1.0, False) for i in range(12)]
     df = spark.createDataFrame(rows, SCHEMA)

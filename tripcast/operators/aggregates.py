@@ -9,6 +9,8 @@ before the exchange.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -94,6 +96,46 @@ def residual_histogram(df: DataFrame, residual: str = "residual", bins: int = 10
                           "n"))
 
 
+def density_curve(df: DataFrame, value: str = "residual", points: int = 100, cells: int = 1000) -> DataFrame:
+    """The smoothed density of a column at ``points`` equally spaced places
+    from its least to its greatest value: Gaussian kernels of Scott's width
+    (standard deviation times n^(-1/5)) over the counts of ``cells`` cells.
+
+    Two aggregates over the rows; what is convolved is at most ``cells``
+    counts, each spread over the ``points``."""
+    one = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi"), F.count(value).alias("n"), F.stddev_samp(value).alias("sd"))
+    one = one.select("lo", "hi", "n", (F.col("sd") * F.pow(F.col("n"), F.lit(-0.2))).alias("h")).filter("h > 0")
+    width = (F.col("hi") - F.col("lo")) / F.lit(float(cells))
+    cell = F.least(F.floor((F.col(value) - F.col("lo")) / width), F.lit(cells - 1))
+    counts = df.filter(F.col(value).isNotNull()).crossJoin(F.broadcast(one)).groupBy(cell.alias("cell")).agg(
+        F.count(F.lit(1)).alias("k"), *[F.min(c).alias(c) for c in ("lo", "hi", "n", "h")])
+    x = F.col("lo") + F.col("point") * (F.col("hi") - F.col("lo")) / F.lit(float(points - 1))
+    centre = F.col("lo") + (F.col("cell") + 0.5) * width
+    z = (F.col("x") - centre) / F.col("h")
+    spread = counts.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))).withColumn("x", x)
+    weight = F.col("k") * F.exp(-z * z / 2) / (F.col("n") * F.col("h") * F.sqrt(F.lit(2 * math.pi)))
+    return spread.groupBy("point").agg(F.min("x").alias("x"), F.sum(weight).alias("density"))
+
+
+SKETCH_K = 800
+
+
+def residual_sketches(df: DataFrame, by: list[str], predicted: str = "predicted", residual: str = "residual",
+                      cell: float = 60.0, k: int = SKETCH_K) -> DataFrame:
+    """A7 for any range of days: one quantile sketch of the residuals per
+    ``by`` (a day) and bin of predicted values, to be stored and merged."""
+    binned = df.filter(F.col(residual).isNotNull()).withColumn("predicted_bin", F.floor(F.col(predicted) / cell).cast("long"))
+    return binned.groupBy(*by, "predicted_bin").agg(F.kll_sketch_agg_double(F.col(residual).cast("double"), F.lit(k)).alias("sketch"))
+
+
+def merged_profile(sketches: DataFrame, quantiles: tuple[float, ...] = (0.25, 0.5, 0.75), k: int = SKETCH_K) -> DataFrame:
+    """Count and quantiles per bin from stored sketches (of the days the
+    caller keeps), without the trips."""
+    merged = sketches.groupBy("predicted_bin").agg(F.kll_merge_agg_double("sketch", F.lit(k)).alias("sketch"))
+    return merged.select("predicted_bin", F.kll_sketch_get_n_double("sketch").alias("n"), *[
+        F.kll_sketch_get_quantile_double("sketch", F.lit(q)).alias(f"q{round(100 * q)}") for q in quantiles])
+
+
 def residual_profile(df: DataFrame, predicted: str = "predicted", residual: str = "residual",
                      cell: float = 60.0, fine: float = 1.0) -> DataFrame:
     """Residuals binned by predicted value: count, mean, stddev and the
@@ -164,8 +206,6 @@ def hexbin_density(df: DataFrame, x: str = "actual", y: str = "predicted", grids
 
     Fixed values: the x padding of 1e-9 of the range is part of the binning
     rule."""
-    import math
-
     nx, ny = gridsize, int(gridsize / math.sqrt(3))
     rng = df.agg(F.min(x).alias("_xlo"), F.max(x).alias("_xhi"), F.min(y).alias("_ylo"), F.max(y).alias("_yhi"))
     pad = (F.col("_xhi") - F.col("_xlo")) * F.lit(1e-9)

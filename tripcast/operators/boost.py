@@ -1,33 +1,23 @@
-"""Gradient-boosted trees on the log ratio to the trend (M5-M8).
+"""Level-wise gradient-boosted trees by MLlib, the plainer form of M5 and M7.
 
-MLlib's ``GBTRegressor`` is the distributed stand-in for the reference's
-leaf-wise booster: squared loss, shrinkage, row subsampling per tree,
-feature subsampling, minimum rows per leaf and 64 bins.  Differences that
-cannot be closed: trees grow level-wise to ``maxDepth`` (leaf count maps to
-depth = ceil(log2(leaves))), there is no L1/L2 leaf penalty, and MLlib's first
-tree has weight 1 instead of starting from the label mean.  Every tree is
-built from per-partition histograms merged by ``treeAggregate``, so the
-training set is never collected.
+MLlib's ``GBTRegressor`` has squared loss, shrinkage, row subsampling per
+tree, feature subsampling, minimum rows per leaf and 64 bins, but grows
+level-wise to ``maxDepth`` (leaf count maps to depth = ceil(log2(leaves))),
+has no L1/L2 leaf penalty, gives its first tree weight 1, and can't go on from
+a saved model.  The registered queries use ``operators.leafwise``.
 """
 
 from __future__ import annotations
 
 import math
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from tripcast import schema as S
-
-# --- fixed values: booster parameters of the reference's final model -------
-DEFAULT_PARAMS = {
-    "stepSize": 0.1, "num_leaves": 255, "max_bin": 63, "min_data_in_leaf": 100,
-    "feature_fraction": 0.8, "bagging_fraction": 0.7, "num_boost_round": 20,
-}
+from tripcast.operators.leafwise import DEFAULT_PARAMS
 
 
 def assemble(df: DataFrame, features: list[str] = S.FEATURE_COLUMNS, out: str = "features") -> DataFrame:
@@ -73,77 +63,3 @@ def predict_prefix(model, df: DataFrame, n_trees: int, out_col: str = "log_corre
         df = t.copy().setPredictionCol(f"_t{i}").transform(df)
         total = total + F.lit(w) * F.col(f"_t{i}")
     return df.withColumn(out_col, total).drop(*[f"_t{i}" for i in range(len(trees))])
-
-
-class TreeEnsemble:
-    """M6 result: base score + shrunken trees, applied as native transforms."""
-
-    def __init__(self, base: float, trees: list, step: float):
-        self.base, self.trees, self.step = base, trees, step
-
-    def transform(self, df: DataFrame, out_col: str = "log_correction") -> DataFrame:
-        total = F.lit(self.base)
-        for i, t in enumerate(self.trees):
-            df = t.copy().setPredictionCol(f"_e{i}").transform(df)
-            total = total + F.lit(self.step) * F.col(f"_e{i}")
-        return df.withColumn(out_col, total).drop(*[f"_e{i}" for i in range(len(self.trees))])
-
-
-def fit_incremental(train: DataFrame, group_col: str, params: dict | None = None, trees_per_group: int = 2,
-                    seed: int = 42) -> TreeEnsemble:
-    """M6: boosting continued group by group (the reference adds two trees per
-    loader batch).  For group g, each new tree is fit on the residual of the
-    current ensemble over g's rows only.
-
-    The training matrix is written once, partitioned by group, to the shared
-    checkpoint folder; group g is then read alone (partition pruning), scored
-    by the current ensemble (native tree transforms) and cached while its
-    trees are fit.  Every row is read once, no pass touches other groups, and
-    lineage never grows across groups.
-    """
-    from tripcast.session import scratch_path
-
-    p = dict(DEFAULT_PARAMS)
-    p.update(params or {})
-    spark = train.sparkSession
-    path = scratch_path(spark, "incremental-train")
-    train.select("features", "label", group_col).write.partitionBy(group_col).parquet(path)
-    stored = spark.read.parquet(path)
-    groups = [r[0] for r in stored.select(group_col).distinct().orderBy(group_col).collect()]
-    first = stored.filter(F.col(group_col) == groups[0]).agg(F.avg("label")).first()[0] or 0.0
-    ens = TreeEnsemble(float(first), [], p["stepSize"])
-    for g in groups:
-        part = ens.transform(stored.filter(F.col(group_col) == g), "_pred").persist(StorageLevel.MEMORY_AND_DISK)
-        cached = part
-        for _ in range(trees_per_group):
-            dt = DecisionTreeRegressor(featuresCol="features", labelCol="_resid", predictionCol="_tp",
-                                       maxDepth=depth_for_leaves(p["num_leaves"]),
-                                       maxBins=p["max_bin"] + 1, minInstancesPerNode=p["min_data_in_leaf"],
-                                       seed=seed + len(ens.trees))
-            model = dt.fit(part.withColumn("_resid", F.col("label") - F.col("_pred")))
-            ens.trees.append(model)
-            part = model.transform(part).withColumn("_pred", F.col("_pred") + F.lit(p["stepSize"]) * F.col("_tp")) \
-                        .drop("_tp")
-        cached.unpersist()
-    return ens
-
-
-def grid_search(train: DataFrame, valid: DataFrame, grid: list[dict], evaluate, max_iter: int,
-                parallelism: int = 2, seed: int = 42) -> list[dict]:
-    """M8: fit every candidate on the checkpointed training matrix (candidates run
-    concurrently from a driver thread pool, as ``TrainValidationSplit`` does
-    with ``parallelism``), keep each one's best prefix on ``valid`` and score
-    it with ``evaluate(model, n_trees) -> dict``.  Returns one dict per run,
-    in grid order."""
-
-    def run(i_params):
-        i, params = i_params
-        model = gbt_estimator(params, max_iter=max_iter, seed=seed).fit(train)
-        n_best, losses = best_prefix(model, valid)
-        out = {"run_no": i, **{k: float(v) for k, v in params.items()}, "max_depth": model.getMaxDepth(),
-               "rounds": len(losses), "best_iteration": n_best}
-        out.update(evaluate(model, n_best))
-        return out
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        return list(pool.map(run, list(enumerate(grid))))

@@ -1,12 +1,12 @@
 """The two-model predictor: trend x exp(booster) (M9-M12), its persistence
 (S9) and the run records (S10).
 
-``HybridModel`` is an MLlib ``PipelineModel``:
-  TrendBaseline (ridge coefficients as Params) -> VectorAssembler ->
-  GBTRegressionModel (log correction) -> SQLTransformer (product, minutes)
+The model is an MLlib ``PipelineModel``:
+  TrendBaseline (ridge coefficients as Params) -> BoostedTrees (log
+  correction) -> SQLTransformer (product, minutes)
 so it saves and loads with the standard MLlib writer, scores with
-``transform`` (no Python UDF), and the serving form just puts the
-``TripPreprocessor`` in front.
+``transform``, and the serving form just puts the ``TripPreprocessor`` in
+front.  (An MLlib booster works as well, behind a ``VectorAssembler``.)
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.storagelevel import StorageLevel
 
 from tripcast import schema as S
 from tripcast.operators import aggregates as A
-from tripcast.operators import boost as B
+from tripcast.operators import leafwise as LW
 from tripcast.operators import sampling as L
 from tripcast.operators import trend as TR
 from tripcast.operators.clean import TripPreprocessor
@@ -55,14 +55,14 @@ PRODUCT_SQL = ("SELECT *, baseline * exp(log_correction) AS predicted_seconds, "
                "baseline * exp(log_correction) / 60.0 AS duration_minutes FROM __THIS__")
 
 
+def trend_stage(coefs: dict) -> TrendBaseline:
+    return TrendBaseline(wDate=coefs["w_date"], wSin=coefs["w_sin"], wCos=coefs["w_cos"], intercept=coefs["intercept"])
+
+
 def scoring_pipeline(coefs: dict, booster) -> PipelineModel:
-    return PipelineModel(stages=[
-        TrendBaseline(wDate=coefs["w_date"], wSin=coefs["w_sin"], wCos=coefs["w_cos"],
-                      intercept=coefs["intercept"]),
-        VectorAssembler(inputCols=S.FEATURE_COLUMNS, outputCol="features", handleInvalid="keep"),
-        booster,
-        SQLTransformer(statement=PRODUCT_SQL),
-    ])
+    vectors = [] if isinstance(booster, LW.BoostedTrees) else [
+        VectorAssembler(inputCols=S.FEATURE_COLUMNS, outputCol="features", handleInvalid="keep")]
+    return PipelineModel(stages=[trend_stage(coefs), *vectors, booster, SQLTransformer(statement=PRODUCT_SQL)])
 
 
 def serving_pipeline(scoring: PipelineModel) -> PipelineModel:
@@ -79,6 +79,16 @@ def coefs_dict(coefs: DataFrame) -> dict:
     return {k: float(row[k]) for k in TR.COEFS}
 
 
+def with_draw(trips: DataFrame) -> DataFrame:
+    """The number that bagging goes by: a mix of the trip's key columns."""
+    return trips.withColumn("draw", L.mix(L.trip_key_parts(trips)))
+
+
+def boosting_matrix(featured: DataFrame, trend: TrendBaseline) -> DataFrame:
+    """Baseline and log-ratio label for featured rows that have their draw."""
+    return TR.log_ratio_target(trend.transform(featured))
+
+
 def training_matrix(featured: DataFrame, coefs: DataFrame) -> DataFrame:
     """M9: baseline and log-ratio label for featured rows (trees not used)."""
     return TR.log_ratio_target(TR.trend_predict(featured, coefs))
@@ -125,6 +135,17 @@ def append_runs(runs: DataFrame, path: str) -> None:
     runs.write.mode("append").parquet(path)
 
 
+def log_runs(runs: DataFrame, path: str) -> None:
+    """S10, idempotent: the rows of each run id replace what the log holds for
+    that id (one folder per run id), so a retried run counts once; other runs
+    stay."""
+    runs.write.partitionBy("run_id").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(RUNS_SCHEMA).parquet(path)
+
+
 def persist(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -133,24 +154,24 @@ def persist(df: DataFrame) -> DataFrame:
 # The whole training run
 # ---------------------------------------------------------------------------
 
-def _featurize(raw: DataFrame, carry: list[str] | None = None) -> DataFrame:
-    keep = list(S.KEEP_COLUMNS) + list(carry or [])
-    out = TripPreprocessor(standardizeColumns=False, createFeatures=True, keepColumns=keep).transform(raw)
-    return out
+def _featurize(raw: DataFrame) -> DataFrame:
+    """Cleaned rows with features and draw."""
+    return TripPreprocessor(standardizeColumns=False, createFeatures=True,
+                            keepColumns=[*S.KEEP_COLUMNS, "draw"]).transform(with_draw(raw))
 
 
-def _trend_and_matrix(featured: DataFrame) -> tuple[dict, DataFrame]:
-    coefs = coefs_dict(TR.fit_ridge(A.daily_stats(featured)))
-    base = TrendBaseline(wDate=coefs["w_date"], wSin=coefs["w_sin"], wCos=coefs["w_cos"],
-                         intercept=coefs["intercept"])
-    return coefs, base
+def test_scores(model: LW.BoostedTrees, matrix: DataFrame) -> dict:
+    """RMSE, MAE and R2 of trend x exp(booster) on the rows of a matrix."""
+    scored = model.transform(matrix).withColumn("predicted_seconds", F.col("baseline") * F.exp(F.col("log_correction")))
+    r = evaluate(scored).first()
+    return {"rmse": r["rmse"], "mae": r["mae"], "r2": r["r2"]}
 
 
 def train_and_evaluate(train_raw: DataFrame, test_raw: DataFrame, batch_cols: list[str],
                        grid: list[dict], model_path: str, max_rounds: int = 20, final_rounds: int = 20,
                        tune_sample: tuple[float, int] = S.TUNE_SAMPLE,
                        final_sample: tuple[float, int] = S.FINAL_SAMPLE,
-                       min_batch_rows: int | None = S.SAMPLE_MIN_BATCH_ROWS, parallelism: int = 2) -> list[dict]:
+                       min_batch_rows: int | None = None, parallelism: int = 2) -> list[dict]:
     """Tune the booster on ``tune_sample`` (rate, seed) of the training
     rows, fit the final one on ``final_sample`` with the best parameters and
     ``final_rounds`` trees, save the model (S9).  Only booster fits see a
@@ -159,35 +180,26 @@ def train_and_evaluate(train_raw: DataFrame, test_raw: DataFrame, batch_cols: li
     (grid runs, then the final run) for S10.
 
     ``*_raw`` are raw trip rows with loader batch ids ``batch_cols``.  Every
-    sample is a per-batch hash draw (batches of at most ``min_batch_rows``
-    rows whole); each matrix is checkpointed once for the boosting passes."""
+    sample is a hash draw of the rows; if ``min_batch_rows`` is given, batches
+    of at most that many rows are taken whole.  Matrices are written once for
+    the boosting passes."""
     test = _featurize(test_raw)
-    coefs, base = _trend_and_matrix(_featurize(train_raw))
-    rate, seed = tune_sample
-    tune = _featurize(L.sample_fraction(train_raw, rate, seed, batch_cols, min_batch_rows))
-    valid = test
-    tm = B.assemble(TR.log_ratio_target(base.transform(tune))).checkpoint(eager=True)
-    vm = B.assemble(TR.log_ratio_target(base.transform(valid))).checkpoint(eager=True)
-
-    def score(model, n_trees):
-        out = B.predict_prefix(model, vm, n_trees)
-        sc = out.select(F.col(S.TARGET).alias("actual"),
-                        (F.col("baseline") * F.exp(F.col("log_correction"))).alias("predicted"))
-        r = A.regression_metrics(sc).first()
-        return {"rmse": r["rmse"], "mae": r["mae"], "r2": r["r2"]}
-
-    results = B.grid_search(tm, vm, grid, score, max_rounds, parallelism=parallelism)
-    best = min(results, key=lambda r: (r["rmse"], r["run_no"]))
-    params = {k: best[k] for k in ("stepSize", "num_leaves")}
+    coefs = coefs_dict(TR.fit_ridge(A.daily_stats(_featurize(train_raw))))
 
-    rate, seed = final_sample
-    final = _featurize(L.sample_fraction(train_raw, rate, seed, batch_cols, min_batch_rows))
-    fm = B.assemble(TR.log_ratio_target(base.transform(final))).checkpoint(eager=True)
-    booster = B.gbt_estimator(params, max_iter=final_rounds).fit(fm)
+    def matrix(df: DataFrame) -> DataFrame:
+        return boosting_matrix(df, trend_stage(coefs)).checkpoint(eager=True)
+
+    def sampled(rate: float, seed: int) -> DataFrame:
+        return matrix(_featurize(L.sample_fraction(train_raw, rate, seed, batch_cols, min_batch_rows)))
+
+    valid = matrix(test)
+    results = LW.grid_search(sampled(*tune_sample), valid, grid, lambda m: test_scores(m, valid), max_rounds, parallelism)
+    best = min(results, key=lambda r: (r["rmse"], r["run_no"]))
+    params = {k: best[k] for k in grid[best["run_no"]]}
+    booster = LW.fit(sampled(*final_sample), params, final_rounds)
     save_model(scoring_pipeline(coefs, booster), model_path)
 
     m = evaluate(load_model(model_path).transform(test)).first()
-    results.append({"run_no": len(results), **params, "max_depth": booster.getMaxDepth(),
-                    "rounds": len(booster.trees), "final": True,
+    results.append({"run_no": len(results), **params, "rounds": len(booster.trees), "final": True,
                     "rmse": m["rmse"], "mae": m["mae"], "r2": m["r2"], "n": m["n"]})
     return results

@@ -8,16 +8,17 @@ integer key) and every chunk gets copies of the k-1 rows that precede it
 globally, so a window partitioned by chunk gives exactly the global result:
 
 * tails     = last k-1 rows of each chunk (window per chunk, parallel);
-* T_c       = number of tail rows in chunks before c (prefix sum over the
-              per-chunk tail counts: one row per chunk);
+* T_c       = number of tail rows in chunks before c;
 * the k-1 predecessors of chunk c are the tail rows with global tail index
   T_c, T_c-1, ..., T_c-k+2 -- an *equi*-join after exploding k-1 indexes per
   chunk, so no range or nested-loop join;
 * window per chunk over (copies + own rows), copies dropped afterwards.
 
-Only tables with one row (or k rows) per chunk ever meet a global order, and
-their size is rows / chunk_rows.  Cumulative sums (the alert epoch) use the
-same idea: per-chunk totals, prefix-summed, added to a per-chunk running sum.
+Sums over all earlier chunks (``sum_before``) go up and down a tree: chunk
+numbers are grouped by their upper bits, sums of groups are summed the same
+way, and only a level whose numbers have at most ``FAN_BITS`` bits left is
+ordered as one.  So no window over anything that grows with the rows lacks a
+partition key, also where keys are sparse and every row is a chunk of its own.
 """
 
 from __future__ import annotations
@@ -26,15 +27,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripcast import schema as S
-from tripcast.operators.joins import join_small
+from tripcast.session import ensure_checkpoint_dir
 
 CHUNK_ROWS_DEFAULT = 1 << 20
+FAN_BITS = 20                # 2^20 sums at most are ordered in one task
+KEY_BITS = 63
 
 
 def _chunk(key: str, chunk_rows: int) -> Column:
     return F.floor(F.col(key) / F.lit(chunk_rows)).cast("long")
 
 
+def sum_before(parts: DataFrame, number: str, value: str, out: str, bits: int = KEY_BITS) -> DataFrame:
+    """``parts`` (one row per ``number``, a whole number of at most ``bits``
+    bits and a sign) with the sum of ``value`` over all smaller numbers."""
+    before = Window.orderBy(number).rowsBetween(Window.unboundedPreceding, -1)
+    if bits <= FAN_BITS:        # at most 2^FAN_BITS rows either side of 0
+        return parts.withColumn(out, F.coalesce(F.sum(value).over(before), F.lit(0)))
+    up, total, base = (f"_{name}{bits}" for name in ("up", "sum", "base"))      # a level's own names
+    group = parts.withColumn(up, F.shiftright(F.col(number), FAN_BITS))
+    totals = sum_before(group.groupBy(up).agg(F.sum(value).alias(total)), up, total, base, bits - FAN_BITS)
+    inner = F.coalesce(F.sum(value).over(Window.partitionBy(up).orderBy(number).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return group.withColumn(out, inner).join(totals.select(up, base), up).withColumn(out, F.col(out) + F.col(base)).drop(up, base)
+
+
 def with_predecessors(df: DataFrame, key: str, part_col: str, k: int) -> DataFrame:
     """Rows of ``df`` plus, in every ``part_col`` group, copies (``_copy`` =
     true) of the ``k`` rows that precede the group in the global ``key``
@@ -42,20 +58,18 @@ def with_predecessors(df: DataFrame, key: str, part_col: str, k: int) -> DataFra
     bounded (key chunks, or groups already cut to their last rows)."""
     if k <= 0:
         return df.withColumn("_copy", F.lit(False))
+    ensure_checkpoint_dir(df.sparkSession)
     w_tail = Window.partitionBy(part_col).orderBy(F.col(key).desc())
-    tails = df.withColumn("_rk", F.row_number().over(w_tail)).filter(F.col("_rk") <= k).drop("_rk")
-    # global index of tail rows (table of at most k rows per group)
-    tails = tails.withColumn("_ti", F.row_number().over(Window.orderBy(key)))
-    per_part = tails.groupBy(part_col).agg(F.count(F.lit(1)).alias("_nt"))
-    starts = per_part.select(
-        part_col,
-        F.coalesce(F.sum("_nt").over(Window.orderBy(part_col).rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_T"))
-    wanted = (starts.select(part_col, F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_j"), "_T")
-                    .select(F.col(part_col).alias("_for"), (F.col("_T") - F.col("_j")).alias("_ti"))
-                    .filter(F.col("_ti") >= 1))
-    copies = (tails.join(wanted, "_ti").drop("_ti", part_col)
-                   .withColumnRenamed("_for", part_col).withColumn("_copy", F.lit(True)))
+    # at most k rows a group, written once for both uses
+    tails = (df.withColumn("_rk", F.row_number().over(w_tail)).filter(F.col("_rk") <= k)).checkpoint(eager=True)
+    per_part = tails.groupBy(part_col).agg(F.count(F.lit(1)).alias("_nt"), F.min(key).cast("long").alias("_first"))
+    starts = sum_before(per_part, "_first", "_nt", "_T").select(part_col, "_nt", "_T")
+    # tail rows numbered through all groups
+    numbered = tails.join(starts, part_col).withColumn("_ti", F.col("_T") + F.col("_nt") - F.col("_rk") + 1).drop("_T", "_nt", "_rk")
+    wanted = (starts.select(F.col(part_col).alias("_for"), "_T", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_j"))
+                    .select("_for", (F.col("_T") - F.col("_j")).alias("_ti")).filter(F.col("_ti") >= 1))
+    copies = (numbered.join(wanted, "_ti").drop("_ti", part_col)
+                      .withColumnRenamed("_for", part_col).withColumn("_copy", F.lit(True)))
     return df.withColumn("_copy", F.lit(False)).unionByName(copies)
 
 
@@ -72,16 +86,14 @@ def sliding_window_stats(df: DataFrame, key: str, value: str, k: int = S.DRIFT_W
 
 
 def running_count(df: DataFrame, key: str, flag: Column, out_col: str,
-                  chunk_rows: int = CHUNK_ROWS_DEFAULT) -> DataFrame:
-    """Inclusive running count of ``flag`` in ``key`` order: per-chunk running
-    sum + prefix of chunk totals (one row per chunk, size-checked broadcast)."""
+                  chunk_rows: int = CHUNK_ROWS_DEFAULT, ties: tuple[Column, ...] = ()) -> DataFrame:
+    """Inclusive running count of ``flag`` in the order of ``key`` and
+    ``ties``: per-chunk running sum + the sum of all chunks before."""
     d = df.withColumn("_chunk", _chunk(key, chunk_rows)).withColumn("_f", flag.cast("long"))
     totals = d.groupBy("_chunk").agg(F.sum("_f").alias("_tot"))
-    offs = totals.select("_chunk", F.coalesce(
-        F.sum("_tot").over(Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("_off"))
-    w = Window.partitionBy("_chunk").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    d = join_small(d.withColumn("_run", F.sum("_f").over(w)), offs, "_chunk", "inner")
+    offs = sum_before(totals, "_chunk", "_tot", "_off", KEY_BITS - (chunk_rows.bit_length() - 1)).select("_chunk", "_off")
+    w = Window.partitionBy("_chunk").orderBy(key, *ties).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("_run", F.sum("_f").over(w)).join(offs, "_chunk")
     return d.withColumn(out_col, (F.col("_off") + F.col("_run")).cast("long")).drop("_chunk", "_f", "_run", "_off")
 
 
@@ -114,20 +126,25 @@ def drift_alerts(errors: DataFrame, key: str, is_reload: Column, threshold: floa
     RMSE exceeds ``threshold``.  The epoch is the running count of reloads
     (a reload clears the latch before its own row is checked); the window is
     not cleared by a reload.  Output: epoch, key, rmse.  A non-unique key is
-    replaced by a dense sequence in key order first (bounded chunks)."""
+    replaced by a dense sequence in key order first (bounded chunks).
+
+    The window is the only pass over all errors; epochs are counted over the
+    reloads and the breaches alone."""
     order = key
+    errors = errors.withColumn("_reload", F.coalesce(is_reload, F.lit(False)))
     if not key_is_unique:
         from tripcast.operators.sequence import dense_sequence
 
-        errors = dense_sequence(errors.withColumn("_reload", is_reload), [key], "_wseq")
-        is_reload, order = F.col("_reload"), "_wseq"
-    with_epoch = running_count(errors, order, is_reload, "epoch", chunk_rows)
-    scored = sliding_rmse(with_epoch, order, sq_err, k, chunk_rows)
-    breaches = scored.filter(F.col("window_full") & (F.col("rmse") > threshold))
-    parts = [F.col(order).alias("_o")] + ([F.col(key)] if order != key else []) + [F.col("rmse")]
-    first = breaches.groupBy("epoch").agg(F.min(F.struct(*parts)).alias("b"))
-    key_field = F.col("b")[key] if order != key else F.col("b")["_o"]
-    return first.select("epoch", key_field.alias(key), F.col("b")["rmse"].alias("rmse"))
+        errors, order = dense_sequence(errors, [key], "_wseq"), "_wseq"
+    scored = sliding_rmse(errors, order, sq_err, k, chunk_rows)
+    no = F.lit(None).cast("double")
+    breaches = scored.filter(F.col("window_full") & (F.col("rmse") > threshold)).select(
+        F.col(order).alias("_o"), F.col(key).alias("_key"), "rmse", F.lit(False).alias("_reload"))
+    reloads = errors.filter("_reload").select(F.col(order).alias("_o"), F.col(key).alias("_key"), no.alias("rmse"), "_reload")
+    # of a row that is both, the reload comes first
+    with_epoch = running_count(reloads.unionByName(breaches), "_o", F.col("_reload"), "epoch", chunk_rows, (F.col("_reload").desc(),))
+    first = with_epoch.filter("rmse is not null").groupBy("epoch").agg(F.min(F.struct("_o", "_key", "rmse")).alias("b"))
+    return first.select("epoch", F.col("b._key").alias(key), F.col("b.rmse").alias("rmse"))
 
 
 def last_k_per_group(df: DataFrame, key: str, group_col: str, k: int,

@@ -18,20 +18,19 @@ from tripcast.operators import trend as TR
 from tripcast.operators import windows as W
 from tripcast.operators.hybrid import append_runs
 from tripcast.operators.joins import holiday_join, join_small
-from tripcast.operators.sequence import batch_numbers, dense_sequence
+from tripcast.operators.sequence import dense_sequence
 from tripcast.plans import common as Q
 from tripcast.session import scratch_path
 from tripcast.sources.requests import predictions_body
 from tripcast.sources.trips import scan_trips
 
-BATCH = ["file_year", "batch_no"]
+BATCH = Q.BATCH
 CAP_BATCHES = 3               # batches that the L5 query asks for
 
 
 def raw_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trips with loader batch ids (files = pickup years)."""
-    raw = Q.raw(spark, sf_dir).withColumn("file_year", F.year(S.PICKUP).cast("int"))
-    return batch_numbers(raw, "file_year", Q.RAW_ORDER, Q.FIXTURE_BATCH_ROWS).drop("row_in_file")
+    return Q.loader_batches(spark, sf_dir).drop("row_in_file")
 
 
 def hourly_stub(train: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ from tripcast import schema as S
 from tripcast.functions import calendar as cal
 from tripcast.operators import clean as C
 from tripcast.operators.aggregates import daily_stats, round_doubles
-from tripcast.operators.sequence import batch_numbers
 from tripcast.plans import common as Q
 from tripcast.sources import requests as R
 from tripcast.sources import trips as T
@@ -25,8 +24,7 @@ def q_scan_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_scan_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loader batches (files = pickup years, FIXTURE_BATCH_ROWS rows each),
     one summary row per batch."""
-    raw = Q.raw(spark, sf_dir).withColumn("file_year", F.year(S.PICKUP).cast("int"))
-    b = batch_numbers(raw, "file_year", Q.RAW_ORDER, Q.FIXTURE_BATCH_ROWS)
+    b = Q.loader_batches(spark, sf_dir)
     return (b.groupBy("file_year", "batch_no")
              .agg(F.count(F.lit(1)).alias("n_rows"),
                   F.min(S.PICKUP).alias("first_pickup"), F.max(S.PICKUP).alias("last_pickup"),

@@ -12,13 +12,14 @@ from tripcast.operators import aggregates as A
 from tripcast.operators import clean as C
 from tripcast.operators.joins import join_small
 from tripcast.plans import common as Q
-from tripcast.plans.queries_windows import ALERT_THRESHOLD, CHUNK_ROWS, EVENT_TARGET, RELOAD_TYPE
+from tripcast.plans.queries_windows import ALERT_THRESHOLD, EVENT_TARGET, RELOAD_TYPE
 from tripcast.session import scratch_path
 from tripcast.sources import requests as R
 from tripcast.sources.trips import TRIPS_RAW_SCHEMA, read_table, trips_raw_path
 from tripcast.streaming import streams as ST
 
 TRIP_FILES_PER_TRIGGER = 4
+EVENT_PARTS, MODELS, ALL_FILES = 3, 7, 1_000_000     # of the stream with several models
 
 
 def _trip_stream(spark: SparkSession, sf_dir: str):
@@ -74,10 +75,29 @@ def q_stream_drift(spark, sf_dir):
     stream = ST.file_stream(spark, sf_dir, schema, glob="events.parquet")
     errors = stream.select("event_id", (F.col("event_type") == RELOAD_TYPE).alias("is_reload"),
                            F.pow(F.col("value") - F.lit(EVENT_TARGET), 2).alias("sq_err"))
-    alerts = ST.drift_stream(errors, "event_id", "is_reload", ALERT_THRESHOLD, chunk_rows=CHUNK_ROWS)
+    alerts = ST.drift_stream(errors, "event_id", "is_reload", ALERT_THRESHOLD)
     return A.round_doubles(alerts.select("epoch", "event_id", "rmse"))
 
 
+def q_stream_drift_models(spark, sf_dir):
+    """T4 for many models at once: the events arrive in ``EVENT_PARTS`` parts;
+    after each the stream takes what is new and stops, and goes on with its
+    state after the next.  A user's number says which model scored."""
+    events = read_table(spark, sf_dir, "events")
+    folder, alerts, checkpoint = (scratch_path(spark, f"models-{x}") for x in ("files", "alerts", "state"))
+    ends = events.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
+    part = F.least(F.floor((F.col("event_id") - ends["lo"]) * EVENT_PARTS / (ends["hi"] - ends["lo"] + 1)), F.lit(EVENT_PARTS - 1))
+    for n in range(EVENT_PARTS):
+        events.filter(part == n).write.mode("append").parquet(folder)
+        stream = ST.file_stream(spark, folder, events.schema, glob="*.parquet", files_per_trigger=ALL_FILES)
+        errors = stream.select("event_id", (F.col("user_id") % MODELS).alias("model"),
+                               (F.col("event_type") == RELOAD_TYPE).alias("is_reload"),
+                               F.pow(F.col("value") - F.lit(EVENT_TARGET), 2).alias("sq_err"))
+        found = ST.drift_stream(errors, "event_id", "is_reload", ALERT_THRESHOLD, model_col="model", alerts_path=alerts,
+                                checkpoint=checkpoint)
+    return A.round_doubles(found)
+
+
 def q_stream_daily_stats(spark, sf_dir):
     """T5: daily duration statistics kept up to date as trip files arrive."""
     trips = _trip_stream(spark, sf_dir)
@@ -90,5 +110,6 @@ QUERIES = {
     "stream_preprocess": q_stream_preprocess,
     "stream_score": q_stream_score,
     "stream_drift": q_stream_drift,
+    "stream_drift_models": q_stream_drift_models,
     "stream_daily_stats": q_stream_daily_stats,
 }

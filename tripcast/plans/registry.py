@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_GROUPS = ["clean", "analytics", "windows", "models", "streams"]
+_GROUPS = ["clean", "analytics", "windows", "models", "trees", "serving", "streams"]
 
 
 def _load(kind: str) -> dict:

@@ -63,6 +63,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tripcast-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Removes a table that ``scratch_path`` named, once nothing reads it any
+    more; anything outside the shared checkpoint folder is left alone."""
+    if not path.startswith(f"{ensure_checkpoint_dir(spark).rstrip('/')}/tripcast-"):
+        raise ValueError(f"{path} is not a scratch table")
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
                  executor_memory_gb: float, target_partition_mb: int = 256) -> dict[str, str]:
     """Suggested settings for a cluster run over ``input_bytes`` of trip

@@ -53,3 +53,13 @@ def predictions_body(scored: DataFrame, order_col: str, value_col: str = "durati
     arr = F.sort_array(F.collect_list(F.struct(F.col(order_col), F.col(value_col))))
     return scored.groupBy(*request_cols).agg(
         F.to_json(F.struct(F.transform(arr, lambda s: s[value_col]).alias("predictions"))).alias("body"))
+
+
+def prediction_pages(scored: DataFrame, request_cols: tuple[str, ...], position_col: str, page_rows: int,
+                     value_col: str = "duration_minutes") -> DataFrame:
+    """S8 for requests of any size: one ``{"predictions": [...]}`` per page of
+    ``page_rows`` rows of a request, by the rows' position in it (from 0), so
+    no task holds more of a request than a page.  The pages of a request in
+    order are its answer in order."""
+    paged = scored.withColumn("page", F.floor(F.col(position_col) / page_rows).cast("long"))
+    return predictions_body(paged, position_col, value_col, (*request_cols, "page"))

@@ -10,8 +10,9 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,16 +69,26 @@ def scan_trips(spark: SparkSession, data_dir: str, schema=None, glob: str = "*.p
 
 
 def files_by_schema(spark: SparkSession, data_dir: str, glob: str) -> list[list[str]]:
-    """The files of a folder, grouped by schema (one footer read per file,
-    several at a time)."""
-    paths = [r["path"] for r in spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .load(data_dir).select("path").orderBy("path").collect()]
-    with ThreadPoolExecutor(8) as pool:
-        schemas = list(pool.map(lambda p: spark.read.parquet(p).schema.simpleString(), paths))
-    groups: dict[str, list[str]] = {}
-    for path, kind in zip(paths, schemas, strict=True):
-        groups.setdefault(kind, []).append(path)
-    return list(groups.values())
+    """The files of a folder, grouped by schema.  Tasks read the footers; the
+    driver gets the names, which it needs to scan them."""
+    paths = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(data_dir).select("path")
+
+    def footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.fs
+        import pyarrow.parquet
+
+        for pdf in batches:
+            kinds = []
+            for path in pdf["path"]:
+                files, name = pyarrow.fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if path.startswith("file:/")
+                                                             and not path.startswith("file:///") else path)
+                with files.open_input_file(name) as f:
+                    kinds.append(str(pyarrow.parquet.read_schema(f).remove_metadata()))
+            yield pdf.assign(kind=kinds)
+
+    found = paths.mapInPandas(footers, "path string, kind string").groupBy("kind").agg(
+        F.sort_array(F.collect_list("path")).alias("paths"), F.min("path").alias("first")).orderBy("first").collect()
+    return [list(r["paths"]) for r in found]
 
 
 def union_widened(parts: list[DataFrame]) -> DataFrame:
@@ -122,6 +133,47 @@ def with_batch_ids(df: DataFrame, batch_size: int = S.BATCH_SIZE_DEFAULT) -> Dat
     return out.withColumn("batch_in_file", F.floor(F.col("row_index") / F.lit(batch_size)).cast("long"))
 
 
+def write_in_order(df: DataFrame, group_col: str, order_cols: list[str], path: str) -> None:
+    """Trip files whose rows, file after file by name, are in the order of
+    ``group_col`` (a year, a month) and ``order_cols``: one range exchange
+    when files are made, so that no reader has to sort.  Copies of one row
+    spread by their place in the input."""
+    parts = max(df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism)
+    keys = [group_col, *order_cols, "_tb"]
+    df.withColumn("_tb", F.monotonically_increasing_id()).repartitionByRange(parts, *keys).sortWithinPartitions(
+        *keys).drop("_tb").write.parquet(path)
+
+
+def group_offsets(files: DataFrame, group_col: str) -> DataFrame:
+    """For files in order: (file_path, group, _shift), where a row's position
+    in its group is its index in the file plus ``_shift``.  One row per file
+    and group in it, from one aggregate of the group column alone."""
+    rows = files.select(group_col, F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.row_index").alias("row_index"))
+    parts = rows.groupBy(group_col, "file_path").agg(F.count(F.lit(1)).alias("_n"), F.min("row_index").alias("_first"))
+    number = F.regexp_extract("file_path", r"part-(\d+)", 1).try_cast("long")     # names sort as text beyond 99,999 parts
+    before = Window.partitionBy(group_col).orderBy(number, "file_path").rowsBetween(Window.unboundedPreceding, -1)
+    return parts.select(group_col, "file_path", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+
+
+def with_group_batches(files: DataFrame, offsets: DataFrame, group_col: str, batch_size: int,
+                       batch_col: str = "batch_no", n_offsets: int | None = None) -> DataFrame:
+    """S2 on files in order: ``row_in_file`` and the batch number of every row,
+    ``batch_size`` consecutive rows of one group.  Narrow: the offsets are
+    broadcast if there are no more than ``BROADCAST_MAX_ROWS`` (``n_offsets``,
+    if known, saves counting them)."""
+    from tripcast.operators.joins import BROADCAST_MAX_ROWS, join_small
+
+    meta = files.select("*", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.row_index").alias("row_index"))
+    on = [group_col, "file_path"]
+    if n_offsets is None:
+        placed = join_small(meta, offsets, on, "inner")
+    else:
+        placed = meta.join(F.broadcast(offsets) if n_offsets <= BROADCAST_MAX_ROWS else offsets, on)
+    place = F.col("row_index") + F.col("_shift")
+    return placed.withColumn("row_in_file", place).withColumn(
+        batch_col, F.floor(F.col("row_in_file") / F.lit(batch_size)).cast("long")).drop("file_path", "row_index", "_shift")
+
+
 def file_count(df: DataFrame) -> int:
     """S3: number of files behind a scan (from the file index, no data read)."""
     return len(df.inputFiles())
@@ -226,6 +278,25 @@ TRIPS_RAW_SCHEMA = "VendorID long, tpep_pickup_datetime timestamp_ntz, tpep_drop
                     "fare_amount double"
 
 
+# ---------------------------------------------------------------------------
+# Trips laid out by month
+# ---------------------------------------------------------------------------
+
+def write_months(trips: DataFrame, path: str, ts_col: str = S.PICKUP) -> None:
+    """Trips into folders ``year=Y/month=M``.  A month that is there already
+    is replaced as a whole, the others stay, so loading a month again (a
+    corrected delivery, a retry) changes nothing else."""
+    dated = trips.withColumns({"year": F.year(ts_col), "month": F.month(ts_col)})
+    dated.write.partitionBy("year", "month").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+
+
+def read_months(spark: SparkSession, path: str, schema: str, years: list[int], months: list[int] | None = None) -> DataFrame:
+    """S5 on that layout: the chosen months by their folders; with the schema
+    given, no footer is read to infer one."""
+    found = spark.read.schema(f"{schema}, year int, month int").parquet(path)
+    return found.filter(F.col("year").isin(years) & F.col("month").isin(months or list(range(1, 13)))).drop("year", "month")
+
+
 # ---------------------------------------------------------------------------
 # Month selection and the validation day
 # ---------------------------------------------------------------------------

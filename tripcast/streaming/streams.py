@@ -7,22 +7,23 @@ checkpoint in the session's shared checkpoint folder.  ``run_available_now``
 drains what is there (``trigger(availableNow=True)``) and returns the sink
 as a batch DataFrame.
 
-T4 (drift) carries its state between micro-batches itself: the last k-1
-squared errors and the alert latch are at most a few rows, kept in a small
-parquet state table per batch id; the per-batch work is the distributed
-chunked window of ``operators.windows`` -- no single-key state group holds
-the stream.
+T4 (drift) keeps the last k-1 squared errors and the alert latch of each model
+in Spark's keyed state.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tripcast import schema as S
-from tripcast.operators import windows as W
 from tripcast.session import scratch_path
 
 
@@ -62,15 +63,16 @@ def run_foreach_batch(df: DataFrame, name: str, fn, mode: str = "append", checkp
 
 def split_by_flag(df: DataFrame, flag: str, name: str, accepted: str | None = None, rejected: str | None = None,
                   checkpoint: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Write the rows of a stream to two sinks, by ``flag``; nothing is
-    dropped.  Each micro-batch is rewritten by its id, so a retried one counts
+    """Write the rows of a stream to two sinks, by ``flag`` (a NULL flag counts
+    as false); nothing is dropped.  Each micro-batch is rewritten by its id, so a retried one counts
     once.  Returns both sinks as batch DataFrames."""
     spark = df.sparkSession
     accepted, rejected = accepted or scratch_path(spark, f"{name}-out"), rejected or scratch_path(spark, f"{name}-rejects")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         held = batch.persist()
-        for path, rows in ((accepted, held.filter(F.col(flag))), (rejected, held.filter(~F.col(flag)))):
+        yes = F.col(flag).eqNullSafe(F.lit(True))
+        for path, rows in ((accepted, held.filter(yes)), (rejected, held.filter(~yes))):
             rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         held.unpersist()
 
@@ -92,8 +94,9 @@ def read_if_written(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 def daily_stats_stream(featured: DataFrame, name: str = "daily", out: str | None = None,
                        checkpoint: str | None = None) -> DataFrame:
     """T5: per-day sum and count kept in the streaming state store (one entry
-    per day) and merged as files arrive; each micro-batch rewrites the
-    complete (small, one row per day) result table."""
+    per day) and merged as files arrive; each micro-batch writes the complete
+    (small, one row per day) result under its id, so the result before it
+    stands until the new one is whole.  Returns the last."""
     spark = featured.sparkSession
     out = out or scratch_path(spark, f"{name}-table")
     agg = (featured.groupBy("date_int")
@@ -102,74 +105,66 @@ def daily_stats_stream(featured: DataFrame, name: str = "daily", out: str | None
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("avg_duration", F.col("sum_duration") / F.col("n_trips")) \
-             .write.mode("overwrite").parquet(out)
+             .write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     run_foreach_batch(agg, name, write, "complete", checkpoint)
     schema = agg.schema.add("avg_duration", T.DoubleType())
-    return read_if_written(spark, out, schema)
+    versions = read_if_written(spark, out, T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())]))
+    newest = versions.agg(F.max("batch_id")).first()[0]
+    return versions.filter(F.col("batch_id") == F.lit(newest)).drop("batch_id")
 
 
 # ---------------------------------------------------------------- T4 drift
-STATE_SCHEMA = T.StructType([
-    T.StructField("kind", T.StringType()),      # 'tail' rows or the one 'latch' row
-    T.StructField("key", T.LongType()),
-    T.StructField("sq_err", T.DoubleType()),
-    T.StructField("epoch", T.LongType()),
-    T.StructField("alerted", T.BooleanType()),
-])
-
-
-ALERT_SCHEMA = "epoch long, {key} long, rmse double, batch_id int"
+DRIFT_STATE = "tail array<double>, epoch long, alerted boolean"
 
 
 def drift_stream(errors: DataFrame, key: str, reload_col: str, threshold: float, k: int = S.DRIFT_WINDOW,
-                 chunk_rows: int = W.CHUNK_ROWS_DEFAULT, name: str = "drift", alerts_path: str | None = None,
-                 state_path: str | None = None, checkpoint: str | None = None) -> DataFrame:
-    """T4: latched drift alerts over a stream of (key, sq_err, reload flag).
-
-    Per micro-batch: prepend the carried tail, number reload epochs from the
-    carried epoch (reloads count whether or not their row has an error),
-    window RMSE per row (chunked, parallel), keep the first breach of each
-    epoch unless that epoch already alerted, write alerts and the new state:
-    the last k-1 errors of carried and new ones together, and the latch.
-    Batches are rewritten by id, so a retried batch is idempotent; with the
-    three folders of an earlier call the stream goes on where that one
-    stopped.
-    """
-    spark = errors.sparkSession
-    alerts_path = alerts_path or scratch_path(spark, f"{name}-alerts")
-    state_path = state_path or scratch_path(spark, f"{name}-state")
-
-    def process(batch: DataFrame, batch_id: int) -> None:
-        prev = read_if_written(spark, f"{state_path}/batch_id={batch_id - 1}", STATE_SCHEMA).collect()
-        latch = [r for r in prev if r["kind"] == "latch"]
-        epoch0 = latch[0]["epoch"] if latch else 0
-        alerted0 = latch[0]["alerted"] if latch else False
-        tail = [(r["key"], r["sq_err"], False, True) for r in prev if r["kind"] == "tail"]
-        carried = spark.createDataFrame(tail, "key long, sq_err double, reload boolean, carried boolean")
-        cur = batch.select(F.col(key).cast("long").alias("key"), F.col("sq_err").cast("double"),
-                           F.coalesce(F.col(reload_col).cast("boolean"), F.lit(False)).alias("reload"),
-                           F.lit(False).alias("carried")).unionByName(carried)
-        epochs = W.running_count(cur, "key", F.col("reload"), "ep", chunk_rows)
-        epochs = epochs.withColumn("epoch", F.col("ep") + F.lit(epoch0)).drop("ep").persist()
-        scored = W.sliding_rmse(epochs, "key", "sq_err", k, chunk_rows).persist()
-        breaches = scored.filter(~F.col("carried") & F.col("window_full") & (F.col("rmse") > threshold))
-        if alerted0:
-            breaches = breaches.filter(F.col("epoch") != epoch0)
-        first = (breaches.groupBy("epoch").agg(F.min(F.struct("key", "rmse")).alias("b"))
-                         .select("epoch", F.col("b.key").alias(key), F.col("b.rmse").alias("rmse")))
-        first.write.mode("overwrite").parquet(f"{alerts_path}/batch_id={batch_id}")
-        last = scored.orderBy(F.col("key").desc()).limit(k - 1)     # a top-k of k-1 rows
-        state = [("tail", r["key"], r["sq_err"], None, None) for r in last.collect()]
-        epoch = epochs.agg(F.max("epoch")).first()[0]
-        epoch = epoch0 if epoch is None else int(epoch)
-        alerted = (alerted0 and epoch == epoch0) or not first.filter(F.col("epoch") == epoch).isEmpty()
-        state.append(("latch", None, None, epoch, bool(alerted)))
-        spark.createDataFrame(state, STATE_SCHEMA).coalesce(1).write.mode("overwrite") \
-             .parquet(f"{state_path}/batch_id={batch_id}")
-        scored.unpersist()
-        epochs.unpersist()
-
-    run_foreach_batch(errors, name, process, checkpoint=checkpoint)
-    # batch_id (the micro-batch that raised the alert) comes from the folder names
-    return read_if_written(spark, alerts_path, T.StructType.fromDDL(ALERT_SCHEMA.format(key=key)))
+                 model_col: str | None = None, name: str = "drift", alerts_path: str | None = None,
+                 checkpoint: str | None = None) -> DataFrame:
+    """T4: latched drift alerts over a stream of (model, key, sq_err, reload
+    flag), one row per alert: model, epoch, key, rmse.
+
+    Spark's keyed state holds what goes from one micro-batch to the next, per
+    model: the last k-1 errors, the number of reloads so far, and the latch.
+    Models run in parallel; a model's rows of one micro-batch (the files of
+    one trigger) meet in one task, in ``key`` order.  Rows without an error do
+    not enter the window, but their reload counts.  State and sink are Spark's
+    own, so a retried micro-batch counts once, and with the two folders of an
+    earlier call the stream goes on where that one stopped."""
+    model = F.lit("") if model_col is None else F.col(model_col).cast("string")
+    rows = errors.select(F.coalesce(model, F.lit("")).alias("model"), F.col(key).cast("long").alias("at"),
+                         F.col("sq_err").cast("double"), F.coalesce(F.col(reload_col).cast("boolean"), F.lit(False)).alias("reload"))
+
+    def fold(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(frames)).sort_values("at", kind="stable")
+        before = state.get if state.exists else ([], 0, False)
+        alerts, after = drift_step(batch["at"].to_numpy(), batch["sq_err"].to_numpy(np.float64),
+                                   batch["reload"].to_numpy(bool), before, threshold, k)
+        state.update(after)
+        if alerts:
+            yield pd.DataFrame([(group[0], *a) for a in alerts], columns=["model", "epoch", key, "rmse"])
+
+    alerts = rows.groupBy("model").applyInPandasWithState(
+        fold, f"model string, epoch long, {key} long, rmse double", DRIFT_STATE, "append", GroupStateTimeout.NoTimeout)
+    return run_available_now(alerts, name, "append", alerts_path, checkpoint)
+
+
+def drift_step(at: np.ndarray, error: np.ndarray, reload: np.ndarray, before: tuple, threshold: float, k: int,
+               ) -> tuple[list[tuple], tuple]:
+    """Alerts (epoch, key, rmse) of a micro-batch in order, and the state
+    after it; a state is (last k-1 errors, reloads so far, alarm raised)."""
+    tail, epoch0, alerted0 = list(before[0]), int(before[1]), bool(before[2])
+    epoch = epoch0 + np.cumsum(reload)
+    valid = np.flatnonzero(~np.isnan(error))
+    seen = np.concatenate([np.array(tail, np.float64), error[valid]])
+    alerts: dict[int, tuple] = {}
+    if len(seen) >= k:
+        rmse = np.sqrt(np.lib.stride_tricks.sliding_window_view(seen, k).mean(axis=1))
+        full = valid[k - 1 - len(tail):]        # rows whose window is full
+        for row, value in zip(full[rmse > threshold].tolist(), rmse[rmse > threshold].tolist(), strict=True):
+            here = int(epoch[row])
+            if here not in alerts and not (here == epoch0 and alerted0):
+                alerts[here] = (here, int(at[row]), value)
+    last = int(epoch[-1]) if len(epoch) else epoch0
+    return list(alerts.values()), (seen[len(seen) - min(len(seen), k - 1):].tolist(), last,
+                                   last in alerts or (alerted0 and last == epoch0))
