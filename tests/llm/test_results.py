@@ -4,13 +4,17 @@ labels, on the smallest tables and on planted cases."""
 from __future__ import annotations
 
 import hashlib
+import io
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tests.llm.helpers import SF, docs, matches_oracle, plain_shingles, rows, write
+from tests.llm.helpers import SF, docs, matches_oracle, plain_shingles, plain_words, rows, write
 from tripcast.llm import decontaminate, packing, pii, topk, warc
 from tripcast.llm.registry import all_oracles, all_queries
 
@@ -68,7 +72,99 @@ def test_passages_of_fifty_words_are_found(spark):
     found = {r["doc_id"]: r for r in Q["op4_substrings"](spark, folder).collect()}
     assert {0, 1} <= set(found) and set(found) <= {0, 1, 2, 3}
     assert 4 not in found and found[0]["n_removed"] == 0 and found[1]["n_removed"] > 0
-    assert all(80 <= int(s.split("-")[0]) and int(s.split("-")[1]) <= 130 for s in found[0]["repeated_words"].split(","))
+    assert found[0]["repeated_words"] == "80-130" and found[1]["removed_words"] == "80-130"
+    assert found[0]["removed_words"] == "" and found[0]["n_repeated"] == found[1]["n_removed"] == 50
+
+
+def test_passages_are_extended_to_their_ends(spark):
+    """Passages of 50 to 200 words in several places, also twice in one
+    document, each end shared by another pair of documents."""
+    rng = random.Random(4)
+
+    def prose(n: int) -> list[str]:
+        return ["".join(rng.choices("abcdefghij", k=6)) for _ in range(n)]
+
+    texts, want = [], []
+    for n in (50, 53, 60, 77, 100, 200) * 4:
+        passage, longer = prose(n), prose(25)
+        for parts in ([prose(rng.randrange(90)), passage, prose(rng.randrange(90))],
+                      [prose(rng.randrange(40)), passage, longer, prose(3)],
+                      [prose(2), passage, longer, prose(9), passage, prose(4)]):
+            at, hit = 0, []
+            for part in parts:
+                if part is passage or part is longer:
+                    if hit and hit[-1][1] == at:
+                        hit[-1] = (hit[-1][0], at + len(part))
+                    else:
+                        hit.append((at, at + len(part)))
+                at += len(part)
+            texts.append(" ".join(w + rng.choice(["", "\n"]) for part in parts for w in part))
+            want.append(",".join(f"{a}-{b}" for a, b in hit))
+    found = {r["doc_id"]: r["repeated_words"] for r in Q["op4_substrings"](spark, write(spark, documents=docs(*texts))).collect()}
+    assert [found[i] for i in range(len(texts))] == want
+
+
+def words_in(spans: str) -> set[int]:
+    return {i for s in spans.split(",") if s for i in range(*map(int, s.split("-")))}
+
+
+def grams_of(words: list, n: int) -> set[tuple]:
+    return {tuple(words[i:i + n]) for i in range(len(words) - n + 1)}
+
+
+def covered(words: list, found: set[tuple], n: int) -> set[int]:
+    return {j for i in range(len(words) - n + 1) if tuple(words[i:i + n]) in found for j in range(i, i + n)}
+
+
+def test_repeats_are_those_of_plain_search(spark):
+    """Every word of a verbatim stretch of 50 words and of a similar paragraph
+    is reported, and nothing that is in neither a stretch of 20 words nor a
+    similar paragraph."""
+    words = {k: plain_words(t) for k, t in texts_of(spark).items()}
+    in_docs: Counter = Counter(g for w in words.values() for n in (20, 50) for g in grams_of(w, n))
+    common = {g for g, n in in_docs.items() if n > 1}
+    lines = []      # (document, first word, shingles) of paragraphs
+    for k, t in texts_of(spark).items():
+        at = 0
+        for line in (t or "").split("\n"):
+            w = plain_words(line)
+            if len(w) >= 20:
+                lines.append((k, at, at + len(w), grams_of(w, 5)))
+            at += len(w)
+    similar = defaultdict(set)
+    for i, (a, begin, end, x) in enumerate(lines):
+        for b, begin2, end2, y in lines[:i]:
+            if a != b and 100 * len(x & y) >= 80 * len(x | y):
+                similar[a] |= set(range(begin, end))
+                similar[b] |= set(range(begin2, end2))
+    found = {r["doc_id"]: words_in(r["repeated_words"]) for r in Q["op4_substrings"](spark, SF).collect()}
+    assert sum(map(len, similar.values())) > 0
+    for k, w in words.items():
+        must = covered(w, common, 50) | similar[k]
+        assert must <= found.get(k, set()) <= covered(w, common, 20) | must
+
+
+def test_similar_paragraphs_of_any_length_are_found(spark):
+    """Paragraphs of 40 to 100 words with as many changed words as 0.8 allows."""
+    rng = random.Random(8)
+    texts, n = [], 0
+    for k in range(300):
+        words = [f"k{k}w{i}" for i in range(40 + k % 61)]
+        changed = list(words)
+        spots = list(range(len(words)))
+        rng.shuffle(spots)
+        for at in spots:
+            trial = [*changed[:at], f"k{k}new{at}", *changed[at + 1:]]
+            x, y = grams_of(words, 5), grams_of(trial, 5)
+            if 100 * len(x & y) < 80 * len(x | y):
+                break
+            changed = trial
+        own = " ".join(f"k{k}o{i}" for i in range(30))
+        texts += [own + "\n" + " ".join(words), " ".join(changed) + "\n" + own.replace("o", "q")]
+        n += 1
+    found = {r["doc_id"]: r for r in Q["op4_substrings"](spark, write(spark, documents=docs(*texts))).collect()}
+    whole = sum(2 * k in found and found[2 * k]["n_repeated"] >= 40 and 2 * k + 1 in found for k in range(n))
+    assert whole >= 0.98 * n
 
 
 def test_near_copies_among_other_variants_are_found(spark, monkeypatch):
@@ -366,3 +462,160 @@ def test_inflating_takes_any_number_of_members():
         assert [r.raw for r in found] == raw
     with pytest.raises(ValueError, match="within a record"):
         list(warc.parse(iter([raw[0][:-3]])))
+
+
+def plain_masked(text: str, spans: list) -> str:
+    out, at, last = [], 0, -1
+    for start, end, kind in spans:
+        if start < last:
+            last = max(last, end)
+        else:
+            out.append(text[at:start] if not out else text[max(at, last):start])
+            out.append(f"<{kind}>")
+            last = end
+        at = last
+    return "".join(out) + text[max(last, 0):]
+
+
+def test_masking_is_that_of_a_plain_walk(spark):
+    """Crossing, touching and nested spans, in one text of many spans too."""
+    rng = random.Random(5)
+    cases = []
+    for n in (0, 1, 2, 3, 5, 8, 400):
+        for _ in range(6):
+            text = "".join(rng.choice("abé😀 ") for _ in range(12 + 3 * n))
+            spans = []
+            for _ in range(n):
+                start = rng.randrange(len(text) - 4)
+                spans.append((start, start + rng.randrange(1, 5), rng.choice(["ip", "card"])))
+            cases.append((text, sorted(set(spans))))
+    df = spark.createDataFrame([(i, t, s) for i, (t, s) in enumerate(cases)],
+                               "id int, text string, spans array<struct<start:bigint,end:bigint,kind:string>>")
+    found = {r["id"]: r["m"] for r in df.select("id", pii.masked(F.col("text"), F.col("spans")).alias("m")).collect()}
+    assert found == {i: plain_masked(t, s) for i, (t, s) in enumerate(cases)}
+
+
+def test_a_cut_archive_is_an_error():
+    whole = io.BytesIO()
+    out = warc.Deflater(type("Sink", (), {"write": whole.write, "close": lambda self: None})())
+    for i in range(400):
+        out.write(warc.page_record(i, f"http://a/{i}", random.Random(i).randbytes(300), None, False))
+    out.close()
+    data = whole.getvalue()
+    assert len(list(warc.parse(warc.inflated(io.BytesIO(data))))) == 400
+    assert list(warc.inflated(io.BytesIO(b""))) == []
+    for cut in (len(data) - 1, len(data) - 8, len(data) // 2):
+        with pytest.raises(ValueError, match="ends within"):
+            list(warc.parse(warc.inflated(io.BytesIO(data[:cut]))))
+    # cut where a record ends: flushed there, but without its end
+    part = zlib.compressobj(1, zlib.DEFLATED, 31)
+    record = warc.page_record(1, "http://a", b"x", None, False)
+    short = part.compress(record) + part.flush(zlib.Z_SYNC_FLUSH)
+    with pytest.raises(ValueError, match="gzip member"):
+        list(warc.parse(warc.inflated(io.BytesIO(short))))
+
+
+def test_ordered_chains_take_few_rounds(spark, monkeypatch):
+    from tripcast.llm import components as C
+
+    written, made = C.written, []
+    monkeypatch.setattr(C, "written", lambda df, name: made.append(name) or written(df, name))
+    links = spark.createDataFrame([(i, i + 1) for i in range(1, 1000)] + [(2000, 2001), (5, 5)], "a long, b long")
+    found = {r["node"]: r["root"] for r in C.components(links).collect()}
+    assert found == {**dict.fromkeys(range(1, 1001), 1), 2000: 2000, 2001: 2000}
+    assert made.count("hooks") <= 14 and made.count("edges") <= 5
+
+
+def test_many_blocks_find_what_one_does(spark):
+    d, b = (spark.read.parquet(f"{SF}/{t}.parquet").select(*c) for t, c in (
+        ("documents", ("doc_id", "text")), ("benchmark", ("item_id", "text"))))
+    columns = ("doc_id", "n_words", "hits", "items")
+    one, many = (rows(decontaminate.find_contamination(d, b, block_pairs=n), *columns) for n in (200_000, 500))
+    assert one == many and any(r[2] for r in one)
+    v = topk.integer_vectors(spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding"))
+    asked = v.filter("id % 50 = 0")
+    columns = ("query_id", "rank", "vec_id", "score")
+    whole = rows(topk.top_k(v, asked), *columns)
+    before = topk.QUERY_BLOCK
+    try:
+        topk.QUERY_BLOCK = 3
+        assert rows(topk.top_k(v, asked), *columns) == whole
+    finally:
+        topk.QUERY_BLOCK = before
+
+
+def test_a_task_holds_one_bucket(spark):
+    from tripcast.llm import sharding
+
+    d = spark.createDataFrame([(i, "x" * 100) for i in range(2000)], "doc_id long, text string")
+    path = f"{write(spark, d=([(0,)], 'a int'))}/in.parquet"
+    d.write.parquet(path)
+    out = sharding.shuffle_into_shards(spark.read.parquet(path), bucket_bytes=5000)
+    files = out.select("bucket", F.input_file_name().alias("f")).distinct()
+    counts = [r["count"] for r in files.groupBy("f").count().collect()]
+    assert len(counts) > 30 and max(counts) == 1
+    assert sorted(r["slot"] for r in out.filter("shard = 0").collect()) == list(range(250))
+
+
+def test_grams_and_cosines_are_those_of_plain_dictionaries(spark):
+    """op5's trigram bundles by plain dictionaries of vectors, its prototypes
+    and its choice, ties going to the first language by name."""
+    from tripcast.llm import language as L
+
+    grams = L.Grams(64, 5)
+    texts = ["Hello, hello wörld", "ab", "ß", "a b", "1 2"]
+
+    def letter(c: str) -> np.ndarray:
+        return grams._draw(ord(c) if c != " " else -1).astype(int)
+
+    def bundle(text: str) -> tuple[np.ndarray, int]:
+        total, n = np.zeros(64, int), 0
+        for word in re.findall(r"[^\W\d_]+", text.lower()):
+            padded = f" {word} "
+            for i in range(len(padded) - 2):
+                total += np.roll(letter(padded[i]), 2) * np.roll(letter(padded[i + 1]), 1) * letter(padded[i + 2])
+                n += 1
+        return total, n
+
+    doc, gram, count = grams.count(texts)
+    vectors = grams.bound(gram)
+    for i, t in enumerate(texts):
+        want, n = bundle(t)
+        here = doc == i
+        assert count[here].sum() == n and (count[here] @ vectors[here].astype(int) == want).all()
+    table = spark.createDataFrame([("hello world", "en"), ("hallo welt", "de"), ("hallo welt", "aa"), (None, "xx"), ("hi", None)],
+                                  "text string, lang string")
+    langs, prototypes = L.fit(table, dims=64)
+    assert langs == ["aa", "de", "en"]
+    for name, p in zip(langs, prototypes, strict=True):
+        total, n = bundle("hello world" if name == "en" else "hallo welt")
+        assert np.allclose(p, total / np.linalg.norm(total), atol=1e-3)
+    got = L.predict(spark.createDataFrame([("hallo",), ("hello",)], "text string"), langs, prototypes).collect()
+    assert [r["lang_pred"] for r in got] == ["aa", "en"]
+
+
+def test_one_tree_is_that_of_a_plain_search():
+    """op1's first split and leaf values by trying every cut of every feature."""
+    from tripcast.llm import quality as Y
+
+    rng = np.random.default_rng(6)
+    x = np.round(rng.normal(size=(300, 4)), 1)
+    y = (x[:, 2] + 0.3 * rng.normal(size=300) > 0.2).astype(float)
+    forest = Y.grow(x, y, trees=1)
+    p = y.mean()
+    g, h = p - y, np.full(300, p * (1 - p))
+    best = max(((g[left].sum() ** 2 / (h[left].sum() + Y.RIDGE) + g[~left].sum() ** 2 / (h[~left].sum() + Y.RIDGE), f)
+                for f in range(4) for cut in np.unique(np.quantile(x[:, f], np.linspace(0, 1, Y.BINS + 1)[1:-1]))
+                for left in [x[:, f] <= cut] if min(left.sum(), (~left).sum()) >= Y.LEAST))
+    f, cut = forest.feature[0, 0], forest.threshold[0, 0]
+    left = x[:, f] <= cut
+    assert f == best[1] and best[0] == pytest.approx(
+        g[left].sum() ** 2 / (h[left].sum() + Y.RIDGE) + g[~left].sum() ** 2 / (h[~left].sum() + Y.RIDGE))
+    at = np.zeros(300, int)
+    for _ in range(Y.DEPTH):
+        at = np.where(x[np.arange(300), forest.feature[0, at]] <= forest.threshold[0, at], forest.left[0, at], forest.right[0, at])
+    for leaf in np.unique(at):
+        here = at == leaf
+        assert forest.value[0, leaf] == pytest.approx(-Y.RATE * g[here].sum() / (h[here].sum() + Y.RIDGE))
+    assert np.allclose(forest.score(x), 1 / (1 + np.exp(-(np.log(p / (1 - p)) + forest.value[0, at]))))
+    assert Y.grow(x[:50], np.ones(50), trees=1).score(x[:2]).tolist() == Y.grow(x[:50], np.ones(50), trees=1).score(x[2:4]).tolist()
