@@ -48,16 +48,17 @@ from tripcast.llm.common import spans, table, written
 CAPACITY = 1024
 END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
-ENCODE_CHARS = 1_000_000     # characters whose pieces are handed on at once; a longer text goes alone
-KNOWN_PARTS = 250_000        # parts whose ids a worker keeps before it drops those not met since
+ENCODE_CHARS = 500_000       # characters whose pieces are handed on at once; a longer text goes alone
+KNOWN_PARTS = 450_000        # parts whose ids a worker keeps
 WORDS_AT_ONCE = 2000
+BLANK = "\u0120"             # fixed value: how a byte-level vocabulary writes a blank
 
 
 #: fixed values: letters and numbers up to U+024F, how a byte-level tokenizer splits a text,
 #: and the characters for which that is beyond doubt
 LETTERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 NUMBERS = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
-SPLIT = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+")
+SPLIT = re.compile(rf" ?[{LETTERS}]+|'(?:[stmd]|re|ve|ll)| ?[{NUMBERS}]+| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+")
 UNUSUAL = re.compile("[^\t\n\r\x20-\x7e\u00a1-\u024f]")
 
 
@@ -83,35 +84,40 @@ class Encoder:
                          and form.get("normalizer") is None and not form["model"].get("dropout"))
         added = [re.escape(t["content"]) for t in form.get("added_tokens") or []]
         self.added = re.compile("|".join(added) or "(?!)")
+        vocabulary = self.whole.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values(), default=0) + 1, bool)   # tokens that begin with a blank
+        self.begins[[i for t, i in vocabulary.items() if t.startswith(BLANK)]] = True
         self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text as unsigned 32-bit little-endian numbers."""
-        parts = [None if not self.by_parts or UNUSUAL.search(t) or self.added.search(t) else SPLIT.findall(t)
-                 for t in texts]
-        seen = set().union(*(p for p in parts if p))
-        if len(self.known) + len(seen) > KNOWN_PARTS:
-            self.before, self.known = self.known, {}
-        known = self.known
-        new = seen.difference(known)
-        for part in new.intersection(self.before):
-            known[part] = self.before[part]
-        self._learn(list(new.difference(self.before)))
-        for text, p in zip(texts, parts, strict=True):
-            if p is None:
-                yield array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
-            else:
-                yield b"".join(map(known.__getitem__, p))
-
-    def forget(self) -> None:
-        """A worker lives on after its task; what it learned need not."""
-        self.known, self.before = {}, {}
-
-    def _learn(self, new: list[str]) -> None:
+        get, held = self.known.get, []
+        # flat lists: a container for each new part would keep the garbage collector at work
+        new, text_of, place = [], [], []
+        for text in texts:
+            if not self.by_parts or UNUSUAL.search(text) or self.added.search(text):
+                held.append([array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()])
+                continue
+            parts = SPLIT.findall(text)
+            found = list(map(get, parts))
+            if None in found:
+                missing = [at for at, ids in enumerate(found) if ids is None]
+                new += [parts[at] for at in missing]
+                place += missing
+                text_of += [len(held)] * len(missing)
+            held.append(found)
+        learned = self._learn(list(set(new)))
+        for part, i, at in zip(new, text_of, place, strict=True):
+            held[i][at] = learned[part]
+        if len(self.known) + len(learned) <= KNOWN_PARTS:
+            self.known.update(learned)
+        yield from map(b"".join, held)
+
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
         """Asks for the ids of new parts.  A blank with letters after it is a
-        part of its own in any text, so many such are asked for as one text."""
-        words, rest = [], []
+        part of its own in any text, so many such are asked for as one text,
+        which is cut where a token begins with a blank."""
+        out, words, rest = {}, [], []
         for part in new:
             (words if part[0] == " " and part[1:].isalpha() else rest).append(part)
         for k in range(0, len(words), WORDS_AT_ONCE):
@@ -119,13 +125,16 @@ class Encoder:
             if self.added.search("".join(some)):
                 rest += some
                 continue
-            e = self.whole.encode("".join(some), add_special_tokens=False)
-            ids, number = np.array(e.ids, "<u4").tobytes(), np.array(e.word_ids)
-            cuts = (4 * np.flatnonzero(np.r_[True, number[1:] != number[:-1], True])).tolist()
-            assert len(cuts) == len(some) + 1, "each word is one part"
-            self.known.update((w, ids[i:j]) for w, i, j in zip(some, cuts, cuts[1:], strict=False))
+            e = self.whole.encode_batch_fast(["".join(some)], add_special_tokens=False)[0]
+            number = np.array(e.ids, "<u4")
+            ids, cuts = number.tobytes(), (4 * np.flatnonzero(np.r_[self.begins[number], True])).tolist()
+            if len(cuts) != len(some) + 1:
+                rest += some
+                continue
+            out.update((w, ids[i:j]) for w, i, j in zip(some, cuts, cuts[1:], strict=False))
         for part, e in zip(rest, self.whole.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            self.known[part] = array("I", e.ids).tobytes()
+            out[part] = array("I", e.ids).tobytes()
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -140,13 +149,7 @@ def token_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capac
     one task."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, task, made = encoder(path), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        try:
-            yield from pieces(batches, own.ids, task, made)
-        finally:
-            own.forget()
-
-    def pieces(batches: Iterator[pa.RecordBatch], encode, task: int, made: np.ndarray) -> Iterator[pa.RecordBatch]:
+        encode, task, made = encoder(path).ids, TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             texts = [x or "" for x in batch.column(1).to_pylist()]
             for a, b in spans(texts, ENCODE_CHARS):
