@@ -14,9 +14,10 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round hooks every node to its smallest neighbour (a partial
     aggregate, so a hub's many links meet only after they are combined),
-    replaces the links by links between the nodes hooked to, and drops loops
-    and repeats.  Both sides of the joins are tables read back, which lets
-    Spark split a hot key.
+    follows the hooks to their ends by doubling, replaces the links by links
+    between those ends, and drops loops and repeats.  A chain of n nodes in the
+    order of their ids takes one round and log2(n) doublings.  Both sides of
+    the joins are tables read back, which lets Spark split a hot key.
     """
     edges = written(links.select("a", "b").filter("a <> b"), "edges")
     labels = written(edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
@@ -24,6 +25,13 @@ def components(links: DataFrame) -> DataFrame:
     while not edges.isEmpty():
         both = edges.union(edges.select("b", "a"))
         hook = written(both.groupBy(F.col("a").alias("old")).agg(F.least("old", F.min("b")).alias("new")), "hooks")
+        while True:
+            ahead = hook.select(F.col("old").alias("new"), F.col("new").alias("next"))
+            step = written(hook.join(ahead, "new").select(
+                "old", F.col("next").alias("new"), (F.col("next") != F.col("new")).alias("moved")), "hooks")
+            hook = step.select("old", "new")
+            if step.filter("moved").isEmpty():
+                break
         labels = written(labels.join(hook, labels["root"] == hook["old"], "left").select(
             "node", F.coalesce("new", "root").alias("root")), "labels")
         half = written(edges.join(hook, edges["a"] == hook["old"]).select(F.col("new").alias("a"), "b"), "edges")

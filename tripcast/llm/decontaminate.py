@@ -9,9 +9,10 @@ the shift is 0 are the patterns that end in this block looked at: the bucket
 is keyed by the block, and the words themselves are compared.
 
 Distinct (pattern, item) pairs are dealt by hash into blocks of about
-``block_pairs``, so what a block sends to the executors has a bound; with more
-blocks the documents pass through them one after another, carrying the hit
-words and items found so far, without any shuffle.
+``block_pairs``, so what a block sends to the executors has a bound.  With more
+blocks the documents are searched for one after another; the finds of each are
+written before the driver takes the next one's patterns, and united by document
+at the end.
 
 Cases: null or wordless texts and items have no words and hit nothing; an item
 counts once however often it occurs; repeated rows, items and ids each count
@@ -24,8 +25,10 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,8 +115,9 @@ def merged(spans: list[tuple[int, int]]) -> list[int]:
 FOUND = "n_words long, hits array<int>, items array<string>"
 
 
-def search_block(docs: DataFrame, pairs: list, text: str) -> DataFrame:
-    """``docs`` with the struct ``found__``, joined to what it holds already."""
+def search_block(docs: DataFrame, pairs: list, text: str) -> tuple[Broadcast, DataFrame]:
+    """The patterns as sent to the executors, and ``docs`` with the struct
+    ``found__``."""
     owners: dict[tuple[str, ...], list[str]] = {}
     for row in pairs:
         owners.setdefault(tuple(row["pattern"].split(" ")), [])
@@ -125,36 +129,55 @@ def search_block(docs: DataFrame, pairs: list, text: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast((list(by_length.values()), owners))
 
     @F.pandas_udf(FOUND)
-    def find(batches: Iterator[tuple[pd.Series, pd.DataFrame]]) -> Iterator[pd.DataFrame]:
+    def find(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         lists, owner = shared.value
         matchers = [WuManber(x) for x in lists]
-        for texts, before in batches:
-            rows = []
-            for (n, hits, items), old, had in zip(search(texts.tolist(), matchers, owner), before["hits"],
-                                                  before["items"], strict=True):
-                old = [int(x) for x in old]
-                spans = list(zip([*old[::2], *hits[::2]], [*old[1::2], *hits[1::2]], strict=True))
-                rows.append((n, merged(spans), sorted(items.union(had))))
-            yield pd.DataFrame(rows, columns=["n_words", "hits", "items"])
+        for texts in batches:
+            yield pd.DataFrame([(n, hits, sorted(items)) for n, hits, items in search(texts.tolist(), matchers, owner)],
+                               columns=["n_words", "hits", "items"])
 
-    return docs.withColumn("found__", find(F.col(text), F.col("found__")))
+    return shared, docs.withColumn("found__", find(F.col(text)))
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, key: str = "item_id", text: str = "text",
                        item_text: str = "text", window: int = WINDOW, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
     """``docs`` with ``n_words``, ``hits`` (begin and end word of each hit
     stretch, end exclusive) and ``items`` (ids found, sorted as text)."""
-    if clash := {"found__", "n_words", "hits", "items"} & {c.lower() for c in docs.columns}:
+    if clash := {"found__", "row__", "n_words", "hits", "items"} & {c.lower() for c in docs.columns}:
         raise ValueError(f"columns {sorted(clash)} are named like added ones")
     pairs = written(pattern_pairs(items, key, item_text, window).withColumn(
         "deal", F.xxhash64("pattern", "item")), "patterns")
     blocks = max(1, -(-pairs.count() // block_pairs))
-    out = docs.withColumn("found__", F.expr(
-        "named_struct('n_words', 0L, 'hits', cast(array() as array<int>), 'items', cast(array() as array<string>))"))
+
+    def part(b: int) -> list:
+        return pairs.filter(F.pmod("deal", F.lit(blocks)) == b).select("pattern", "item").collect()
+
+    if blocks == 1:
+        return with_found(search_block(docs, part(0), text)[1])
+    # one block after another, each with its finds written before the next one's patterns come
+    rows = docs.withColumn("row__", F.monotonically_increasing_id())
+    finds = []
     for b in range(blocks):
-        part = pairs.filter(F.pmod("deal", F.lit(blocks)) == b).select("pattern", "item").collect()
-        out = search_block(out, part, text)
-    return out.withColumns({c: F.col(f"found__.{c}") for c in ("n_words", "hits", "items")}).drop("found__")
+        shared, found = search_block(rows.select("row__", F.col(text).alias("text")), part(b), "text")
+        finds.append(written(found.select("row__", "found__.*").filter((F.size("items") > 0) | (F.size("hits") > 0)), "block-hits"))
+        shared.destroy()
+    each = reduce(DataFrame.union, finds).groupBy("row__").agg(
+        F.collect_list("hits").alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    nothing = F.expr("cast(array() as array<int>)"), F.expr("cast(array() as array<string>)")
+    joined = written(each.withColumn("hits", F.pandas_udf(unite, "array<int>")(F.flatten("hits"))), "all-hits")
+    count = F.size(word_array(F.col(text))).cast("long")
+    return rows.join(joined, "row__", "left").withColumns({
+        "n_words": count, "hits": F.coalesce("hits", nothing[0]), "items": F.coalesce("items", nothing[1])}).drop("row__").select(
+        *docs.columns, "n_words", "hits", "items")
+
+
+def unite(lists: pd.Series) -> pd.Series:
+    """Stretches (begin, end, begin, end, ...) of several blocks as one list."""
+    return pd.Series([merged([(int(a), int(b)) for a, b in zip(x[::2], x[1::2], strict=True)]) for x in lists])
+
+
+def with_found(docs: DataFrame) -> DataFrame:
+    return docs.withColumns({c: F.col(f"found__.{c}") for c in ("n_words", "hits", "items")}).drop("found__")
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

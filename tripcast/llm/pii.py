@@ -324,16 +324,22 @@ def joined(spans: Column) -> Column:
 def masked(text: Column, spans: Column) -> Column:
     """The text with its spans replaced by their kind in angle brackets; spans
     that cross become one, of the kind that begins first."""
-    fields = ("start", "end", "kind")
-    empty = F.expr("cast(array() as array<struct<start:bigint,end:bigint,kind:string>>)")
+    def merged_of(both: Column) -> Column:
+        # spans by start, and all ends in order: a span begins a stretch of its own where as many spans have
+        # ended as come before it, and the stretch ends with the last end before the next one begins
+        spans_, ends = both["spans"], both["ends"]
+        places = F.sequence(F.lit(1), F.size(spans_))
+        first = F.filter(places, lambda i: (i == 1) | (F.try_element_at(ends, i - 1) <= F.element_at(spans_, i)["start"]))
 
-    def grow(done: Column, s: Column) -> Column:
-        last = F.try_element_at(done, F.lit(-1))
-        one = F.struct(*[s[f].alias(f) for f in fields])
-        wider = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"),
-                         last["kind"].alias("kind"))
-        return F.when((F.size(done) > 0) & (s["start"] < last["end"]), F.concat(
-            F.slice(done, F.lit(1), F.size(done) - 1), F.array(wider))).otherwise(F.concat(done, F.array(one)))
+        def stretch(begins: Column) -> Column:
+            def one(i: Column, k: Column) -> Column:
+                after = F.coalesce(F.try_element_at(begins, k + 2), F.size(spans_) + 1)
+                s = F.element_at(spans_, i)
+                return F.struct(s["start"].alias("start"), F.element_at(ends, after - 1).alias("end"), s["kind"].alias("kind"))
+
+            return F.transform(begins, one)
+
+        return let(first, stretch)
 
     def rebuilt(merged: Column) -> Column:
         def part(s: Column, i: Column) -> Column:
@@ -345,7 +351,8 @@ def masked(text: Column, spans: Column) -> Column:
         return F.concat(F.array_join(F.transform(merged, part), ""),
                         F.substring(text, (last + 1).cast("int"), F.length(text)))
 
-    return F.when(F.size(spans) == 0, text).otherwise(let(F.aggregate(spans, empty, grow), rebuilt))
+    held = F.struct(spans.alias("spans"), F.array_sort(F.transform(spans, lambda s: s["end"])).alias("ends"))
+    return F.when(F.size(spans) == 0, text).otherwise(let(let(held, merged_of), rebuilt))
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,8 +28,9 @@ from tripcast.llm.common import table, written
 SHARDS = 8
 SEED = 20240229
 BUCKET_BYTES = 32 << 20      # text of one bucket, held in one task's memory
+MOST_BROADCAST = 1_000_000   # buckets whose keys are broadcast, 12 bytes each
 GROUP = 1024                 # buckets per step of the two-level running sum
-ADDED = ("size", "bucket", "shard", "slot")
+ADDED = ("size", "bucket", "shard", "slot", "key__")
 
 
 def bucket_offsets(buckets: DataFrame) -> DataFrame:
@@ -45,6 +46,18 @@ def bucket_offsets(buckets: DataFrame) -> DataFrame:
         "bucket", (F.col("base") + F.col("inside")).alias("before"))
 
 
+def bucket_keys(spark: SparkSession, n: int) -> DataFrame:
+    """(bucket, key__): for each bucket a number that Spark's hash puts into
+    the partition of its own, of ``n``.  Of 40 n numbers none hits a given
+    partition with a chance of e^-40; the first that does is taken."""
+    key = F.col("id").cast("int")
+    tried = spark.range(40 * n).select(key.alias("key__"), F.pmod(F.hash(key), F.lit(n)).cast("long").alias("bucket"))
+    found = written(tried.groupBy("bucket").agg(F.min("key__").alias("key__")), "bucket-keys")
+    if found.count() != n:
+        raise RuntimeError("a bucket has no key")
+    return found
+
+
 def shuffle_into_shards(df: DataFrame, shards: int = SHARDS, seed: int = SEED,
                         bucket_bytes: int = BUCKET_BYTES, text: str = "text") -> DataFrame:
     """All columns of ``df`` plus ``size``, ``bucket``, ``shard`` and ``slot``,
@@ -57,10 +70,12 @@ def shuffle_into_shards(df: DataFrame, shards: int = SHARDS, seed: int = SEED,
 
     place = F.xxhash64(F.lit(seed), F.monotonically_increasing_id())
     scattered = df.select(F.struct(place.alias("place"), *df.columns, size.alias("size")).alias("record")).withColumn(
-        "bucket", F.pmod(F.shiftrightunsigned("record.place", 3), F.lit(n_buckets))).repartition(
-        n_buckets, "bucket")
-    # the scatter has put whole buckets into tasks: this groups without another exchange
-    shuffled = scattered.groupBy("bucket").agg(
+        "bucket", F.pmod(F.shiftrightunsigned("record.place", 3), F.lit(n_buckets)))
+    keys = bucket_keys(df.sparkSession, n_buckets)
+    placed = scattered.join(F.broadcast(keys) if n_buckets <= MOST_BROADCAST else keys, "bucket").repartition(n_buckets, "key__")
+    # the scatter has put one bucket into each task: this groups without another exchange
+    shuffled = placed.groupBy("key__").agg(
+        F.min("bucket").alias("bucket"),
         F.shuffle(F.sort_array(F.collect_list("record")), F.lit(seed)).alias("records"))
     rows = written(shuffled.select("bucket", F.posexplode("records").alias("pos", "r")).select(
         "bucket", "pos", *[F.col(f"r.`{c}`").alias(c) for c in df.columns], "r.size"), "shuffled-buckets")

@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -107,8 +108,9 @@ class ImpactIndex:
         return self.ids[members][best], scores[best]
 
 
-def search_block(vectors: DataFrame, queries: list, k: int) -> DataFrame:
-    """The k best of each block of ``vectors`` for each query."""
+def search_block(vectors: DataFrame, queries: list, k: int) -> tuple[Broadcast, DataFrame]:
+    """The queries as sent to the executors, and the k best of each block of
+    ``vectors`` for each of them."""
     shared = vectors.sparkSession.sparkContext.broadcast(
         (np.array([r["id"] for r in queries], np.int64), matrix([r["v"] for r in queries])))
 
@@ -136,7 +138,7 @@ def search_block(vectors: DataFrame, queries: list, k: int) -> DataFrame:
         if held:
             yield answer(block)
 
-    return vectors.mapInPandas(search, "n long, query_id long, vec_id long, score long")
+    return shared, vectors.mapInPandas(search, "n long, query_id long, vec_id long, score long")
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
@@ -145,15 +147,19 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     stored = written(vectors, "vectors")
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     dealt = stored.repartition(max(1, -(-stored.count() // VECTOR_BLOCK)))
+    best = Window.partitionBy("n", "query_id").orderBy(F.desc("score"), "vec_id")
     found = None
     for b in range(blocks):
         part = asked.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).orderBy("id", "v").collect()
         if part or found is None:
-            one = search_block(dealt, part, k).withColumn("b", F.lit(b))
+            shared, near = search_block(dealt, part, k)
+            one = near.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(
+                "query_id", "rank", "vec_id", "score")
+            if blocks > 1:      # a block's queries go before the next block's come
+                one = written(one, "nearest")
+                shared.destroy()
             found = one if found is None else found.union(one)
-    best = Window.partitionBy("b", "n", "query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score")
+    return found
 
 
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -124,14 +124,18 @@ def parse(stream: Iterator[bytes]) -> Iterator[Record]:
 
 
 def inflated(source) -> Iterator[bytes]:
-    """A gzip stream of one member or more, in pieces."""
-    machine = zlib.decompressobj(31)
+    """A gzip stream of one member or more, in pieces; one that ends within a
+    member has been cut and is an error."""
+    machine, begun = zlib.decompressobj(31), False
     while data := source.read(READ_BYTES):
         while data:
+            begun = True
             yield machine.decompress(data)
             data = machine.unused_data if machine.eof else b""
             if machine.eof:
-                machine = zlib.decompressobj(31)
+                machine, begun = zlib.decompressobj(31), False
+    if begun:
+        raise ValueError("the archive ends within a gzip member")
 
 
 class Deflater:
