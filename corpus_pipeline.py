@@ -25,14 +25,24 @@ def restored(carried_docs: DataFrame, docs: DataFrame) -> DataFrame:
     return carried_docs.select(*["text" if c == "text" else F.col(f"rest__.`{c}`").alias(c) for c in docs.columns])
 
 
+#: documents of enough letters that are less similar than this to every learned profile are in none of the languages
+LEAST_COSINE, ENOUGH_LETTERS = 0.1, 40
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a recognisable language go (``und``: null, empty or
-    letterless text, or no language learned); the others stay as they are.
-    The profiles are learned from the documents that have a language, but for
-    the held-out fold."""
+    """Documents go that are in none of the learned languages: null, empty or
+    letterless texts (``und``), and texts of ``ENOUGH_LETTERS`` letters or
+    more whose cosine with every profile is below ``LEAST_COSINE``; the others
+    stay as they are (a word or two say little).  The profiles are
+    learned from the documents that have a language, but for the held-out
+    fold; where none has one, nothing can be told apart and every document
+    with a letter stays."""
     langs, prototypes = language.fit(docs.filter(~held_out(F.col("doc_id"))).select("text", "lang"))
+    if not langs:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     labelled = language.predict(carried(docs), langs, prototypes)
-    return restored(labelled.filter(F.col("lang_pred") != language.UNDETERMINED), docs)
+    foreign = (F.col("score") < LEAST_COSINE) & (F.length(F.regexp_replace("text", r"[^\p{L}]+", "")) >= ENOUGH_LETTERS)
+    return restored(labelled.filter((F.col("lang_pred") != language.UNDETERMINED) & ~foreign), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
