@@ -22,6 +22,16 @@ def test_entry_runs(spark):
     assert {"date_int", "avg_duration", "n_trips"} <= set(df.columns)
 
 
+def test_queries_are_listed_without_a_session():
+    import subprocess
+    import sys
+
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=E.__file__.rsplit("/", 1)[0], capture_output=True, text=True)
+    assert out.returncode == 0, out.stderr
+    assert out.stdout.split() == [str(len(E.queries())), str(len(E.oracle_sql()))]
+
+
 def test_oracles_are_for_registered_queries():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)

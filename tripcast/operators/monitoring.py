@@ -10,9 +10,18 @@ from pyspark.sql import types as T
 from tripcast import schema as S
 from tripcast.streaming.streams import read_if_written
 
-REPORT_SCHEMA = T.StructType.fromDDL(
-    "validation_date string, validation_month string, samples_validated long, current_rmse double, window_size long, "
-    "threshold double, retraining_triggered boolean, alarm_raised boolean, tail array<double>, call_no int")
+REPORT_SCHEMA = T.StructType([
+    T.StructField("validation_date", T.StringType()),
+    T.StructField("validation_month", T.StringType()),
+    T.StructField("samples_validated", T.LongType()),
+    T.StructField("current_rmse", T.DoubleType()),
+    T.StructField("window_size", T.LongType()),
+    T.StructField("threshold", T.DoubleType()),
+    T.StructField("retraining_triggered", T.BooleanType()),
+    T.StructField("alarm_raised", T.BooleanType()),
+    T.StructField("tail", T.ArrayType(T.DoubleType())),
+    T.StructField("call_no", T.IntegerType()),
+])
 
 
 def lost_rows(sent: DataFrame, answered: DataFrame, key_cols: list[str]) -> DataFrame:
