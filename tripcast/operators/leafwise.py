@@ -51,7 +51,7 @@ DEFAULT_PARAMS = {
 }
 CELLS = 4096
 SCALE = 65536.0
-LOCAL_ROWS = 1 << 14         # rows of a node below which one task finds all its splits; the tree is the same
+LOCAL_ROWS = 1 << 16         # rows of a node below which one task finds all its splits; the tree is the same
 TREE_STEP = 7919             # of the draw of a row, from tree to tree
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, value double, gain double, n long"
 
