@@ -217,9 +217,10 @@ def best_split(bins: np.ndarray, g: np.ndarray, chosen: list[int], n_bins: int,
     return float(gain[f, b]), chosen[f], b, int(left_g[f, b]), int(left_n[f, b])
 
 
-def grow_here(bins: np.ndarray, g: np.ndarray, chosen: list[int], n_bins: int, p: dict) -> list[tuple]:
-    """Best-first growth of all the splits that a tree could use below these
-    rows: (id, feature, bin, gain, left_g, left_n, first child's id)."""
+def grow_here(bins: np.ndarray, g: np.ndarray, chosen: list[int], n_bins: int, p: dict, most: int) -> list[tuple]:
+    """Best-first growth below these rows, of ``most`` splits: (id, feature,
+    bin, gain, left_g, left_n, first child's id), and the best splits of the
+    leaves left, which have no child yet (-1)."""
     out, members, heap = [], [np.arange(len(g))], []
 
     def consider(at: int) -> None:
@@ -228,7 +229,7 @@ def grow_here(bins: np.ndarray, g: np.ndarray, chosen: list[int], n_bins: int, p
             heapq.heappush(heap, (-split[0], at, split))
 
     consider(0)
-    while heap and len(out) < p["num_leaves"] - 1:
+    while heap and len(out) < most:
         _, at, (gain, f, b, left_g, left_n) = heapq.heappop(heap)
         rows = members[at]
         goes_left = bins[rows, f] <= b
@@ -236,7 +237,7 @@ def grow_here(bins: np.ndarray, g: np.ndarray, chosen: list[int], n_bins: int, p
         for part in (rows[goes_left], rows[~goes_left]):
             members.append(part)
             consider(len(members) - 1)
-    return out
+    return out + [(at, f, b, gain, left_g, left_n, -1) for _, at, (gain, f, b, left_g, left_n) in heap]
 
 
 def best_splits(rows: DataFrame, tree: Tree, wanted: list[int], number: int, chosen: list[int], n_bins: int, n_features: int,
@@ -294,8 +295,10 @@ def in_bag(batch: pa.RecordBatch, tree: Tree, slot: np.ndarray, number: int, n_f
 
 def local_splits(rows: DataFrame, tree: Tree, wanted: list[int], number: int, chosen: list[int], n_bins: int, n_features: int,
                  p: dict) -> pd.DataFrame:
-    """All splits below the wanted nodes, each of at most ``LOCAL_ROWS`` rows,
-    which meet in one task per node."""
+    """The splits below the wanted nodes, each of at most ``LOCAL_ROWS`` rows,
+    which meet in one task per node.  A node grows somewhat more leaves than
+    its share of the rows; if the tree needs still more, it asks again."""
+    total = int(tree.n[0])
     slot = np.full(len(tree.left), -1)
     slot[wanted] = wanted
 
@@ -308,7 +311,8 @@ def local_splits(rows: DataFrame, tree: Tree, wanted: list[int], number: int, ch
 
     def below(rows: pd.DataFrame) -> pd.DataFrame:
         bins = np.frombuffer(b"".join(rows["bins"]), np.uint8).reshape(len(rows), -1)
-        found = grow_here(bins, rows["g"].to_numpy(), chosen, n_bins, p)
+        most = min(p["num_leaves"] - 1, 8 + 3 * p["num_leaves"] * len(rows) // (2 * max(total, 1)))
+        found = grow_here(bins, rows["g"].to_numpy(), chosen, n_bins, p, most)
         out = pd.DataFrame(found, columns=["id", "feature", "bin", "gain", "left_g", "left_n", "children"])
         out.insert(0, "node", rows["node"].iat[0])
         return out
@@ -323,6 +327,8 @@ def attach(node: Node, splits: pd.DataFrame) -> None:
     for r in splits.itertuples():
         at = places[r.id]
         at.gain, at.feature, at.bin, at.left_g, at.left_n = r.gain, int(r.feature), int(r.bin), int(r.left_g), int(r.left_n)
+        if r.children < 0:      # known, not split: its children are found when the tree asks for them
+            continue
         at.children = (Node(at.left_g, at.left_n, True), Node(at.g - at.left_g, at.n - at.left_n, True))
         places[r.children], places[r.children + 1] = at.children
 
