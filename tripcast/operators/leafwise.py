@@ -51,7 +51,7 @@ DEFAULT_PARAMS = {
 }
 CELLS = 4096
 SCALE = 65536.0
-LOCAL_ROWS = 1 << 16         # rows of a node below which one task finds all its splits; the tree is the same
+LOCAL_ROWS = 1 << 17         # rows of a node below which one task finds all its splits; the tree is the same
 TREE_STEP = 7919             # of the draw of a row, from tree to tree
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, value double, gain double, n long"
 
@@ -311,7 +311,7 @@ def local_splits(rows: DataFrame, tree: Tree, wanted: list[int], number: int, ch
 
     def below(rows: pd.DataFrame) -> pd.DataFrame:
         bins = np.frombuffer(b"".join(rows["bins"]), np.uint8).reshape(len(rows), -1)
-        most = min(p["num_leaves"] - 1, 8 + 3 * p["num_leaves"] * len(rows) // (2 * max(total, 1)))
+        most = min(p["num_leaves"] - 1, 8 + 3 * p["num_leaves"] * len(rows) // max(total, 1))
         found = grow_here(bins, rows["g"].to_numpy(), chosen, n_bins, p, most)
         out = pd.DataFrame(found, columns=["id", "feature", "bin", "gain", "left_g", "left_n", "children"])
         out.insert(0, "node", rows["node"].iat[0])
@@ -343,19 +343,20 @@ def grow(rows: DataFrame, number: int, edges: list[np.ndarray], p: dict, seed: i
         place, so_far = {id(node): i for i, node in enumerate(nodes)}, as_tree(nodes, edges, p)
         few = [c for c in needed if c is not root and c.n <= LOCAL_ROWS]
         many = [c for c in needed if c is root or c.n > LOCAL_ROWS]
-        if many:
-            found = {r["node"]: r for r in best_splits(rows, so_far, [place[id(c)] for c in many], *rest)}
-            for node in many:
-                node.known = True
-                if r := found.get(place[id(node)]):
-                    node.g, node.n = r["g"], r["n"]
-                    if best := r["best"]:
-                        node.gain, node.feature, node.bin = best["gain"], -best["f"], -best["b"]
-                        node.left_g, node.left_n = best["left_g"], best["left_n"]
-        if few:
-            found = dict(list(local_splits(rows, so_far, [place[id(c)] for c in few], *rest).groupby("node")))
-            for node in few:
-                attach(node, found.get(place[id(node)], pd.DataFrame()))
+        with ThreadPoolExecutor(2) as pool:      # both kinds of nodes at once
+            sums = pool.submit(best_splits, rows, so_far, [place[id(c)] for c in many], *rest) if many else None
+            below = pool.submit(local_splits, rows, so_far, [place[id(c)] for c in few], *rest) if few else None
+        found = {r["node"]: r for r in sums.result()} if many else {}
+        for node in many:
+            node.known = True
+            if r := found.get(place[id(node)]):
+                node.g, node.n = r["g"], r["n"]
+                if best := r["best"]:
+                    node.gain, node.feature, node.bin = best["gain"], -best["f"], -best["b"]
+                    node.left_g, node.left_n = best["left_g"], best["left_n"]
+        finished = dict(list(below.result().groupby("node"))) if few else {}
+        for node in few:
+            attach(node, finished.get(place[id(node)], pd.DataFrame()))
         nodes, needed = replay(root, p["num_leaves"])
     return as_tree(nodes, edges, p)
 
