@@ -124,3 +124,34 @@ def test_missing_values_and_odd_tables(spark):
     for odd in (df.filter("draw < 0"), df.filter("draw < 3"), df.withColumn("label", F.lit(None).cast("double"))):
         nothing = LW.fit(odd, PLAIN, 2, ["a", "b"])
         assert all(len(t.left) == 1 for t in nothing.trees) and nothing.transform(df).count() == 300
+
+
+def test_a_pass_reads_blocks_not_rows(spark, table):
+    """What grows with the rows is numpy's work, not rows handed to Python and shuffled."""
+    df = spark.createDataFrame(table).repartition(3)
+    edges = LW.bin_edges(df, FEATURES, 63)
+    rows = LW.binned(df, LW.BoostedTrees(FEATURES), edges, "label", "draw")
+    assert rows.count() <= 3
+    held = rows.toArrow().to_batches()
+    assert sum(len(b.label) for b in LW.blocks_of(held, len(FEATURES))) == len(table)
+    for block in LW.blocks_of(held, len(FEATURES)):
+        assert block.bins.shape == (len(FEATURES), len(block.label)) and np.isin(block.draw, table["draw"]).all()
+
+
+def test_edges_of_odd_values(spark):
+    odd = [None, float("nan"), 0.0, 1.0, 1.0, 7.5, -3.0]
+    df = spark.createDataFrame([(x, 2.0, float(i), None) for i, x in enumerate(odd * 9)], "a double, b double, c double, d double")
+    edges = LW.bin_edges(df, ["a", "b", "c", "d"], 4)
+    assert [list(e) for e in edges[:2]] == [[-3.0, 0.0, 1.0], []] and list(edges[3]) == []
+    assert list(edges[2]) == [15.0, 31.0, 47.0]
+    assert not list(LW.bin_edges(df.withColumn("a", F.lit(float("inf"))), ["a"], 4)[0])
+
+
+def test_growth_here_is_that_of_a_plain_search(table):
+    x = table[FEATURES].to_numpy()
+    cuts = [np.unique(c) for c in x.T]
+    columns = np.stack([np.searchsorted(e, c) for e, c in zip(cuts, x.T, strict=True)]).astype(np.uint8)
+    g = np.rint(table["label"].to_numpy() * 65536)
+    found = LW.grow_here(columns, g, [0, 1, 2], 64, PLAIN, PLAIN["num_leaves"] - 1)
+    want = plain_tree(x, g / 65536, PLAIN)
+    assert [(at, f, cuts[f][b]) for at, f, b, *_, child in found if child > 0] == [(node, f, cut) for node, f, cut, _ in want]

@@ -1,6 +1,8 @@
 """Trend fit (closed form vs MLlib vs numpy), hybrid pipeline persistence,
 request scoring (the end-to-end serving assertions), run records."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from tripcast.operators import hybrid as H
 from tripcast.operators import trend as TR
 from tripcast.plans import common as Q
 from tripcast.sources import requests as R
+from tripcast.sources.trips import TRIPS_RAW_SCHEMA
 
 SF = "/root/testdata/sf0.001"
 
@@ -223,3 +226,27 @@ def test_lost_requests_are_listed(spark):
     sent = spark.createDataFrame([("a", 0), ("a", 1), ("b", 0), ("b", 0)], "request string, position int")
     answered = spark.createDataFrame([("a", 1, 2.5), ("b", 0, 3.5)], "request string, position int, minutes double")
     assert [tuple(r) for r in M.lost_rows(sent, answered, ["request", "position"]).collect()] == [("a", 0)]
+
+
+def test_code_of_a_matrix_row_is_small_enough_to_be_compiled(spark, tmp_dir):
+    """The JVM interprets methods of more than 8,000 bytes."""
+    spark.createDataFrame([], TRIPS_RAW_SCHEMA).write.parquet(f"{tmp_dir}/none")
+    raw = spark.read.schema(TRIPS_RAW_SCHEMA).parquet(f"{tmp_dir}/none")
+    for rows in (H.with_draw(Q.featured_with_pickup(raw)), H._featurize(raw)):
+        plan = H.boosting_matrix(rows, H.TrendBaseline(wDate=1e-5, wSin=0.01, wCos=0.01, intercept=6.0))
+        code = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(plan._jdf.queryExecution().executedPlan())
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+        assert sizes and max(sizes) < 8000
+
+
+def test_a_written_matrix_runs_its_plan_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = spark.range(100).select(F.col("id").alias("draw"), F.lit(1.0).alias("label"), F.lit("x").alias("other"))
+    out = H.written(rows.mapInArrow(look, rows.schema))
+    assert out.columns == ["draw", "label"] and out.count() == 100 and out.count() == 100 and seen.value == 100
