@@ -144,6 +144,8 @@ def test_edges_of_odd_values(spark):
     edges = LW.bin_edges(df, ["a", "b", "c", "d"], 4)
     assert [list(e) for e in edges[:2]] == [[-3.0, 0.0, 1.0], []] and list(edges[3]) == []
     assert list(edges[2]) == [15.0, 31.0, 47.0]
+    some = spark.createDataFrame([(float(i),) for i in range(10)] + [(None,)] * 10, "a double")
+    assert list(LW.bin_edges(some.dropna(), ["a"], 2)[0]) == [4.0] and not list(LW.bin_edges(some, ["a"], 2)[0])
     assert not list(LW.bin_edges(df.withColumn("a", F.lit(float("inf"))), ["a"], 4)[0])
 
 
