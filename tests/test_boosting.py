@@ -157,3 +157,46 @@ def test_growth_here_is_that_of_a_plain_search(table):
     found = LW.grow_here(columns, g, [0, 1, 2], 64, PLAIN, PLAIN["num_leaves"] - 1)
     want = plain_tree(x, g / 65536, PLAIN)
     assert [(at, f, cuts[f][b]) for at, f, b, *_, child in found if child > 0] == [(node, f, cut) for node, f, cut, _ in want]
+
+
+def test_of_two_children_the_smaller_is_counted(spark, table, monkeypatch):
+    passes, plain = [], LW.node_sums
+
+    def counting(rows, tree, wanted, bag, n_bins):
+        passes.append([int(tree.n[w]) for w in wanted])
+        return plain(rows, tree, wanted, bag, n_bins)
+
+    monkeypatch.setattr(LW, "LOCAL_ROWS", 0)
+    monkeypatch.setattr(LW, "node_sums", counting)
+    LW.fit(spark.createDataFrame(table), {**PLAIN, "num_leaves": 12, "min_data_in_leaf": 5}, 1, FEATURES)
+    assert len(passes) > 2 and all(sum(sizes) <= len(table) / 2 for sizes in passes[1:])
+
+
+def test_a_pass_reads_the_bag_alone(spark, table):
+    """Bins of the tree's features and gradients of the rows drawn, nothing else."""
+    df, bag = spark.createDataFrame(table).repartition(3), LW.Bag(1, [0, 2], 0.5)
+    edges = LW.bin_edges(df, FEATURES, 63)
+    held = LW.binned(df, LW.BoostedTrees(FEATURES), edges, "label", "draw", bag).toArrow().to_batches()
+    n = 0
+    for columns, g in LW.bags_of(held, bag):
+        n += len(g)
+        assert sorted(columns) == [0, 2] and all(len(c) == len(g) for c in columns.values())
+    assert n == LW.drawn(table["draw"].to_numpy(), 1, 0.5).sum() < len(table)
+
+
+def test_candidates_share_the_binned_rows(spark, monkeypatch):
+    from tripcast import schema as S
+
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({c: rng.integers(0, 9, 400).astype(float) for c in S.FEATURE_COLUMNS})
+    pdf["label"], pdf["draw"] = np.sin(pdf["trip_distance"]), rng.integers(0, 2**31, 400)
+    df, made, plain = spark.createDataFrame(pdf), [], LW.binned
+    monkeypatch.setattr(LW, "binned", lambda *a, **k: made.append(1) or plain(*a, **k))
+    grid = [{"stepSize": r, "num_leaves": n, "min_data_in_leaf": 10} for r in (0.1, 0.3) for n in (3, 6)] + [
+        {"stepSize": 0.3, "num_leaves": 6, "min_data_in_leaf": 10, "max_bin": 4}]
+    models = []
+    runs = LW.grid_search(df, df, grid, lambda m: models.append(m) or {"id": id(m)}, 2)
+    assert len(made) == 2       # one for each number of bins
+    for run, params in zip(runs, grid, strict=True):
+        alone = LW.fit(df, params, 2)
+        assert next(m for m in models if id(m) == run["id"]).node_rows().equals(alone.first_trees(run["best_iteration"]).node_rows())
