@@ -200,3 +200,27 @@ def test_candidates_share_the_binned_rows(spark, monkeypatch):
     for run, params in zip(runs, grid, strict=True):
         alone = LW.fit(df, params, 2)
         assert next(m for m in models if id(m) == run["id"]).node_rows().equals(alone.first_trees(run["best_iteration"]).node_rows())
+
+
+def test_rows_go_to_python_twice_before_the_first_tree(spark, table, monkeypatch):
+    """For the counts of cells and for the bins; the ranges are found without."""
+    df, made = spark.createDataFrame(table), []
+    plain = type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, *a, **k: made.append(1) or plain(self, *a, **k))
+    ready = LW.prepare(df, {**LW.DEFAULT_PARAMS, **PLAIN}, FEATURES)
+    assert len(made) == 2 and spark.read.schema(LW.BINNED).parquet(ready.first).count() > 0
+
+
+def test_whole_numbers_are_those_of_round(spark):
+    odd = [0.5, -0.5, 1.5, 2.5, -2.5, 0.49999999999999994, -0.49999999999999994, 1e15 + 0.5, 4503599627370497.5, -7.2, 3.0, 1e17, None]
+    rows = spark.createDataFrame([(x,) for x in odd], "x double").select(LW.whole(F.col("x")).alias("a"), F.round("x").cast("long").alias("b"))
+    assert rows.filter("not a <=> b").collect() == []
+
+
+def test_losses_of_candidates_take_one_pass(spark, table, monkeypatch):
+    df, made = spark.createDataFrame(table), []
+    models = [LW.fit(df, {**PLAIN, "num_leaves": n}, 2, FEATURES) for n in (3, 6)]
+    want = [LW.losses(m, df) for m in models]
+    plain = type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, *a, **k: made.append(1) or plain(self, *a, **k))
+    assert [pytest.approx(own) for own in want] == LW.losses_of(models, df) and len(made) == 1

@@ -250,3 +250,12 @@ def test_a_written_matrix_runs_its_plan_once(spark):
     rows = spark.range(100).select(F.col("id").alias("draw"), F.lit(1.0).alias("label"), F.lit("x").alias("other"))
     out = H.written(rows.mapInArrow(look, rows.schema))
     assert out.columns == ["draw", "label"] and out.count() == 100 and out.count() == 100 and seen.value == 100
+
+
+def test_a_training_matrix_holds_what_boosting_reads(spark):
+    from tripcast.plans.queries_models import _matrices
+
+    _, train, valid = _matrices(spark, SF)
+    assert sorted(train.columns) == sorted([*S.FEATURE_COLUMNS, "label", "draw"])
+    held = H.written(valid, H.SCORED)
+    assert sorted(held.columns) == sorted([*S.FEATURE_COLUMNS, S.TARGET, "baseline", "label"]) and held.count() == valid.count()
