@@ -18,7 +18,8 @@ SF = "/root/testdata/sf0.001"
 GRID = {127: 40, 255: 40}        # leaves: trees
 
 
-@pytest.mark.parametrize("name, trees", [("tree_grid", [GRID]), ("tree_training_run", [{**GRID, n: GRID[n] + 20} for n in GRID])])
+@pytest.mark.parametrize("name, trees", [("tree_grid", [GRID]), ("tree_predict", [{255: 20}]), ("tree_metrics", [{255: 20}]),
+                                         ("tree_training_run", [{**GRID, n: GRID[n] + 20} for n in GRID])])
 def test_whole_ensembles_are_grown(spark, monkeypatch, name, trees):
     grown = []
 
