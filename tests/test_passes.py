@@ -3,8 +3,12 @@
 import numpy as np
 import pytest
 
+import __spark_entry__ as E
 from tests.test_boosting import FEATURES, PLAIN, invented
 from tripcast.operators import leafwise as LW
+from tripcast.plans import queries_models as QM
+
+SF = "/root/testdata/sf0.001"
 
 
 def test_both_kinds_of_nodes_take_one_pass(spark, monkeypatch):
@@ -64,3 +68,19 @@ def test_rows_of_members_and_leaves():
     want = [1, 3, 4, 4, 3] + [1] * 500
     assert tree.leaf(x, tree.threshold).tolist() == want
     assert {k: v.tolist() for k, v in tree.members(x.T, tree.threshold, len(x), [4]).items()} == {4: [2, 3]}
+
+
+@pytest.mark.parametrize("name", ["model_residuals", "booster_check"])
+def test_test_rows_are_written_where_they_are_read_again(spark, monkeypatch, name):
+    """Neither query cleans and scores the trips once per reader."""
+    def stump(rows, bag, edges, p):
+        return LW.as_tree([LW.Node(g=65536, n=1, known=True)], edges, p)
+
+    made, plain = [], QM.H.written
+    monkeypatch.setattr(QM, "_FITTED", {})
+    monkeypatch.setattr(LW, "grow", stump)
+    monkeypatch.setattr(QM.H, "written", lambda df, *a: made.append(df.columns) or plain(df, *a))
+    out = E.queries()[name](spark, SF)
+    assert len(made) == 2 and out.count() > 0       # the training matrix, and this
+    plan = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+    assert name == "booster_check" or "ArrowEvalPython" not in plan
